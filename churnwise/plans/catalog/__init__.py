@@ -1,3 +1,4 @@
 """Registered queries, grouped by SURVEY §2 section."""
 
 from . import core  # noqa: F401
+from . import eda  # noqa: F401
