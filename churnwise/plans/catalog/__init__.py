@@ -2,3 +2,4 @@
 
 from . import core  # noqa: F401
 from . import eda  # noqa: F401
+from . import evaluation  # noqa: F401
