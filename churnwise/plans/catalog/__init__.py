@@ -4,3 +4,4 @@ from . import core  # noqa: F401
 from . import eda  # noqa: F401
 from . import evaluation  # noqa: F401
 from . import decisions  # noqa: F401
+from . import whatif  # noqa: F401
