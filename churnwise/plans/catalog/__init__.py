@@ -5,3 +5,4 @@ from . import eda  # noqa: F401
 from . import evaluation  # noqa: F401
 from . import decisions  # noqa: F401
 from . import whatif  # noqa: F401
+from . import store  # noqa: F401
