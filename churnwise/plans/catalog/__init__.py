@@ -6,3 +6,4 @@ from . import evaluation  # noqa: F401
 from . import decisions  # noqa: F401
 from . import whatif  # noqa: F401
 from . import store  # noqa: F401
+from . import ml  # noqa: F401
