@@ -7,3 +7,4 @@ from . import decisions  # noqa: F401
 from . import whatif  # noqa: F401
 from . import store  # noqa: F401
 from . import ml  # noqa: F401
+from . import streaming  # noqa: F401
