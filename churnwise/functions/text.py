@@ -135,23 +135,39 @@ SPEECH_STEPS = [
 ]
 
 
+# JavaScript's \b is ASCII-only; Java 17's is Unicode-aware (an accented
+# letter counts as a word character). Spell the ASCII boundary out for Java.
+_W = "[A-Za-z0-9_]"
+ASCII_BOUNDARY = f"(?:(?<={_W})(?!{_W})|(?<!{_W})(?={_W}))"
+
+
+def _java(pattern: str) -> str:
+    return pattern.replace(r"\b", ASCII_BOUNDARY)
+
+
 def normalize_text(text: Column | str) -> Column:
     """strip code, links, URLs, headings, lists, emphasis; expand
     currency, percent and abbreviations; drop emoji; tidy spacing; end with
     terminal punctuation. Null or empty text gives ''."""
     t = F.coalesce(col(text), F.lit(""))
     for pat, rep in SPEECH_STEPS:
-        t = F.regexp_replace(t, pat, rep)
-    t = F.trim(t)
+        t = F.regexp_replace(t, _java(pat), rep)
+    t = F.regexp_replace(t, r"^\s+|\s+$", "")
     return F.when(t == "", F.lit("")).when(t.rlike(r"[.!?…]$"), t).otherwise(F.concat(t, F.lit(".")))
 
 
 def chunk_text(text: Column | str, max_chars: int = 600) -> Column:
+    """F20 on raw text: normalise, then pack (prefer :func:`chunk_normalized`
+    on an already normalised column so the regex chain runs once)."""
+    return chunk_normalized(normalize_text(text), max_chars)
+
+
+def chunk_normalized(clean: Column | str, max_chars: int = 600) -> Column:
     """normalised text packed greedily into blocks of whole sentences of
     at most ``max_chars`` (a single longer sentence stays whole). Returns an
-    array; ``posexplode`` gives one row per block. Runs as one ``aggregate``
-    over the sentence array, per row, no UDF."""
-    clean = normalize_text(text)
+    array; ``posexplode`` gives one row per block. One ``aggregate`` over the
+    sentence array, per row, no UDF."""
+    clean = col(clean)
     sents = F.regexp_extract_all(clean, F.lit(r"([^.!?…]+[.!?…]*)"), 1)
     sents = F.when(F.size(sents) > 0, sents).otherwise(F.array(clean))
     init = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"))

@@ -8,3 +8,4 @@ from . import whatif  # noqa: F401
 from . import store  # noqa: F401
 from . import ml  # noqa: F401
 from . import streaming  # noqa: F401
+from . import text  # noqa: F401
