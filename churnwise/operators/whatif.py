@@ -254,3 +254,36 @@ def uplift_eval(df: DataFrame, score: str = "uplift", outcome: str = "Churn", n_
     return g.select("decile", "nt", "nc", (rate("yc", "nc") - rate("yt", "nt")).alias("uplift"),
                     (F.coalesce(F.sum("yc").over(wd) / F.sum("nc").over(wd), F.lit(0.0)) * F.sum("nt").over(wd)
                      - F.coalesce(F.sum("yt").over(wd), F.lit(0))).alias("qini"))
+
+
+# Lever units for narration, and the closing disclaimer.
+LEVER_UNITS = {0: "aulas/sem", 1: None, 2: "meses", 3: "meses"}
+NARRATION_DISCLAIMER = "Isto descreve o comportamento do modelo, não causalidade."
+
+
+def narrate_change(lev: DataFrame, top_label: Column, top_up: Column) -> DataFrame:
+    """fixed sentence for a member's cheapest lever: the change, risk
+    before -> after in whole percent, the move in p.p., the largest driver
+    with its direction, and the disclaimer. Members without a lever get the
+    'Sem ajustes' form with an unchanged projection."""
+    real, proj = F.col("_real"), F.coalesce(F.col("projected"), F.col("_real"))
+    pct = lambda p: F.concat(F.floor(p * 100 + 0.5).cast("bigint").cast("string"), F.lit("%"))
+    delta = F.floor((proj - real) * 100 + 0.5).cast("int")
+    v = F.col("to_value")
+    whole = v == F.floor(v)
+    val = F.when(whole, F.floor(v).cast("bigint").cast("string")).otherwise(F.format_string("%.1f", fixed(v, 1)))
+    lev_idx = (F.when(F.col("lever_feature") == LEVERS[0][0], 0).when(F.col("lever_feature") == LEVERS[1][0], 1)
+               .when(F.col("lever_feature") == LEVERS[2][0], 2).otherwise(3))
+    unit = F.create_map(*[x for k, u in LEVER_UNITS.items() if u for x in (F.lit(k), F.lit(u))])[lev_idx]
+    val = F.when(unit.isNotNull(), F.concat(val, F.lit(" "), unit)).otherwise(val)
+    change = F.when(F.col("lever_feature").isNotNull(),
+                    F.concat(F.lit("Ao ajustar "), F.col("lever_label"), F.lit(" para "), val, F.lit(","))) \
+        .otherwise(F.lit("Sem ajustes,"))
+    move = F.when(delta < 0, F.concat(F.lit("(queda de "), F.abs(delta).cast("string"), F.lit(" p.p.)."))) \
+        .when(delta > 0, F.concat(F.lit("(alta de "), delta.cast("string"), F.lit(" p.p.)."))) \
+        .otherwise(F.lit("(sem mudança no risco)."))
+    driver = F.concat(F.lit("O maior fator é "), top_label, F.lit(", "),
+                      F.when(top_up, "empurrando o risco para cima").otherwise("puxando o risco para baixo"), F.lit("."))
+    return lev.withColumn("narration", F.concat_ws(
+        " ", change, F.concat(F.lit("o modelo move o risco de "), pct(real), F.lit(" para "), pct(proj)), move, driver,
+        F.lit(NARRATION_DISCLAIMER)))

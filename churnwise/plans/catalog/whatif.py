@@ -225,3 +225,21 @@ def q_uplift_eval(spark, sf_dir):
     u = _uplift_df(spark, sf_dir)
     a = whatif.assign_experiment(u)
     return whatif.uplift_eval(a)
+
+
+@register("f17_narrate_cheapest_lever", None)
+def q_narrate(spark, sf_dir):
+    """The cheapest lever of every member applied as an
+    override, re-scored, and narrated with the simulated top driver."""
+    from ...operators.scorecard import linear_scorecard
+    s = _scored(spark, sf_dir)
+    lev = whatif.cheapest_lever(s)
+    feat = F.col("lever_feature")
+    over = {f: F.when(feat == f, F.col("to_value")).otherwise(F.col(f).cast("double"))
+            for f in ("Avg_class_frequency_current_month", "Group_visits", "Contract_period", "Month_to_end_contract")}
+    sim = linear_scorecard(lev.withColumns(over), keep=["customer_id"], top_k=1).select(
+        "customer_id", F.col("top_drivers")[0]["feature"].alias("_tf"),
+        (F.col("top_drivers")[0]["shap_value"] >= 0).alias("_up"))
+    j = lev.join(sim, "customer_id")
+    n = whatif.narrate_change(j, decide.lookup(decide.FEATURE_LABELS, F.col("_tf"), ""), F.col("_up"))
+    return n.select("customer_id", "lever_feature", "to_value", "narration")
