@@ -166,10 +166,9 @@ def q_sanitize_documents(spark, sf_dir):
     """D6 / F13 over whole external texts: discount cap on every document."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("offer"),
                                                       F.array().cast("array<string>").alias("channel"),
-                                                      F.lit("").alias("copy"))
-    orig = read_table(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("_n"))
+                                                      F.lit("").alias("copy"), F.length("text").alias("_n"))
     s = decide.sanitize_recommendation(d)
-    return s.join(orig, "doc_id").select("doc_id", "offer", (F.length("offer") - F.col("_n")).alias("delta_chars"))
+    return s.select("doc_id", "offer", (F.length("offer") - F.col("_n")).alias("delta_chars"))
 
 
 @register("d7_intervention_status", with_members(

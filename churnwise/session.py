@@ -26,6 +26,10 @@ def get_spark(master: str = "local[*]", app: str = "churnwise", shuffle_partitio
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    # Keep at least one post-shuffle partition per core when AQE coalesces
+    # small shuffles, so CPU-heavy row work after a small shuffle still runs
+    # on every core (large shuffles are far above this floor anyway).
+    conf.setdefault("spark.sql.adaptive.coalescePartitions.minPartitionNum", str(shuffle_partitions))
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

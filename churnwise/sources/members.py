@@ -13,6 +13,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """For CPU-heavy per-row work (regex chains, what-if search) straight off
+    a scan: if the files give fewer input splits than the cluster has cores
+    (one big row group, say), round-robin the rows over all cores. On a real
+    table the scan already has more splits than cores and nothing is added."""
+    sc = df.sparkSession.sparkContext
+    n = df.rdd.getNumPartitions()  # a scan: no job runs, only file listing
+    return df.repartition(sc.defaultParallelism) if n < sc.defaultParallelism else df
+
+
 def member_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer with at least one order before the cut.
 
