@@ -370,9 +370,8 @@ def risk_band_rollup(scored: DataFrame, p: str = "p_raw") -> DataFrame:
 # A26 ------------------------------------------------------------------------
 def feature_defaults(df: DataFrame, numeric: list[str] | None = None, flags: list[str] | None = None) -> DataFrame:
     """Median per numeric feature, smallest mode per flag, long form."""
-    numeric = numeric or ["Contract_period", "Age", "Avg_additional_charges_total", "Lifetime",
-                          "Avg_class_frequency_current_month"]
-    flags = flags or S.BINARY_FEATURES
+    numeric = numeric or S.LEGACY_NUMERIC
+    flags = flags or S.LEGACY_BINARY
     aggs = [F.median(dbl(c)).alias(c) for c in numeric] + [F.mode(dbl(c), True).alias(c) for c in flags]
     cols = numeric + flags
     parts = ", ".join(f"'{c}', '{'median' if c in numeric else 'mode'}', `{c}`" for c in cols)

@@ -317,7 +317,7 @@ def q_risk_band_rollup(spark, sf_dir):
 
 
 # A26
-_MED = ["Contract_period", "Age", "Avg_additional_charges_total", "Lifetime", "Avg_class_frequency_current_month"]
+_MED = S.LEGACY_NUMERIC
 
 
 def _mode_sql(c):
@@ -327,7 +327,7 @@ def _mode_sql(c):
 @register("a26_feature_defaults", with_members(_union(
     [f"SELECT '{c}' AS feature, 'median' AS stat, {fx(f'MEDIAN(CAST({c} AS DOUBLE))', 6)} AS value FROM members"
      for c in _MED]
-    + [f"SELECT '{c}' AS feature, 'mode' AS stat, {fx(_mode_sql(c), 6)} AS value" for c in S.BINARY_FEATURES])))
+    + [f"SELECT '{c}' AS feature, 'mode' AS stat, {fx(_mode_sql(c), 6)} AS value" for c in S.LEGACY_BINARY])))
 def q_feature_defaults(spark, sf_dir):
     return eda.feature_defaults(_members(spark, sf_dir))
 

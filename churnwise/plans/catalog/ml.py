@@ -193,16 +193,14 @@ def q_cluster_risk(spark, sf_dir):
 # Importances of the rule baseline (feature, importance).
 BASELINE_IMPORTANCE = {"Contract_period": 0.30, "Lifetime": 0.28, "Avg_class_frequency_current_month": 0.22,
                        "Month_to_end_contract": 0.12, "Group_visits": 0.08}
-W8_FEATURES = S.LEGACY_FEATURES + ["Month_to_end_contract"]
+W8_FEATURES = S.LEGACY_FEATURES
 
 
 def _w8_sql():
-    med = ["Contract_period", "Age", "Avg_additional_charges_total", "Lifetime", "Avg_class_frequency_current_month",
-           "Month_to_end_contract"]
     refs = ", ".join(
-        [f"(SELECT MEDIAN(CAST({c} AS DOUBLE)) FROM members) AS r_{c}" for c in med]
+        [f"(SELECT MEDIAN(CAST({c} AS DOUBLE)) FROM members) AS r_{c}" for c in S.LEGACY_NUMERIC]
         + [f"(SELECT CAST({c} AS DOUBLE) FROM members GROUP BY {c} ORDER BY COUNT(*) DESC, {c} LIMIT 1) AS r_{c}"
-           for c in S.BINARY_FEATURES])
+           for c in S.LEGACY_BINARY])
     rows = []
     for i, f in enumerate(W8_FEATURES):
         imp = BASELINE_IMPORTANCE.get(f, 0.0)
@@ -220,10 +218,8 @@ def q_top3_reference(spark, sf_dir):
     """Reference = medians / smallest modes of the base (A26), importances of
     the rule baseline; top 3 per member by (score, importance)."""
     m = member_snapshot(spark, sf_dir)
-    med = ["Contract_period", "Age", "Avg_additional_charges_total", "Lifetime", "Avg_class_frequency_current_month",
-           "Month_to_end_contract"]
-    row = m.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in med],
-                *[F.mode(F.col(c).cast("double"), True).alias(c) for c in S.BINARY_FEATURES]).first()
+    row = m.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in S.LEGACY_NUMERIC],
+                *[F.mode(F.col(c).cast("double"), True).alias(c) for c in S.LEGACY_BINARY]).first()
     ref = row.asDict()  # one value per feature (bounded)
     t = ml.top3_reference_drivers(m, ref, BASELINE_IMPORTANCE, W8_FEATURES)
     return t.select("customer_id", F.posexplode("top_3_drivers").alias("pos", "d")).select(

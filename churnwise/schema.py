@@ -67,20 +67,36 @@ ACTIONABLE = {
     "flag_sleeping_dog": False,
 }
 
-# The legacy analysis service feature list (11 columns).
+# The legacy analysis service feature list (11 columns), its
+# binary subset and its fallback values.
 LEGACY_FEATURES = [
-    "gender",
-    "Near_Location",
-    "Partner",
-    "Promo_friends",
-    "Phone",
-    "Contract_period",
-    "Group_visits",
-    "Age",
-    "Avg_additional_charges_total",
     "Lifetime",
     "Avg_class_frequency_current_month",
+    "Age",
+    "Contract_period",
+    "Month_to_end_contract",
+    "Avg_class_frequency_total",
+    "Avg_additional_charges_total",
+    "Group_visits",
+    "Promo_friends",
+    "Partner",
+    "Near_Location",
 ]
+LEGACY_BINARY = ["Group_visits", "Promo_friends", "Partner", "Near_Location"]
+LEGACY_DEFAULTS = {
+    "Lifetime": 4,
+    "Avg_class_frequency_current_month": 2.0,
+    "Age": 29,
+    "Contract_period": 6,
+    "Month_to_end_contract": 4.0,
+    "Avg_class_frequency_total": 2.0,
+    "Avg_additional_charges_total": 150.0,
+    "Group_visits": 0,
+    "Promo_friends": 0,
+    "Partner": 0,
+    "Near_Location": 1,
+}
+LEGACY_NUMERIC = [f for f in LEGACY_FEATURES if f not in LEGACY_BINARY]
 
 # Seed, splits, costs, thresholds.
 SEED = 42

@@ -90,12 +90,12 @@ def read_members(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return r.format(fmt).load(path)
 
 
-def read_untrusted_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_untrusted_csv(spark: SparkSession, path: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
     """Upload path. Only ``.csv``; returns (good rows, rejected raw lines)."""
     if not path.lower().endswith(".csv"):
         raise ValueError("only .csv files are accepted")
     sch = S.MEMBER.add("_corrupt_record", "string")
-    df = (spark.read.schema(sch).option("header", True).option("mode", "PERMISSIVE")
+    df = (spark.read.schema(sch).option("header", header).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
     # Materialise once so the corrupt-record column can be filtered on.
     df = df.checkpoint(eager=True)
