@@ -97,7 +97,10 @@ def read_untrusted_csv(spark: SparkSession, path: str, header: bool = True) -> t
     sch = S.MEMBER.add("_corrupt_record", "string")
     df = (spark.read.schema(sch).option("header", header).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
-    # Materialise once so the corrupt-record column can be filtered on.
+    # Materialise once (reliable checkpoint in the shared folder) so the
+    # corrupt-record column can be filtered on.
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     df = df.checkpoint(eager=True)
     good = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     bad = df.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
