@@ -104,9 +104,8 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def duplicate_count(df: DataFrame) -> DataFrame:
     """rows minus distinct rows over all columns (distinct is a partial-
     aggregated shuffle on the full row)."""
-    d = df.distinct().agg(_n().alias("distinct_rows"))
-    return df.agg(_n().alias("n_rows")).crossJoin(d).select(
-        "n_rows", "distinct_rows", (F.col("n_rows") - F.col("distinct_rows")).alias("duplicates"))
+    a = df.agg(_n().alias("n_rows"), F.count_distinct(F.struct(*[F.col(c) for c in df.columns])).alias("distinct_rows"))
+    return a.select("n_rows", "distinct_rows", (F.col("n_rows") - F.col("distinct_rows")).alias("duplicates"))
 
 
 # A5 -------------------------------------------------------------------------
@@ -347,14 +346,15 @@ def score_facts(scored: DataFrame) -> DataFrame:
 
 # A21 ------------------------------------------------------------------------
 def future_variable_check(df: DataFrame) -> DataFrame:
-    """Per contract: mean / max months-to-end, n, churn rate; plus the
-    whole-table correlations with contract and lifetime on every row."""
+    """Per contract: mean / max months-to-end, n, churn rate; plus one
+    whole-table row (contract null) with the correlations of months-to-end
+    with contract and lifetime."""
     mte = dbl("Month_to_end_contract")
     per = df.groupBy("Contract_period").agg(r(F.avg(mte), 3).alias("mte_mean"), F.max(mte).alias("mte_max"),
                                             _n().alias("n"), fixed(F.sum(dbl("Churn")) / _n(), 3).alias("churn"))
-    glob = df.agg(fixed(F.corr(mte, dbl("Contract_period")), 4).alias("corr_mte_contract"),
+    glob = df.agg(_n().alias("n"), fixed(F.corr(mte, dbl("Contract_period")), 4).alias("corr_mte_contract"),
                   fixed(F.corr(mte, dbl("Lifetime")), 4).alias("corr_mte_lifetime"))
-    return per.crossJoin(glob)
+    return per.unionByName(glob, allowMissingColumns=True)
 
 
 # A24 ------------------------------------------------------------------------

@@ -48,7 +48,8 @@ def _cumulate(hist: DataFrame, by: list[str] | None = None) -> DataFrame:
         F.sum("n_pos").over(tot).alias("P"), F.sum("n_neg").over(tot).alias("N"))
 
 
-def rank_metrics(hist: DataFrame, by: list[str] | None = None, decile: float = 0.1) -> DataFrame:
+def rank_metrics(hist: DataFrame, by: list[str] | None = None, decile: float = 0.1,
+                 threshold: float | None = None) -> DataFrame:
     """ROC-AUC (ties count half), average precision (step-wise, no
     interpolation) and lift in the top ``decile`` (ties split pro rata)."""
     by = by or []
@@ -62,10 +63,18 @@ def rank_metrics(hist: DataFrame, by: list[str] | None = None, decile: float = 0
             * (F.lit(2) * (F.col("cum_pos") - F.col("n_pos")) + F.col("n_pos")).cast("decimal(38,0)"))
     ap_term = F.when(F.col("n_pos") > 0, (F.col("n_pos") / F.col("P"))
                      * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))))
+    extra = []
+    if threshold is not None:  # confusion counts at one cut, in the same pass
+        pos = F.col("p5").cast("double") / F.lit(SCALE) >= F.lit(float(threshold))
+        extra = [F.sum(F.when(pos, F.col("n_pos")).otherwise(0)).alias("tp"),
+                 F.sum(F.when(pos, F.col("n_neg")).otherwise(0)).alias("fp"),
+                 F.sum(F.when(~pos, F.col("n_pos")).otherwise(0)).alias("fn"),
+                 F.sum(F.when(~pos, F.col("n_neg")).otherwise(0)).alias("tn")]
     g = c.groupBy(*by).agg(
         F.first("P").alias("P"), F.first("N").alias("N"), F.sum(auc2).alias("auc2"),
-        F.sum(ap_term).alias("ap"), F.sum(F.coalesce(top_pos, F.lit(0.0))).alias("top_pos"), F.first(k).alias("k"))
-    return g.select(
+        F.sum(ap_term).alias("ap"), F.sum(F.coalesce(top_pos, F.lit(0.0))).alias("top_pos"), F.first(k).alias("k"),
+        *extra)
+    return g.select(*[c_ for c_ in ("tp", "fp", "fn", "tn") if threshold is not None],
         *by, (F.col("P") + F.col("N")).alias("n"), F.col("P").alias("positives"),
         F.when((F.col("P") > 0) & (F.col("N") > 0),
                F.col("auc2").cast("double") / (F.lit(2.0) * F.col("P") * F.col("N"))).alias("roc_auc"),
@@ -74,35 +83,78 @@ def rank_metrics(hist: DataFrame, by: list[str] | None = None, decile: float = 0
         .otherwise(F.lit(0.0)).alias("lift"))
 
 
-def cut_grid(spark: SparkSession, kind: str = "roi", steps: int = 101) -> DataFrame:
-    """Threshold grids: ``roi`` i/(steps-1); ``cost`` 181 cuts 0.05..0.95 built
-    like numpy.linspace (i * step + start, last point = stop)."""
-    i = F.col("id")
+COST_STEP = (0.95 - 0.05) / 180
+
+
+def grid_cuts(kind: str = "roi", steps: int = 101) -> list[float]:
+    """Threshold grids as doubles: ``roi`` i/(steps-1); ``cost`` 181 cuts
+    0.05..0.95 built like numpy.linspace (i * step + start, last = stop)."""
     if kind == "cost":
-        step = (0.95 - 0.05) / 180
-        cut = F.when(i == 180, F.lit(0.95)).otherwise(i.cast("double") * F.lit(step) + F.lit(0.05))
-        return spark.range(181).select(i.cast("int").alias("i"), cut.alias("cutoff"))
-    return spark.range(steps).select(i.cast("int").alias("i"), (i.cast("double") / F.lit(float(steps - 1))).alias("cutoff"))
+        return [0.95 if i == 180 else i * COST_STEP + 0.05 for i in range(181)]
+    return [i / (steps - 1) for i in range(steps)]
+
+
+def cut_grid(spark: SparkSession, kind: str = "roi", steps: int = 101) -> DataFrame:
+    cuts = grid_cuts(kind, steps)
+    return spark.createDataFrame(list(enumerate(cuts)), "i int, cutoff double")
 
 
-def confusion_grid(hist: DataFrame, grid: DataFrame, by: list[str] | None = None,
+def _grid_index(p: Column, kind: str, steps: int) -> Column:
+    """Largest grid index i with cut_i <= p (-1 when p is below every cut):
+    an arithmetic guess, corrected by exact comparisons with the neighbouring
+    cuts, so it agrees with ``p >= cut`` on every double."""
+    if kind == "cost":
+        n = 181
+        cut = lambda j: F.when(j == 180, F.lit(0.95)).otherwise(j.cast("double") * F.lit(COST_STEP) + F.lit(0.05))
+        guess = F.floor((p - F.lit(0.05)) / F.lit(COST_STEP))
+    else:
+        n = steps
+        cut = lambda j: j.cast("double") / F.lit(float(steps - 1))
+        guess = F.floor(p * F.lit(float(steps - 1)))
+    g = F.least(F.greatest(guess, F.lit(-1)), F.lit(n - 1)).cast("int")
+    up = (g + 1 <= n - 1) & (cut(g + 1) <= p)
+    down = (g >= 0) & (cut(g) > p)
+    return F.when(up, g + 1).when(down, g - 1).otherwise(g)
+
+
+def confusion_grid(hist: DataFrame, kind: str = "roi", steps: int = 101, by: list[str] | None = None,
                    retention_cost: float = S.RETENTION_COST, churn_loss: float = S.CHURN_LOSS,
                    save_rate: float = S.SAVE_RATE) -> DataFrame:
-    """M14 / Q7 for every cut of a small grid: positive when p >= cut.
-    The grid (<= a few hundred rows) is broadcast against the bounded
-    histogram; nothing here scales with the member count."""
+    """M14 / Q7 for every cut of a grid: positive when p >= cut.
+    Each histogram row falls in the bin of the highest cut it reaches; the
+    grid is exploded from a literal array next to the per-group totals and
+    equi-joined to the bin counts on the index; suffix sums over the index
+    give tp(i) = positives in bins >= i. No cross product, and every table
+    here is bounded by the grid size, not the member count."""
     by = by or []
     p = F.col("p5").cast("double") / F.lit(SCALE)
-    pos = p >= F.col("cutoff")
-    j = hist.crossJoin(F.broadcast(grid))
-    g = j.groupBy(*by, "i", "cutoff").agg(
-        F.sum(F.when(pos, F.col("n_pos")).otherwise(0)).alias("tp"),
-        F.sum(F.when(pos, F.col("n_neg")).otherwise(0)).alias("fp"),
-        F.sum(F.when(~pos, F.col("n_pos")).otherwise(0)).alias("fn"),
-        F.sum(F.when(~pos, F.col("n_neg")).otherwise(0)).alias("tn"))
+    bins = hist.groupBy(*by, _grid_index(p, kind, steps).alias("i")).agg(
+        F.sum("n_pos").alias("_np"), F.sum("n_neg").alias("_nn"))
+    tot = bins.groupBy(*by).agg(F.coalesce(F.sum("_np"), F.lit(0)).alias("P"),
+                                F.coalesce(F.sum("_nn"), F.lit(0)).alias("N"))
+    cuts = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("cutoff"))
+                     for i, c in enumerate(grid_cuts(kind, steps))])
+    scaffold = tot.select(*by, "P", "N", F.explode(cuts).alias("g")).select(*by, "P", "N", "g.i", "g.cutoff")
+    j = scaffold.join(bins, [*by, "i"], "left")
+    w = Window.partitionBy(*by).orderBy(F.col("i").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    g = j.select(*by, "i", "cutoff", "P", "N", F.sum(F.coalesce("_np", F.lit(0))).over(w).alias("tp"),
+                 F.sum(F.coalesce("_nn", F.lit(0))).over(w).alias("fp"))
+    g = g.select(*by, "i", "cutoff", "tp", "fp", (F.col("P") - F.col("tp")).alias("fn"),
+                 (F.col("N") - F.col("fp")).alias("tn"))
     return confusion_columns(g, retention_cost, churn_loss, save_rate)
 
 
+def confusion_at(hist: DataFrame, cutoff: float, by: list[str] | None = None) -> DataFrame:
+    """M14 at one cut: conditional sums over the histogram."""
+    by = by or []
+    pos = F.col("p5").cast("double") / F.lit(SCALE) >= F.lit(float(cutoff))
+    g = hist.groupBy(*by).agg(F.sum(F.when(pos, F.col("n_pos")).otherwise(0)).alias("tp"),
+                              F.sum(F.when(pos, F.col("n_neg")).otherwise(0)).alias("fp"),
+                              F.sum(F.when(~pos, F.col("n_pos")).otherwise(0)).alias("fn"),
+                              F.sum(F.when(~pos, F.col("n_neg")).otherwise(0)).alias("tn"))
+    return g.withColumn("cutoff", F.lit(float(cutoff)))
+
+
 def _ratio(a: Column, b: Column) -> Column:
     return F.when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b)
 
@@ -121,19 +173,18 @@ def confusion_columns(g: DataFrame, retention_cost=S.RETENTION_COST, churn_loss=
 
 def threshold_eval(hist: DataFrame, cutoff: float, **costs) -> DataFrame:
     """Q7 at one cut."""
-    grid = hist.sparkSession.range(1).select(F.lit(0).alias("i"), F.lit(float(cutoff)).alias("cutoff"))
-    return confusion_grid(hist, grid, **costs).drop("i")
+    return confusion_columns(confusion_at(hist, cutoff), **costs)
 
 
 def threshold_sweep(hist: DataFrame, steps: int = 51) -> DataFrame:
     """Q8: recall and precision for cuts i/(steps-1), cut shown with 2 decimals."""
-    g = confusion_grid(hist, cut_grid(hist.sparkSession, "roi", steps))
+    g = confusion_grid(hist, "roi", steps)
     return g.select("i", fixed("cutoff", 2).alias("cutoff"), "recall", "precision")
 
 
 def best_roi_cutoff(hist: DataFrame, steps: int = 101, **costs) -> DataFrame:
     """The cut with maximum ROI; the first (lowest) cut wins ties."""
-    g = confusion_grid(hist, cut_grid(hist.sparkSession, "roi", steps), **costs)
+    g = confusion_grid(hist, "roi", steps, **costs)
     best = g.agg(F.min_by(F.struct(*g.columns), F.struct(-F.col("roi"), F.col("i"))).alias("b"))
     return best.select("b.*").drop("i")
 
@@ -143,7 +194,7 @@ def cost_threshold(hist: DataFrame, cost_fn: float = S.COST_FN, cost_fp: float =
     """Over 181 cuts, minimise fn*10 + fp*2 + tp*1 among cuts with recall
     >= 0.70 (all cuts if none qualifies); ties by higher recall, then lower cut.
     Flags when the chosen cut sits on the grid edge."""
-    g = confusion_grid(hist, cut_grid(hist.sparkSession, "cost"))
+    g = confusion_grid(hist, "cost")
     g = g.withColumn("cost", F.col("fn") * F.lit(cost_fn) + F.col("fp") * F.lit(cost_fp) + F.col("tp") * F.lit(cost_tp))
     feasible = F.col("recall") >= min_recall
     a = g.agg(
@@ -160,10 +211,7 @@ def compute_metrics(hist: DataFrame, threshold: float = 0.5, by: list[str] | Non
     """ROC-AUC, PR-AUC, recall, precision, F1, lift, n, positive rate,
     each rounded to 4 decimals like the reference report."""
     by = by or []
-    rm = rank_metrics(hist, by)
-    grid = hist.sparkSession.range(1).select(F.lit(0).alias("i"), F.lit(float(threshold)).alias("cutoff"))
-    cm = confusion_grid(hist, grid, by).drop("i", "cutoff")
-    j = rm.join(cm, by, "inner") if by else rm.crossJoin(cm)
+    j = confusion_columns(rank_metrics(hist, by, threshold=threshold))
     f1 = _ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
     return j.select(*by, fixed("roc_auc", 4).alias("roc_auc"), fixed("pr_auc", 4).alias("pr_auc"),
                     fixed("recall", 4).alias("recall"), fixed("precision", 4).alias("precision"),
@@ -231,28 +279,28 @@ def overfit_gap(metrics: DataFrame, split_col: str = "split", train: str = "trai
                     F.max(F.when(F.col(split_col) == test, F.col("roc_auc"))).alias("test_auc"))
     gap = F.col("train_auc") - F.col("test_auc")
     return a.select("train_auc", "test_auc", fixed(gap, 4).alias("auc_gap"),
-                    F.when(gap > limit, "overfit").otherwise("ok").alias("verdict"))
+                    F.when(F.abs(gap) <= limit, "sem overfit relevante").otherwise("atenção: gap alto").alias("verdict"))
 
 
 # Campaign defaults (monthly revenue, LTV months, accept %, cost, reach %).
 CAMPAIGN_DEFAULTS = {"avg_monthly_revenue": 89.0, "ltv_months": 8, "accept_rate": 35, "cost_per": 40.0, "reach": 70}
 
 
-def campaign_roi(at_risk: DataFrame, scenarios: DataFrame, avg_monthly_revenue: float = 89.0,
+def campaign_roi(at_risk: DataFrame, scenarios: list[tuple[int, int, float]], avg_monthly_revenue: float = 89.0,
                  ltv_months: int = 8) -> DataFrame:
-    """Q12: contacted, recovered, revenue, cost, net, roi per scenario
+    """Q12: contacted, recovered, revenue, cost, net, roi for every scenario
     (reach %, accept %, cost per contact) against an at-risk count table
-    (optionally per segment). Both sides are small aggregates."""
+    (optionally per segment). The scenarios are a literal array exploded on
+    each (small) at-risk row."""
+    arr = F.array(*[F.struct(F.lit(r).alias("reach"), F.lit(a).alias("accept_rate"), F.lit(float(c)).alias("cost_per"))
+                    for r, a, c in scenarios])
+    j = at_risk.select("*", F.explode(arr).alias("_s")).select(*at_risk.columns, "_s.*")
     contacted = F.floor(F.col("at_risk") * F.col("reach") / F.lit(100.0) + F.lit(0.5))
     recovered = F.floor(F.col("contacted") * F.col("accept_rate") / F.lit(100.0) + F.lit(0.5))
-    j = at_risk.crossJoin(F.broadcast(scenarios)).withColumn("contacted", contacted.cast("bigint")) \
-        .withColumn("recovered", recovered.cast("bigint"))
+    j = j.withColumn("contacted", contacted.cast("bigint")).withColumn("recovered", recovered.cast("bigint"))
     ltv = avg_monthly_revenue * ltv_months
-    return j.select(
-        *at_risk.columns, *[c for c in scenarios.columns],
-        "contacted", "recovered", (F.col("recovered") * F.lit(ltv)).alias("preserved_revenue"),
-        (F.col("contacted") * F.col("cost_per")).alias("total_cost"),
-        (F.col("recovered") * F.lit(ltv) - F.col("contacted") * F.col("cost_per")).alias("net"),
-        F.when(F.col("contacted") * F.col("cost_per") > 0,
-               (F.col("recovered") * F.lit(ltv) - F.col("contacted") * F.col("cost_per"))
-               / (F.col("contacted") * F.col("cost_per"))).otherwise(F.lit(0.0)).alias("roi"))
+    cost = F.col("contacted") * F.col("cost_per")
+    net = F.col("recovered") * F.lit(ltv) - cost
+    return j.select(*at_risk.columns, "reach", "accept_rate", "cost_per", "contacted", "recovered",
+                    (F.col("recovered") * F.lit(ltv)).alias("preserved_revenue"), cost.alias("total_cost"),
+                    net.alias("net"), F.when(cost > 0, net / cost).otherwise(F.lit(0.0)).alias("roi"))

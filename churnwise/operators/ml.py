@@ -59,11 +59,12 @@ def assign_folds(df: DataFrame, k: int = S.KFOLDS, key: str = "customer_id", see
 def class_weights(df: DataFrame, label: str = S.TARGET) -> DataFrame:
     """M8: balanced weight n / (2 n_class) per row (the per-class counts are a
     2-row aggregate, broadcast back); plus ``scale_pos_weight`` = neg / pos."""
+    from pyspark.sql.window import Window
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = c.agg(F.sum("_nc").alias("_n"), F.max(F.when(F.col(label) == 0, F.col("_nc"))).alias("_neg"),
-                F.max(F.when(F.col(label) == 1, F.col("_nc"))).alias("_pos"))
-    w = c.crossJoin(tot).select(label, (F.col("_n") / (F.lit(2.0) * F.col("_nc"))).alias("weight"),
-                                (F.col("_neg") / F.col("_pos")).alias("scale_pos_weight"))
+    all_ = Window.partitionBy()  # over the 2 class rows only
+    w = c.select(label, (F.sum("_nc").over(all_) / (F.lit(2.0) * F.col("_nc"))).alias("weight"),
+                 (F.max(F.when(F.col(label) == 0, F.col("_nc"))).over(all_)
+                  / F.max(F.when(F.col(label) == 1, F.col("_nc"))).over(all_)).alias("scale_pos_weight"))
     return df.join(F.broadcast(w), label, "left")
 
 

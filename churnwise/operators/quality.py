@@ -48,12 +48,14 @@ def clean(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
     as the reference does."""
     clean_df = df.select(*cols).dropDuplicates().dropna()
     nulls = sum((F.sum(F.col(c).isNull().cast("bigint")) for c in cols), F.lit(0).cast("bigint"))
-    base = df.agg(F.count(F.lit(1)).alias("rows_original"), nulls.alias("null_values"))
-    distinct_all = df.distinct().agg(F.count(F.lit(1)).alias("_d"))
-    kept = clean_df.agg(F.count(F.lit(1)).alias("rows_clean"))
-    report = base.crossJoin(distinct_all).crossJoin(kept).select(
-        "rows_original", "rows_clean", (F.col("rows_original") - F.col("_d")).alias("duplicates_removed"),
-        "null_values")
+    complete = F.lit(True)
+    for c in cols:
+        complete = complete & F.col(c).isNotNull()
+    report = df.agg(
+        F.count(F.lit(1)).alias("rows_original"),
+        F.count_distinct(F.when(complete, F.struct(*[F.col(c) for c in cols]))).alias("rows_clean"),
+        (F.count(F.lit(1)) - F.count_distinct(F.struct(*[F.col(c) for c in df.columns]))).alias("duplicates_removed"),
+        nulls.alias("null_values"))
     return clean_df, report
 
 

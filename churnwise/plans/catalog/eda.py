@@ -297,10 +297,11 @@ def q_score_facts(spark, sf_dir):
 # A21
 @register("a21_future_variable_check", with_members(
     f"SELECT Contract_period, {fx('AVG(Month_to_end_contract)', 3)} AS mte_mean, MAX(Month_to_end_contract) AS mte_max, "
-    f"COUNT(*) AS n, {fx('SUM(CAST(Churn AS DOUBLE)) / COUNT(*)', 3)} AS churn, "
-    f"(SELECT {fx('CORR(Month_to_end_contract, CAST(Contract_period AS DOUBLE))', 4)} FROM members) AS corr_mte_contract, "
-    f"(SELECT {fx('CORR(Month_to_end_contract, CAST(Lifetime AS DOUBLE))', 4)} FROM members) AS corr_mte_lifetime "
-    "FROM members GROUP BY Contract_period"))
+    f"COUNT(*) AS n, {fx('SUM(CAST(Churn AS DOUBLE)) / COUNT(*)', 3)} AS churn, CAST(NULL AS DOUBLE) AS corr_mte_contract, "
+    "CAST(NULL AS DOUBLE) AS corr_mte_lifetime FROM members GROUP BY Contract_period UNION ALL "
+    "SELECT CAST(NULL AS INTEGER), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), COUNT(*), CAST(NULL AS DOUBLE), "
+    f"{fx('CORR(Month_to_end_contract, CAST(Contract_period AS DOUBLE))', 4)}, "
+    f"{fx('CORR(Month_to_end_contract, CAST(Lifetime AS DOUBLE))', 4)} FROM members"))
 def q_future_variable_check(spark, sf_dir):
     return eda.future_variable_check(_members(spark, sf_dir))
 

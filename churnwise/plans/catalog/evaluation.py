@@ -177,5 +177,4 @@ _SCEN = [(r, a, c) for r in (50, 70, 90) for a in (20, 35, 50) for c in (20.0, 4
 def q_campaign_roi(spark, sf_dir):
     _, s = scored_members(spark, sf_dir)
     at_risk = s.groupBy("archetype").agg(F.count_if(F.col("risk_tier").isin("alto", "critico")).alias("at_risk"))
-    scen = spark.createDataFrame(_SCEN, "reach int, accept_rate int, cost_per double")
-    return ev.campaign_roi(at_risk, scen)
+    return ev.campaign_roi(at_risk, _SCEN)

@@ -101,10 +101,13 @@ def q_train_evaluate(spark, sf_dir):
     metrics per split and the train - test AUC gap."""
     model, scored = trained(spark, sf_dir)
     m = ml.split_metrics(scored, model.threshold)
-    from ...operators.evaluate import overfit_gap
-    gap = overfit_gap(m)
-    return m.crossJoin(gap.select("auc_gap", "verdict")).withColumn(
-        "calibration", F.lit(model.calibrator.method))
+    from pyspark.sql.window import Window
+    all_ = Window.partitionBy()  # over the 3 split rows
+    gap = (F.max(F.when(F.col("split") == "train", F.col("roc_auc"))).over(all_)
+           - F.max(F.when(F.col("split") == "test", F.col("roc_auc"))).over(all_))
+    return m.withColumns({"auc_gap": fixed(gap, 4),
+                          "verdict": F.when(F.abs(gap) <= 0.05, "sem overfit relevante").otherwise("atenção: gap alto"),
+                          "calibration": F.lit(model.calibrator.method)})
 
 
 @register("m17_model_cost_threshold", None)

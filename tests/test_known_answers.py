@@ -83,8 +83,14 @@ def test_confusion_and_roi(pts):
 def test_best_roi_beats_grid(pts):
     h = ev.score_hist(pts)
     best = ev.best_roi_cutoff(h).first()
-    grid = ev.confusion_grid(h, ev.cut_grid(h.sparkSession, "roi", 101)).agg(F.max("roi")).first()[0]
-    assert best.roi >= grid
+    def roi(c):  # brute force on the points
+        tp = sum(1 for p, y in POINTS if p >= c and y == 1)
+        fp = sum(1 for p, y in POINTS if p >= c and y == 0)
+        return tp * 0.35 * 712 - (tp + fp) * 40
+    assert best.roi == pytest.approx(max(roi(i / 100) for i in range(101)))
+    sweep = {r.i: r for r in ev.confusion_grid(h, "roi", 101).collect()}
+    for i in range(101):
+        assert sweep[i].roi == pytest.approx(roi(i / 100)), i
 
 
 def test_empty_points_give_zeros(spark):
