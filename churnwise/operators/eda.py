@@ -83,21 +83,22 @@ def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
 
 # A3 -------------------------------------------------------------------------
 def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """count, mean, sample std, min, quartiles (linear interpolation), max."""
+    """count, mean, sample std, min, quartiles (linear interpolation), max.
+    Moments in one aggregation; quartiles of all columns in one set of exact
+    quantile passes (bounded memory per task, see operators.quantiles)."""
+    from .quantiles import quantiles_long
     cols = cols or [c for c, t in df.dtypes if t in ("int", "bigint", "double")]
     aggs = []
     for c in cols:
         x = dbl(c)
         aggs += [F.count(x).alias(f"{c}__count"), r(F.avg(x)).alias(f"{c}__mean"),
-                 r(F.stddev_samp(x)).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.percentile(x, [0.25, 0.5, 0.75]).alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
+                 r(F.stddev_samp(x)).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
-    parts = ", ".join(
-        f"'{c}', `{c}__count`, `{c}__mean`, `{c}__std`, `{c}__min`, `{c}__q`[0], `{c}__q`[1], `{c}__q`[2], "
-        f"`{c}__max`" for c in cols)
-    out = wide.selectExpr(f"stack({len(cols)}, {parts}) AS (feature, count, mean, std, min, q25, q50, q75, max)")
-    return out.select("feature", "count", "mean", "std", "min", r(F.col("q25")).alias("q25"),
-                      r(F.col("q50")).alias("q50"), r(F.col("q75")).alias("q75"), "max")
+    parts = ", ".join(f"'{c}', `{c}__count`, `{c}__mean`, `{c}__std`, `{c}__min`, `{c}__max`" for c in cols)
+    moments = wide.selectExpr(f"stack({len(cols)}, {parts}) AS (feature, count, mean, std, min, max)")
+    q = quantiles_long(df, cols, [0.25, 0.5, 0.75]).groupBy("feature").agg(
+        *[r(F.max(F.when(F.col("q_idx") == i, F.col("quantile")))).alias(n) for i, n in enumerate(("q25", "q50", "q75"))])
+    return moments.join(q, "feature", "left").select("feature", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 # A4 -------------------------------------------------------------------------
@@ -231,13 +232,16 @@ def derived_means_by_churn(df: DataFrame) -> DataFrame:
 
 # A13 ------------------------------------------------------------------------
 def box_stats_by_churn(df: DataFrame, features: list[str] = BOX_FEATURES) -> DataFrame:
-    """min, q1, median, q3, max per class and feature: pairs exploded once,
-    then one grouped aggregation with exact percentiles."""
+    """min, q1, median, q3, max per class and feature: pairs exploded once;
+    min / max in one grouped aggregation, quartiles by exact quantile passes
+    keyed by (class, feature)."""
+    from .quantiles import quantiles_long
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), dbl(f).alias("v")) for f in features]))
-    g = (df.select("Churn", pairs.alias("p")).groupBy("Churn", "p.feature")
-         .agg(F.min("p.v").alias("min"), F.percentile("p.v", [0.25, 0.5, 0.75]).alias("q"), F.max("p.v").alias("max")))
-    return g.select("Churn", "feature", "min", r(F.col("q")[0]).alias("q1"), r(F.col("q")[1]).alias("median"),
-                    r(F.col("q")[2]).alias("q3"), "max")
+    mm = (df.select("Churn", pairs.alias("p")).groupBy("Churn", "p.feature")
+          .agg(F.min("p.v").alias("min"), F.max("p.v").alias("max")))
+    q = quantiles_long(df, features, [0.25, 0.5, 0.75], by=["Churn"]).groupBy("Churn", "feature").agg(
+        *[r(F.max(F.when(F.col("q_idx") == i, F.col("quantile")))).alias(n) for i, n in enumerate(("q1", "median", "q3"))])
+    return mm.join(q, ["Churn", "feature"], "left").select("Churn", "feature", "min", "q1", "median", "q3", "max")
 
 
 # A14 ------------------------------------------------------------------------
@@ -369,14 +373,17 @@ def risk_band_rollup(scored: DataFrame, p: str = "p_raw") -> DataFrame:
 
 # A26 ------------------------------------------------------------------------
 def feature_defaults(df: DataFrame, numeric: list[str] | None = None, flags: list[str] | None = None) -> DataFrame:
-    """Median per numeric feature, smallest mode per flag, long form."""
+    """Median per numeric feature (exact, bounded memory), smallest mode per
+    flag (a two-value count map), long form."""
+    from .quantiles import quantiles_long
     numeric = numeric or S.LEGACY_NUMERIC
     flags = flags or S.LEGACY_BINARY
-    aggs = [F.median(dbl(c)).alias(c) for c in numeric] + [F.mode(dbl(c), True).alias(c) for c in flags]
-    cols = numeric + flags
-    parts = ", ".join(f"'{c}', '{'median' if c in numeric else 'mode'}', `{c}`" for c in cols)
-    return df.agg(*aggs).selectExpr(f"stack({len(cols)}, {parts}) AS (feature, stat, value)").select(
-        "feature", "stat", r(F.col("value")).alias("value"))
+    med = quantiles_long(df, numeric, [0.5]).select("feature", F.lit("median").alias("stat"),
+                                                    r(F.col("quantile")).alias("value"))
+    parts = ", ".join(f"'{c}', 'mode', `{c}`" for c in flags)
+    modes = df.agg(*[F.mode(dbl(c), True).alias(c) for c in flags]).selectExpr(
+        f"stack({len(flags)}, {parts}) AS (feature, stat, value)")
+    return med.unionByName(modes.select("feature", "stat", r(F.col("value")).alias("value")))
 
 
 # A27 / A28 ------------------------------------------------------------------

@@ -124,11 +124,13 @@ def fit_prep(train: DataFrame, features: list[str] | None = None,
         numeric = [f for f in features if f in S.NUMERIC_FEATURES + S.DERIVED_NUMERIC]
     if binary is None:
         binary = [f for f in features if f in S.BINARY_FEATURES + S.DERIVED_BINARY]
+    from .quantiles import quantile_map
     wcols = [f for f in numeric if f in winsor]
     b = {}
     if wcols:
-        r = train.agg(*[F.percentile(dbl(f), [(100 - pct) / 100.0, pct / 100.0]).alias(f) for f in wcols]).first()
-        b = {f: (r[f][0], r[f][1]) for f in wcols}
+        lo_p, hi_p = (100 - pct) / 100.0, pct / 100.0
+        qm = quantile_map(train, wcols, [lo_p, hi_p])
+        b = {f: (qm[(f, lo_p)], qm[(f, hi_p)]) for f in wcols}
 
     def clipped(f):
         x = dbl(f)
@@ -137,14 +139,14 @@ def fit_prep(train: DataFrame, features: list[str] | None = None,
     aggs = []
     for f in numeric:
         x = clipped(f)
-        aggs += [F.median(x).alias(f"{f}__med"), F.sum(x).alias(f"{f}__s"), F.sum(x * x).alias(f"{f}__s2"),
-                 F.count(x).alias(f"{f}__k")]
+        aggs += [F.sum(x).alias(f"{f}__s"), F.sum(x * x).alias(f"{f}__s2"), F.count(x).alias(f"{f}__k")]
     aggs.append(F.count(F.lit(1)).alias("__n"))
     r = train.agg(*aggs).first()
+    meds = quantile_map(train.select(*[clipped(f).alias(f) for f in numeric]), numeric, [0.5]) if numeric else {}
     n = r["__n"]
     params = {}
     for f in numeric:
-        med, s, s2, k = r[f"{f}__med"], r[f"{f}__s"] or 0.0, r[f"{f}__s2"] or 0.0, r[f"{f}__k"]
+        med, s, s2, k = meds.get((f, 0.5)), r[f"{f}__s"] or 0.0, r[f"{f}__s2"] or 0.0, r[f"{f}__k"]
         med = med if med is not None else 0.0
         tot, tot2 = s + (n - k) * med, s2 + (n - k) * med * med
         mean = tot / n if n else 0.0

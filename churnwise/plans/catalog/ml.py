@@ -19,6 +19,13 @@ from ...sources.members import member_snapshot
 from ..oracle_sql import fx, sdiv, with_members
 from ..registry import register
 
+
+class _Row(dict):
+    """A dict with Row.asDict(), for per-feature reference values."""
+
+    def asDict(self):
+        return dict(self)
+
 _CACHE: dict = {}
 
 
@@ -221,8 +228,10 @@ def q_top3_reference(spark, sf_dir):
     """Reference = medians / smallest modes of the base (A26), importances of
     the rule baseline; top 3 per member by (score, importance)."""
     m = member_snapshot(spark, sf_dir)
-    row = m.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in S.LEGACY_NUMERIC],
-                *[F.mode(F.col(c).cast("double"), True).alias(c) for c in S.LEGACY_BINARY]).first()
+    from ...operators.quantiles import quantile_map
+    med = quantile_map(m, S.LEGACY_NUMERIC, [0.5])
+    modes = m.agg(*[F.mode(F.col(c).cast("double"), True).alias(c) for c in S.LEGACY_BINARY]).first().asDict()
+    row = _Row({**{c: med[(c, 0.5)] for c in S.LEGACY_NUMERIC}, **modes})
     ref = row.asDict()  # one value per feature (bounded)
     t = ml.top3_reference_drivers(m, ref, BASELINE_IMPORTANCE, W8_FEATURES)
     return t.select("customer_id", F.posexplode("top_3_drivers").alias("pos", "d")).select(

@@ -15,6 +15,13 @@ from ..analysis import analysis_run
 from ..oracle_sql import fx, with_members
 from ..registry import register
 
+
+class _Row(dict):
+    """A dict with Row.asDict(), for per-feature reference values."""
+
+    def asDict(self):
+        return dict(self)
+
 _COLS = S.LEGACY_FEATURES + [S.TARGET]
 
 
@@ -94,8 +101,10 @@ def q_fill_defaults(spark, sf_dir):
             e = F.when(k % 5 == 0, F.lit(None).cast("double")).otherwise(e)
         cols[c] = e
     partial = m.select("customer_id", *[v.alias(c) for c, v in cols.items()])
-    row = m.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in S.LEGACY_NUMERIC],
-                *[F.mode(F.col(c).cast("double"), True).alias(c) for c in S.LEGACY_BINARY]).first()
+    from ...operators.quantiles import quantile_map
+    med = quantile_map(m, S.LEGACY_NUMERIC, [0.5])
+    modes = m.agg(*[F.mode(F.col(c).cast("double"), True).alias(c) for c in S.LEGACY_BINARY]).first().asDict()
+    row = _Row({**{c: med[(c, 0.5)] for c in S.LEGACY_NUMERIC}, **modes})
     filled = quality.fill_defaults(partial, row.asDict())
     return filled.select("customer_id", "informed", "accepted", *S.LEGACY_FEATURES)
 

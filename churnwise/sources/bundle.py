@@ -95,10 +95,11 @@ class Winsorizer(Estimator, _WinsorParams, DefaultParamsReadable, DefaultParamsW
     def _fit(self, df: DataFrame) -> "WinsorizerModel":
         p = self.getOrDefault(self.percentile)
         cols = self.getInputCols()
-        r = df.agg(*[F.percentile(F.col(c).cast("double"), [(100 - p) / 100.0, p / 100.0]).alias(c)
-                     for c in cols]).first()
+        from ..operators.quantiles import quantile_map
+        lo, hi = (100 - p) / 100.0, p / 100.0
+        qm = quantile_map(df, cols, [lo, hi])
         m = WinsorizerModel()
-        m._set(inputCols=cols, percentile=p, bounds=json.dumps({c: [r[c][0], r[c][1]] for c in cols}))
+        m._set(inputCols=cols, percentile=p, bounds=json.dumps({c: [qm[(c, lo)], qm[(c, hi)]] for c in cols}))
         return m
 
 
