@@ -36,6 +36,19 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
     x = F.col(value).cast("double")
     d = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull())
     n_max = d.groupBy(*by).count().agg(F.max("count")).first()[0] or 1  # one number
+    if n_max <= max_bracket:
+        # Every group is small enough for Spark's exact percentile: its value
+        # map holds at most n_max <= max_bracket entries. One pass.
+        g = d.groupBy(*by).agg(F.percentile("_x", [float(p) for p in probs]).alias("_q"))
+        return g.select(*by, F.posexplode("_q").alias("q_idx", "quantile")).select(
+            *by, F.col("q_idx").cast("int").alias("q_idx"),
+            F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("q_idx") + 1).alias("p"), "quantile")
+    # Large groups: the passes below all read the same narrow projection;
+    # write it once to the shared checkpoint folder (cuts the upstream lineage,
+    # survives lost executors) instead of recomputing the input in every pass.
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    d = d.checkpoint(eager=True)
     acc = int(min(max(10_000, math.ceil(6.0 * n_max / max_bracket)), 2_000_000_000))
     # Rank margin = sketch error (n / acc) + 3 whole ranks (the sketch's order
     # statistic and the interpolation ranks are defined apart). One literal

@@ -17,7 +17,7 @@ def data(spark):
     return vals, grp, spark.createDataFrame(list(zip(grp, vals)), "g int, v double")
 
 
-@pytest.mark.parametrize("max_bracket", [200_000, 50])
+@pytest.mark.parametrize("max_bracket", [200_000, 5000, 50])
 def test_global(data, max_bracket):
     vals, _, df = data
     got = {r.q_idx: r.quantile for r in exact_quantiles(df, "v", P, max_bracket=max_bracket).collect()}
@@ -25,8 +25,9 @@ def test_global(data, max_bracket):
         assert got[i] == pytest.approx(w, abs=1e-12)
 
 
-def test_grouped(data):
+@pytest.mark.parametrize("max_bracket", [200_000, 50])
+def test_grouped(data, max_bracket):
     vals, grp, df = data
-    for r in exact_quantiles(df, "v", P, by=["g"]).collect():
+    for r in exact_quantiles(df, "v", P, by=["g"], max_bracket=max_bracket).collect():
         sub = np.array([v for g, v in zip(grp, vals) if g == r.g])
         assert r.quantile == pytest.approx(np.quantile(sub, r.p), abs=1e-12)
