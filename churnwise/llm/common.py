@@ -13,6 +13,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -49,7 +50,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYT
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column).cast(pa.large_binary())), 0)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.large_binary())), 0)
         block = np.cumsum(sizes.to_numpy(zero_copy_only=False)) // most
         cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
@@ -70,6 +71,29 @@ class Memo(dict):
         return value
 
 
+class Recent:
+    """A memo filled many keys at a time. It keeps the last two generations of ``most`` keys, so frequent keys stay."""
+
+    def __init__(self, fn, most: int = 300_000):
+        self.fn, self.most = fn, most
+        self.now, self.old = {}, {}
+
+    def of(self, keys: set):
+        """Compute what is missing of ``keys``; returns the function that looks one up."""
+        if len(self.now) + len(keys) > self.most:
+            self.old, self.now = self.now, {}
+        now, old, todo = self.now, self.old, []
+        for k in keys:
+            if k not in now:
+                if k in old:
+                    now[k] = old[k]
+                else:
+                    todo.append(k)
+        for i in range(0, len(todo), 50_000):
+            now.update(zip(todo[i:i + 50_000], self.fn(todo[i:i + 50_000])))
+        return now.__getitem__
+
+
 def word_memo() -> Memo:
     """Word -> stable 64-bit hash."""
     return Memo(xxhash.xxh3_64_intdigest)

@@ -2,10 +2,10 @@
 
 A byte pair that occurs inside no vocabulary token can never be bridged by a
 merge, so a cut there is certain. White space occurs inside no token: texts are
-cut there first, and each piece (after the tokenizer's own normalisation and
-pre-tokenisation) again at every other byte pair that no token contains. The
-fragments are encoded independently, each distinct one once per memo, and their
-ids concatenated. Ids and decoded texts equal those of the tokenizers library.
+cut there first, and each distinct chunk (after the tokenizer's own normalisation
+and pre-tokenisation) again at every other byte pair that no token contains. The
+fragments are encoded independently and their ids concatenated; a memo of bounded
+size keeps the ids of chunks that come again. Ids and decoded texts equal those of the tokenizers library.
 
 Rows: one out for each in, whatever repeats. A null or empty text has no ids
 and decodes to the empty text; null ids decode to the empty text. Texts of any
@@ -18,14 +18,13 @@ from __future__ import annotations
 import functools
 import json
 import re
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import Memo, lists, slices, table, texts, with_columns
+from .common import Recent, lists, slices, table, texts, with_columns
 
 DEFAULT = "word_bpe_49k.json"
 
@@ -50,86 +49,102 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(rest)) for b in range(256)]
 
 
+#: Code points for fragments: a byte within a word, and a word's last byte.
+INNER, LAST = 0x400, 0x500
+
+
 class Encoder:
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    """Encodes fragments with the merges of a vocabulary file.
+
+    The file's merges are kept in a model over 512 symbols, a byte within a
+    word or a word's last byte, so that a fragment from the middle of a word
+    is encoded just as it is within the word.
+    """
+
+    def __init__(self, path: str, most: int = 300_000):
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         spec = json.load(open(path))
         model = spec["model"]
         if model["type"] != "BPE" or spec["decoder"] is not None or not model["end_of_word_suffix"]:
             raise ValueError(f"{path}: not a BPE vocabulary with word ends and without a decoder")
         self.library = Tokenizer.from_file(path)
-        self.suffix, self.vocab = model["end_of_word_suffix"], model["vocab"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.tokens = {i: t for t, i in (self.vocab | self.special).items()}
-        self.rank = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
-        self.letters = byte_alphabet()
-        number = {c: b for b, c in enumerate(self.letters)}
-        #: Byte pairs inside some token, as 2-byte strings; every other pair is a certain cut.
-        self.inside = set()
-        for token in self.vocab:
-            raw = bytes(number[c] for c in token.removesuffix(self.suffix) if c in number)
-            self.inside.update(raw[i:i + 2] for i in range(len(raw) - 1))
-        self.ascii_pieces = re.compile(ASCII_PIECES)
-        self.text_pieces = regex.compile(TEXT_PIECES)
-        self.fragments = Memo(self._fragment, 200_000)
-        self.chunks = Memo(self._chunk)
-
-    def _fragment(self, key: tuple[bytes, bool]) -> list[int]:
-        """Ids of one fragment; ``key[1]``: it ends a word."""
-        raw, end = key
-        parts = [self.letters[b] for b in raw]
-        if end:
-            parts[-1] += self.suffix
-        while len(parts) > 1:
-            best = min(pairwise(parts), key=lambda p: self.rank.get(p, 1 << 60))
-            if best not in self.rank:
-                break
-            out, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and (parts[i], parts[i + 1]) == best:
-                    out.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return [self.vocab[p] for p in parts]
-
-    def _piece(self, raw: bytes) -> list[int]:
-        """Cut a word at the byte pairs that no token contains and join the fragments' ids."""
-        if len(raw) > 512:  # merging below takes quadratic time, the library's own does not
-            return [t.id for t in self.library.model.tokenize("".join(self.letters[b] for b in raw))]
-        cuts = [0, *(i + 1 for i in range(len(raw) - 1) if raw[i:i + 2] not in self.inside), len(raw)]
-        return [t for a, b in pairwise(cuts) for t in self.fragments[raw[a:b], b == len(raw)]]
-
-    def _pieces(self, chunk: bytes) -> list[bytes]:
-        """Normalise a chunk without white space and cut it into words as the vocabulary file says."""
-        if chunk.isascii():
-            return self.ascii_pieces.findall(chunk.lower())
-        text = chunk.decode("utf-8", "replace")
-        if max(text) < "ƀ":  # composed already, and lower case by character
-            return [p.encode() for p in self.text_pieces.findall(text.lower())]
-        words = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
-        number = {c: b for b, c in enumerate(self.letters)}
-        return [bytes(number[c] for c in w) for w, _ in words]
-
-    def _chunk(self, chunk: bytes) -> bytes:
-        """Ids of a chunk between white space, as little-endian 32-bit integers."""
-        ids: list[int] = []
-        if b"<|" in chunk:
-            for part in self.cut_special.split(chunk.decode("utf-8", "replace")):
-                if part in self.special:
-                    ids.append(self.special[part])
-                else:
-                    ids += [t for p in self._pieces(part.encode()) for t in self._piece(p)]
-        else:
-            ids = [t for p in self._pieces(chunk) for t in self._piece(p)]
-        return np.array(ids, "<i4").tobytes()
-
-    def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.chunks.__getitem__, text.split()))
+        vocab, suffix = model["vocab"], model["end_of_word_suffix"]
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special = [s.encode() for s in special]
+        self.tokens = {i: t for t, i in (vocab | special).items()}
+        self.number = {c: b for b, c in enumerate(byte_alphabet())}
+
+        def symbols(token: str) -> str:
+            raw = [self.number[c] for c in token.removesuffix(suffix)]
+            return "".join(chr(INNER + b) for b in raw[:-1]) + chr((LAST if token.endswith(suffix) else INNER) + raw[-1])
+
+        #: inside[x, y]: some token holds the bytes x and y side by side. Every other pair is a certain cut.
+        self.inside = np.zeros((256, 256), bool)
+        for token in vocab:
+            raw = [self.number[c] for c in token.removesuffix(suffix)]
+            self.inside[raw[:-1], raw[1:]] = True
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.model = Tokenizer(models.BPE({symbols(t): i for t, i in vocab.items()},
+                                          [(symbols(x), symbols(y)) for x, y in merges]))
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.ascii_pieces, self.text_pieces = re.compile(b"\n|" + ASCII_PIECES), regex.compile("\n|" + TEXT_PIECES)
+        self.chunks, self.words = Recent(self._chunks, most), Recent(self._words, most)
+
+    def _pieces(self, plain: list[bytes], wide: list[bytes], odd: list[bytes]) -> list[bytes]:
+        """Normalise chunks and cut them into words as the file says, with a line feed after each chunk."""
+        out = self.ascii_pieces.findall(b"".join(c + b"\n" for c in plain).lower())
+        out += [p.encode() for p in self.text_pieces.findall(b"".join(c + b"\n" for c in wide).decode().lower())]
+        for c in odd:
+            text = self.library.normalizer.normalize_str(c.decode("utf-8", "replace"))
+            out += [bytes(self.number[x] for x in w) for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
+            out.append(b"\n")
+        return out
+
+    def _chunks(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of each chunk between white space."""
+        plain, wide, odd, out = [], [], [], {}
+        for c in chunks:
+            if b"<|" in c and any(s in c for s in self.special):
+                ids = self.library.encode(c.decode("utf-8", "replace"), add_special_tokens=False).ids
+                out[c] = np.array(ids, "<i4").tobytes()
+            elif c.isascii():
+                plain.append(c)
+            elif max(c) < 0xC6:  # below U+0180: composed already, and lower-cased by character
+                wide.append(c)
+            else:
+                odd.append(c)
+        pieces = self._pieces(plain, wide, odd)
+        data = b"".join(map(self.words.of(set(pieces)), pieces))
+        ends = (np.flatnonzero(np.frombuffer(data, "<i4") == -1) * 4).tolist()
+        for c, a, b in zip(plain + wide + odd, [-4, *ends], ends):
+            out[c] = data[a + 4:b]
+        return [out[c] for c in chunks]
+
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        """Cut words at the byte pairs that no token contains and encode the fragments; a line feed gives -1."""
+        raw = np.frombuffer(b" ".join(words), np.uint8)
+        gap = (raw == 0x20) | (raw == 0x0A)
+        after = np.append(gap[1:], True)
+        code = raw.astype("<u2") + np.where(after, LAST, INNER).astype("<u2")
+        code[gap] = 0x20
+        cut = np.flatnonzero(~gap[:-1] & ~after[:-1] & ~self.inside[raw[:-1], raw[1:]])
+        starts = ~gap & np.append(True, gap[:-1])
+        starts[cut + 1] = True
+        owner = np.cumsum(raw == 0x20)[starts]
+        text = np.insert(code, cut + 1, 0x20).astype("<u2").tobytes().decode("utf-16-le")
+        enc = self.model.encode(text, add_special_tokens=False)
+        data = np.array(enc.ids, "<i4").tobytes()
+        counts = np.bincount(owner[np.array(enc.word_ids, np.int64)], minlength=len(words)) if data else [0] * len(words)
+        ends = (np.cumsum(counts) * 4).tolist()
+        line = np.array([-1], "<i4").tobytes()
+        return [line if w == b"\n" else data[a:b] for w, a, b in zip(words, [0, *ends], ends)]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers."""
+        words = [t.split() for t in texts]
+        ids = self.chunks.of(set().union(*words))
+        return [b"".join(map(ids, w)) for w in words]
 
     def decode(self, ids: list[int]) -> str:
         """The tokens' texts joined by spaces: this vocabulary has no decoder of its own. Unknown ids are left out."""
@@ -149,7 +164,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", vocab: str = D
     def run(batches):
         enc = encoder(vocab)
         for b in slices(batches, text):
-            out = lists([enc.encode(t) for t in texts(b.column(text))], pa.int32(), 4)
+            out = lists(enc.encode(texts(b.column(text))), pa.int32(), 4)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), out], [*kept, ids])
 
     return docs.mapInArrow(run, schema)
