@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from .op4_suffix import op4_suffix
+from .op9_pii import op9_pii
 from .op10_bpe import op10_bpe
 
-QUERIES = {"op10_bpe": op10_bpe}
+QUERIES = {"op4_suffix": op4_suffix, "op9_pii": op9_pii, "op10_bpe": op10_bpe}
 SQL: dict[str, str] = {}
