@@ -142,6 +142,28 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Runs of rows with equal ``keys`` in batches sorted by them."""
+    held, key = [], None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        new = np.zeros(batch.num_rows, bool)
+        for k in keys:
+            x = batch.column(k).to_numpy(zero_copy_only=False)
+            new[1:] |= x[1:] != x[:-1]
+        cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            here = tuple(batch.column(k)[a].as_py() for k in keys)
+            if held and here != key:
+                yield key, pa.Table.from_batches(held)
+                held = []
+            key = here
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield key, pa.Table.from_batches(held)
+
+
 def with_columns(schema: T.StructType, added: list[T.StructField]) -> T.StructType:
     """``schema`` followed by ``added``; columns of the same name (in any case) give way to the added ones."""
     names = {f.name.lower() for f in added}
