@@ -197,3 +197,11 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         state = seen
     return e.select(F.col("a").alias("id"), F.col("b").alias("component")).union(
         e.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
+
+
+def file_system(uri: str):
+    """The file system of a URI and the path in it, for files that are not tables (archives, token files)."""
+    from pyarrow import fs
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri[5:]
+    return fs.FileSystem.from_uri(uri)
