@@ -72,7 +72,8 @@ class Memo(dict):
 
 
 class Recent:
-    """A memo filled many keys at a time. It keeps the last two generations of ``most`` keys, so frequent keys stay."""
+    """A memo filled many keys at a time: ``fn`` takes a list of keys and returns (key, value) pairs. It keeps the last
+    two generations of about ``most`` keys, so frequent keys stay."""
 
     def __init__(self, fn, most: int = 300_000):
         self.fn, self.most = fn, most
@@ -80,18 +81,16 @@ class Recent:
 
     def of(self, keys: set):
         """Compute what is missing of ``keys``; returns the function that looks one up."""
-        if len(self.now) + len(keys) > self.most:
+        todo = keys - self.now.keys()
+        if self.now and len(self.now) + len(todo) > self.most:
             self.old, self.now = self.now, {}
-        now, old, todo = self.now, self.old, []
-        for k in keys:
-            if k not in now:
-                if k in old:
-                    now[k] = old[k]
-                else:
-                    todo.append(k)
+            todo = keys
+        known = todo & self.old.keys()
+        self.now.update(zip(known, map(self.old.__getitem__, known)))
+        todo = list(todo - known)
         for i in range(0, len(todo), 50_000):
-            now.update(zip(todo[i:i + 50_000], self.fn(todo[i:i + 50_000])))
-        return now.__getitem__
+            self.now.update(self.fn(todo[i:i + 50_000]))
+        return self.now.__getitem__
 
 
 def word_memo() -> Memo:

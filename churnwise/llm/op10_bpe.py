@@ -61,7 +61,7 @@ class Encoder:
     is encoded just as it is within the word.
     """
 
-    def __init__(self, path: str, most: int = 200_000):
+    def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer, models, pre_tokenizers
 
         spec = json.load(open(path))
@@ -90,7 +90,7 @@ class Encoder:
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.ascii_pieces, self.text_pieces = re.compile(b"\n|" + ASCII_PIECES), regex.compile("\n|" + TEXT_PIECES)
         self.high = re.compile(b"[\xc6-\xff]")
-        self.chunks, self.words = Recent(self._chunks, most), Recent(self._words, most)
+        self.chunks, self.words = Recent(self._chunks, most), Recent(self._words, most // 2)
 
     def _pieces(self, plain: list[bytes], wide: list[bytes], odd: list[bytes]) -> list[bytes]:
         """Normalise chunks and cut them into words as the file says, with a line feed after each chunk."""
@@ -102,28 +102,26 @@ class Encoder:
             out.append(b"\n")
         return out
 
-    def _chunks(self, chunks: list[bytes]) -> list[bytes]:
-        """The ids of each chunk between white space."""
-        plain, wide, odd, out = [], [], [], {}
-        for c in chunks:
-            if b"<|" in c and any(s in c for s in self.special):
-                ids = self.library.encode(c.decode("utf-8", "replace"), add_special_tokens=False).ids
-                out[c] = np.array(ids, "<i4").tobytes()
-            elif c.isascii():
-                plain.append(c)
-            elif max(c) < 0xC6:  # below U+0180: composed already, and lower-cased by character
-                wide.append(c)
-            else:
-                odd.append(c)
+    def _chunks(self, chunks: list[bytes]):
+        """(chunk, ids) of chunks between white space."""
+        plain = [c for c in chunks if c.isascii()]
+        rest = [c for c in chunks if not c.isascii()]
+        special = [c for c in chunks if b"<|" in c and any(s in c for s in self.special)]
+        if special:
+            plain, rest = ([c for c in x if c not in special] for x in (plain, rest))
+        high = self.high.search
+        wide, odd = [c for c in rest if not high(c)], [c for c in rest if high(c)]
         pieces = self._pieces(plain, wide, odd)
         data = b"".join(map(self.words.of(set(pieces)), pieces))
         ends = (np.flatnonzero(np.frombuffer(data, "<i4") == -1) * 4).tolist()
-        for c, a, b in zip(plain + wide + odd, [-4, *ends], ends):
-            out[c] = data[a + 4:b]
-        return [out[c] for c in chunks]
+        out = list(zip(plain + wide + odd, [data[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends)]))
+        for c in special:
+            ids = self.library.encode(c.decode("utf-8", "replace"), add_special_tokens=False).ids
+            out.append((c, np.array(ids, "<i4").tobytes()))
+        return out
 
-    def _words(self, words: list[bytes]) -> list[bytes]:
-        """Cut words at the byte pairs that no token contains and encode the fragments; a line feed gives -1."""
+    def _words(self, words: list[bytes]):
+        """(word, ids): cut words at the byte pairs that no token contains and encode the fragments; a line feed gives -1."""
         raw = np.frombuffer(b" ".join(words), np.uint8)
         gap = (raw == 0x20) | (raw == 0x0A)
         after = np.append(gap[1:], True)
@@ -139,7 +137,7 @@ class Encoder:
         counts = np.bincount(owner[np.array(enc.word_ids, np.int64)], minlength=len(words)) if data else [0] * len(words)
         ends = (np.cumsum(counts) * 4).tolist()
         line = np.array([-1], "<i4").tobytes()
-        return [line if w == b"\n" else data[a:b] for w, a, b in zip(words, [0, *ends], ends)]
+        return [(w, line if w == b"\n" else data[a:b]) for w, a, b in zip(words, [0, *ends], ends)]
 
     def _plain(self, text: bytes) -> bytes:
         """Lower-case A-Z beforehand, so that fewer chunks are distinct, where that can't change the result: below

@@ -93,7 +93,7 @@ def keys(h: np.ndarray, bands: Bands) -> np.ndarray:
 def sketched(docs: DataFrame, text: str, words: int, percent: int) -> DataFrame:
     """doc_id, n (set size), fp1 and fp2 (fingerprint of the set), keys. Of equal sets seen by a task, one has keys."""
     def run(batches):
-        memo, bands, seen = word_memo(), Bands(percent), Recent(lambda k: [None] * len(k), 100_000)
+        memo, bands, seen = word_memo(), Bands(percent), Recent(lambda ks: [(k, None) for k in ks], 100_000)
         for b in slices(batches, text):
             n, fp1, fp2, out = [], [], [], []
             for t in texts(b.column(text)):
