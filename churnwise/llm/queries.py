@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .op1_jaccard import op1_jaccard
+from .op2_rans import op2_rans
 from .op3_quality import op3_quality
 from .op4_suffix import op4_suffix
 from . import op5_warc
@@ -10,5 +11,5 @@ from .op7_license import op7_license
 from .op9_pii import op9_pii
 from .op10_bpe import op10_bpe
 
-QUERIES = {"op1_jaccard": op1_jaccard, "op3_quality": op3_quality, "op4_suffix": op4_suffix, "op5_warc": op5_warc.op5_warc, "op7_license": op7_license, "op9_pii": op9_pii, "op10_bpe": op10_bpe}
+QUERIES = {"op1_jaccard": op1_jaccard, "op2_rans": op2_rans, "op3_quality": op3_quality, "op4_suffix": op4_suffix, "op5_warc": op5_warc.op5_warc, "op7_license": op7_license, "op9_pii": op9_pii, "op10_bpe": op10_bpe}
 SQL: dict[str, str] = {"op5_warc": op5_warc.SQL}
