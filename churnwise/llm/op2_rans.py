@@ -127,6 +127,16 @@ def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, t: Tabl
     return BLOCK_HEAD.pack(len(doc_ids), len(ids), lanes, len(stream) // 4, len(marks), zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(body)) + body
 
 
+def file_head(t: Table, blocks: list[bytes]) -> bytes:
+    return FILE_HEAD.pack(MAGIC, t.bits, t.crc, len(blocks)) + struct.pack(f"<{len(blocks)}Q", *map(len, blocks))
+
+
+def check_head(f, t: Table) -> None:
+    magic, bits, crc, _ = FILE_HEAD.unpack(f.read_at(FILE_HEAD.size, 0))
+    if magic != MAGIC or bits != t.bits or crc != t.crc:
+        raise ValueError("not a file of this table of frequencies")
+
+
 class Block:
     """A block of the file format, read; ``ids`` decodes it, ``some`` a part of it."""
 
@@ -243,7 +253,7 @@ def write(ids: DataFrame, t: Table, folder: str) -> DataFrame:
                     x, y = int(ends[a] - counts[a]), int(ends[b - 1])
                     blocks.append(pack(doc_ids[a:b], counts[a:b], flat[x:y], t))
                     info.append((b - a, y - x))
-                head = FILE_HEAD.pack(MAGIC, t.bits, t.crc, len(blocks)) + struct.pack(f"<{len(blocks)}Q", *map(len, blocks))
+                head = file_head(t, blocks)
                 fs, where = file_system(folder)
                 fs.create_dir(where)
                 name = f"{part:06d}-{number:06d}-{uuid.uuid4().hex[:12]}.rans"
@@ -270,9 +280,7 @@ def read(manifest: DataFrame, t: Table) -> DataFrame:
             for r in batch.to_pylist():
                 fs, where = file_system(r["path"])
                 with fs.open_input_file(where) as f:
-                    magic, bits, crc, _ = FILE_HEAD.unpack(f.read_at(FILE_HEAD.size, 0))
-                    if magic != MAGIC or bits != t.bits or crc != t.crc:
-                        raise ValueError(f"{r['path']}: not a file of this table of frequencies")
+                    check_head(f, t)
                     block = Block(f.read_at(r["size"], r["offset"]), t)
                 data = block.ids().astype("<u4").tobytes()
                 ends = np.cumsum(block.counts, dtype=np.int64)
