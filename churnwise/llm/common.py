@@ -8,6 +8,7 @@ Arrow batch and one memo only.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -15,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..session import scratch_path
@@ -163,6 +165,29 @@ def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[t
         yield key, pa.Table.from_batches(held)
 
 
+def partition_sum(rows: DataFrame, part, size: int) -> np.ndarray:
+    """Sum of ``part(batch)``, a vector of ``size`` numbers, over all Arrow batches: within each partition, then within
+    groups of partitions (the square root of their number), then over the groups on the driver."""
+    groups = max(1, math.isqrt(rows.rdd.getNumPartitions()))
+
+    def run(batches):
+        total = np.zeros(size)
+        for b in batches:
+            if b.num_rows:
+                total += part(b)
+        yield pa.RecordBatch.from_pydict({"g": pa.array([TaskContext.get().partitionId() % groups], pa.int32()),
+                                          "total": pa.array([total.tobytes()], pa.binary())})
+
+    def add(t: pa.Table) -> pa.Table:
+        total = np.zeros(size)
+        for x in t.column("total"):
+            total += np.frombuffer(x.as_py())
+        return pa.table({"total": pa.array([total.tobytes()], pa.binary())})
+
+    parts = rows.mapInArrow(run, "g int, total binary").groupBy("g").applyInArrow(add, "total binary")
+    return sum((np.frombuffer(r[0]) for r in parts.collect()), np.zeros(size))
+
+
 def with_columns(schema: T.StructType, added: list[T.StructField]) -> T.StructType:
     """``schema`` followed by ``added``; columns of the same name (in any case) give way to the added ones."""
     names = {f.name.lower() for f in added}

@@ -26,10 +26,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import slices, stored, table, texts, with_columns
+from .common import partition_sum, slices, stored, table, texts, with_columns
 
 #: Random features, kernel width, ridge, histogram bins and the range of raw scores that they cover.
 D, WIDTH, RIDGE, BINS, RANGE = 256, 3.0, 1e-3, 2000, (-0.5, 1.5)
@@ -97,25 +96,8 @@ class Model:
 
 
 def summed(rows: DataFrame, part, size: int) -> np.ndarray:
-    """Sum of ``part(x, y)``, a vector of ``size``, over batches: per partition, then per group of partitions (the
-    square root of their number), then over the groups on the driver."""
-    groups = max(1, math.isqrt(rows.rdd.getNumPartitions()))
-
-    def run(batches):
-        total = np.zeros(size)
-        for b in batches:
-            if b.num_rows:
-                total += part(matrix(b.column("stats")), b.column("y").to_numpy(zero_copy_only=False))
-        yield pa.RecordBatch.from_pydict({"g": pa.array([TaskContext.get().partitionId() % groups], pa.int32()), "total": pa.array([total.tobytes()], pa.binary())})
-
-    def add(t: pa.Table) -> pa.Table:
-        total = np.zeros(size)
-        for x in t.column("total"):
-            total += np.frombuffer(x.as_py())
-        return pa.table({"total": pa.array([total.tobytes()], pa.binary())})
-
-    parts = rows.mapInArrow(run, "g int, total binary").groupBy("g").applyInArrow(add, "total binary")
-    return sum((np.frombuffer(r[0]) for r in parts.collect()), np.zeros(size))
+    """Sum of ``part(x, y)`` over the rows' statistics and labels."""
+    return partition_sum(rows, lambda b: part(matrix(b.column("stats")), b.column("y").to_numpy(zero_copy_only=False)), size)
 
 
 def isotonic(n: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
