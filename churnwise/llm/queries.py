@@ -9,8 +9,9 @@ from .op4_suffix import op4_suffix
 from . import op5_warc
 from .op6_ego import op6_ego
 from .op7_license import op7_license
+from .op8_lm import op8_lm
 from .op9_pii import op9_pii
 from .op10_bpe import op10_bpe
 
-QUERIES = {"op1_jaccard": op1_jaccard, "op2_rans": op2_rans, "op3_quality": op3_quality, "op4_suffix": op4_suffix, "op5_warc": op5_warc.op5_warc, "op6_ego": op6_ego, "op7_license": op7_license, "op9_pii": op9_pii, "op10_bpe": op10_bpe}
+QUERIES = {"op1_jaccard": op1_jaccard, "op2_rans": op2_rans, "op3_quality": op3_quality, "op4_suffix": op4_suffix, "op5_warc": op5_warc.op5_warc, "op6_ego": op6_ego, "op7_license": op7_license, "op8_lm": op8_lm, "op9_pii": op9_pii, "op10_bpe": op10_bpe}
 SQL: dict[str, str] = {"op5_warc": op5_warc.SQL}
