@@ -108,7 +108,7 @@ COST_FP = 2.0
 COST_TP = 1.0
 COST_TN = 0.0
 MIN_RECALL = 0.70
-MODEL_VERSION = "vitaliza-churn-1.0.0"
+MODEL_VERSION = "churnwise-1.0.0"
 HEURISTIC_VERSION = "heuristic-fallback-0.1"
 DEFAULT_THRESHOLD = 0.5
 

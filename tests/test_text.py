@@ -48,3 +48,32 @@ def test_chunk_text(spark):
     s = " ".join(f"Frase numero {i} com algum texto." for i in range(60))
     chunks = spark.createDataFrame([(s,)], "t string").select(T.chunk_text("t", 100)).first()[0]
     assert all(len(c) <= 100 for c in chunks) and " ".join(chunks) == s
+
+
+def test_long_runs_take_linear_time(spark):
+    n = 100_000
+    rows = [". " * n, " " * n, "[a" * n, "![" * n, "\n" * n, "-" * n, " —" * n, "a  " * n, "1. \n" * n, "/ " * n]
+    out = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, t string")
+           .select("i", T.normalize_text("t").alias("s")).orderBy("i").select("s").collect()]
+    assert out[0] == "." and out[1] == "" and out[2] == rows[2] + "." and out[4] == "." and out[7].startswith("a a a")
+
+
+def test_linear_patterns_equal_the_plain_ones(spark):
+    """Each rewritten step against its plain form, on random short texts."""
+    import random
+    plain = {r"(?s)\A(?!.*?\]\()(.++)|!\[([^\]]*+)\]\([^)]*+\)": (r"!\[([^\]]*)\]\([^)]*\)", "$1"),
+             r"(?s)\A(?!.*?\]\()(.++)|\[([^\]]++)\]\([^)]*+\)": (r"\[([^\]]+)\]\([^)]*\)", "$1"),
+             r"(?md)^\s*+[-*+•]\s++|^(\s++)": (r"(?md)^\s*[-*+•]\s+", ""),
+             r"(?md)^\s*+\d++[.)]\s++|^(\s++)": (r"(?md)^\s*\d+[.)]\s+", ""),
+             r"(?:(?<!\s)\s++)?+[—–]\s*+": (r"\s*[—–]\s*", ", "),
+             r"(?:(?<!\s)\s++)?+/\s*+": (r"\s*/\s*", " "),
+             r"\.\s*+\.[.\s]*+": (r"(?:\.\s*){2,}", ". "),
+             r"(?<!\s)\s++([,.;:!?…])": (r"\s+([,.;:!?…])", "$1")}
+    steps = dict(T.SPEECH_STEPS)
+    rnd = random.Random(11)
+    texts = ["".join(rnd.choice(["a", "[", "]", "(", ")", "!", " ", "  ", "\n", "-", "*", "1", ".", ")", "—", "/", ",", "\t", "]("])
+                     for _ in range(rnd.randint(0, 14))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for new, (old, rep) in plain.items():
+        bad = df.where(F.regexp_replace("t", new, steps[new]) != F.regexp_replace("t", old, rep)).collect()
+        assert not bad, (new, bad[:3])
