@@ -199,12 +199,32 @@ def intervention_status(archetype: Column | str, allowed: Column | str) -> Colum
     return F.when((col(archetype) == "sleeping_dog") | (col(allowed) == F.lit(False)), "bloqueada").otherwise("aplicada")
 
 
-def executive_summary(facts: DataFrame) -> DataFrame:
-    """One deterministic text from n and base rate."""
+# The paragraphs of the executive summary, in order. {n}, {pct} and
+# {steps} are filled in.
+SUMMARY_PARAGRAPHS = (
+    "Você desenhou uma estratégia de retenção orientada por dados.",
+    "O problema tem tamanho: numa base de {n} membros analisados, a taxa-base de cancelamento observada é de {pct} — "
+    "alta o bastante para justificar agir, mas não tão alta que baste 'chutar'. É exatamente onde um modelo de risco "
+    "compensa.",
+    "Como o modelo ajuda: ele estima o risco de cada membro e, com a explicação local (SHAP), mostra quais variáveis "
+    "pesaram naquele caso e quais a operação consegue mudar — uma leitura do comportamento do modelo, não de causa e "
+    "efeito do mundo real.",
+    "A decisão de ação é custo-consciente: cada recomendação respeita orçamento e canais, e há casos em que a melhor "
+    "decisão é NÃO intervir — o perfil 'cão que dorme' (vínculo longo, uso quase zero) fica fora das campanhas "
+    "proativas por política de não-intrusão.",
+    "No nível do sistema, o corte de decisão é escolhido pelo ROI — equilibrando churns capturados e contatos "
+    "desperdiçados — e não apenas pelo recall. {steps}Fechando o ciclo, cada membro retido preserva receita: é assim "
+    "que o risco do modelo vira valor de negócio.",
+)
+
+
+def executive_summary(facts: DataFrame, highlights: str = "highlights") -> DataFrame:
+    """One deterministic text of five paragraphs from n, base rate
+    and the highlights (array of strings; none adds no sentence)."""
     pct = F.concat(F.floor(dbl("base_rate") * 100 + 0.5).cast("bigint").cast("string"), F.lit("%"))
-    return facts.select("n", "base_rate", F.concat(
-        F.lit("Você desenhou uma estratégia de retenção orientada por dados.\n\n"),
-        F.lit("O problema tem tamanho: numa base de "), F.col("n").cast("string"),
-        F.lit(" membros analisados, a taxa-base de cancelamento observada é de "), pct,
-        F.lit(" — alta o bastante para justificar agir, mas não tão alta que baste 'chutar'. "
-              "É exatamente onde um modelo de risco compensa.\n\n")).alias("summary"))
+    steps = F.when(F.size(highlights) > 0, F.concat(F.lit("Você percorreu: "), F.array_join(highlights, "; "), F.lit(". "))) \
+        .otherwise(F.lit(""))
+    text = F.lit("\n\n".join(SUMMARY_PARAGRAPHS))
+    for name, value in (("{n}", F.col("n").cast("string")), ("{pct}", pct), ("{steps}", steps)):
+        text = F.replace(text, F.lit(name), value)
+    return facts.select("n", "base_rate", text.alias("summary"))

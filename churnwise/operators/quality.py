@@ -41,12 +41,12 @@ def check_binary_target(df: DataFrame, target: str = S.TARGET) -> DataFrame:
 
 
 def clean(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Project, drop exact duplicates, drop rows with nulls. The report
+    """Project, drop rows with nulls, drop exact duplicates. The report
     (rows_original, rows_clean, duplicates over ALL input columns, nulls over
     the projected ones) is one aggregation plus the distinct count; the
     duplicates are counted on all columns and removed on the selected ones,
     as the reference does."""
-    clean_df = df.select(*cols).dropDuplicates().dropna()
+    clean_df = df.select(*cols).dropna().dropDuplicates()
     nulls = sum((F.sum(F.col(c).isNull().cast("bigint")) for c in cols), F.lit(0).cast("bigint"))
     complete = F.lit(True)
     for c in cols:

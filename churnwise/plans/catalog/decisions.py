@@ -216,13 +216,17 @@ def q_rule_segments(spark, sf_dir):
                     F.when(F.col("n") > 0, fixed(F.col("c") / F.col("n"), 4)).alias("churn_rate"))
 
 
-@register("d10_executive_summary", with_members(
-    "SELECT n, base_rate, 'Você desenhou uma estratégia de retenção orientada por dados.' || chr(10) || chr(10) || "
-    "'O problema tem tamanho: numa base de ' || CAST(n AS VARCHAR) || ' membros analisados, a taxa-base de "
-    "cancelamento observada é de ' || CAST(CAST(FLOOR(base_rate * 100 + 0.5) AS BIGINT) AS VARCHAR) || '% — alta o "
-    "bastante para justificar agir, mas não tão alta que baste ''chutar''. É exatamente onde um modelo de risco "
-    "compensa.' || chr(10) || chr(10) AS summary FROM (SELECT COUNT(*) AS n, COALESCE(SUM(CAST(Churn AS DOUBLE)) "
-    "FILTER (WHERE Churn IN (0, 1)) / COUNT(*) FILTER (WHERE Churn IN (0, 1)), 0.0) AS base_rate FROM members)"))
+@register("d10_executive_summary", with_members("""
+SELECT n, base_rate, concat_ws(chr(10) || chr(10),
+ 'Você desenhou uma estratégia de retenção orientada por dados.',
+ 'O problema tem tamanho: numa base de ' || CAST(n AS VARCHAR) || ' membros analisados, a taxa-base de cancelamento observada é de '
+ || CAST(CAST(FLOOR(base_rate * 100 + 0.5) AS BIGINT) AS VARCHAR) || '% — alta o bastante para justificar agir, mas não tão alta que baste '
+ || '''chutar''' || '. É exatamente onde um modelo de risco compensa.',
+ 'Como o modelo ajuda: ele estima o risco de cada membro e, com a explicação local (SHAP), mostra quais variáveis pesaram naquele caso e quais a operação consegue mudar — uma leitura do comportamento do modelo, não de causa e efeito do mundo real.',
+ 'A decisão de ação é custo-consciente: cada recomendação respeita orçamento e canais, e há casos em que a melhor decisão é NÃO intervir — o perfil ''cão que dorme'' (vínculo longo, uso quase zero) fica fora das campanhas proativas por política de não-intrusão.',
+ 'No nível do sistema, o corte de decisão é escolhido pelo ROI — equilibrando churns capturados e contatos desperdiçados — e não apenas pelo recall. Você percorreu: mapa de risco; decisão de ação. Fechando o ciclo, cada membro retido preserva receita: é assim que o risco do modelo vira valor de negócio.') AS summary
+FROM (SELECT COUNT(*) AS n, COALESCE(SUM(CAST(Churn AS DOUBLE)) FILTER (WHERE Churn IN (0, 1)) / COUNT(*) FILTER (WHERE Churn IN (0, 1)), 0.0) AS base_rate FROM members)"""))
 def q_executive_summary(spark, sf_dir):
     _, s = scored_members(spark, sf_dir)
-    return decide.executive_summary(eda.score_facts(s).select("n", "base_rate"))
+    steps = F.array(F.lit("mapa de risco"), F.lit("decisão de ação"))
+    return decide.executive_summary(eda.score_facts(s).select("n", "base_rate", steps.alias("highlights")))

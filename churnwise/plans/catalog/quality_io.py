@@ -11,7 +11,7 @@ from ...operators import eda, ml, quality
 from ...sources import bundle
 from ...sources.members import dataset_fingerprint, member_snapshot, read_members, read_untrusted_csv
 from ...streaming.jobs import run_dir
-from ..analysis import analysis_run
+from ..analysis import REGISTRY, analysis_run, as_rows
 from ..oracle_sql import fx, with_members
 from ..registry import register
 
@@ -217,11 +217,6 @@ def q_eda_bundle(spark, sf_dir):
 
 @register("m22_analysis_run", None)
 def q_analysis(spark, sf_dir):
-    """The legacy on-demand analysis for the rule baseline and k-means:
-    rows of every output section."""
-    m = member_snapshot(spark, sf_dir)
-    rows = []
-    for algo in ("business_rules_baseline", "kmeans", "logistic_regression"):
-        for section, df in analysis_run(m, algo).items():
-            rows.append((algo, section, df.count()))
-    return spark.createDataFrame(rows, "algorithm string, section string, rows long")
+    """The legacy on-demand analysis: the EDA sections once, then all six
+    algorithms; every section's rows as JSON."""
+    return as_rows(analysis_run(member_snapshot(spark, sf_dir), list(REGISTRY)))

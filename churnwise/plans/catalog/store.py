@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ... import schema as S
+from ...functions.core import dbl, fixed, risk_tier
 from ...session import scratch_path
 from ...sources import store
 from ...sources.members import member_snapshot, sample_rows
 from ...operators.scorecard import linear_scorecard
 from ..oracle_sql import fx, with_members
+from .decisions import CONTRIB_SQL, RANKED_SQL
 from ..registry import register
 
 
@@ -28,9 +30,29 @@ def _base(spark, sf_dir):
     return m, s
 
 
+def score_history(scored, versions: int = 3, skip_mod: int = 17, tie_mod: int = 7) -> DataFrame:
+    """Test history of score rows (FIXTURES §5): every member scored
+    ``versions`` times with rising created_at, the last version carrying the
+    current probability; members with id % ``tie_mod`` == 0 get a created_at
+    tie between the last two versions (the higher id must win); members with
+    id % ``skip_mod`` == 0 are left unscored."""
+    k = F.explode(F.sequence(F.lit(1), F.lit(versions))).alias("k")
+    s = scored.filter(F.col("customer_id") % skip_mod != 0).select("*", k)
+    p = F.least(F.greatest(dbl("churn_probability") + (F.col("k") - versions) * F.lit(0.01), F.lit(0.0)), F.lit(1.0))
+    day = F.when((F.col("customer_id") % tie_mod == 0) & (F.col("k") == versions), F.col("k") - 1).otherwise(F.col("k"))
+    return s.select(
+        (F.col("customer_id") * 10 + F.col("k")).alias("id"), "customer_id",
+        fixed(p, 5).cast("decimal(6,5)").alias("churn_probability"),
+        risk_tier(fixed(p, 5), "scorecard").alias("risk_tier"), "archetype",
+        (F.col("archetype") != "sleeping_dog").alias("proactive_allowed"),
+        F.lit(S.DEFAULT_THRESHOLD).cast("decimal(6,5)").alias("threshold"),
+        F.concat(F.lit("v"), F.col("k").cast("string")).alias("model_version"),
+        (F.lit(store.SNAPSHOT_TS).cast("timestamp_ntz") + F.make_interval(days=day.cast("int"))).alias("created_at"))
+
+
 def _history(spark, sf_dir):
     _, s = _base(spark, sf_dir)
-    return store.score_history(s)
+    return score_history(s)
 
 
 HIST_SQL = f"""hist AS (
@@ -99,7 +121,7 @@ FROM members m LEFT JOIN latest l ON l.customer_id = m.customer_id LEFT JOIN sco
 
 def _listed(spark, sf_dir):
     m, s = _base(spark, sf_dir)
-    latest = store.latest_per_key(store.score_history(s))
+    latest = store.latest_per_key(score_history(s))
     return store.customers_with_latest_score(store.customer_rows(m), latest, s)
 
 
@@ -115,22 +137,26 @@ def q_customers_latest(spark, sf_dir):
     "WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.customer_id = m.customer_id)"))
 def q_unscored(spark, sf_dir):
     m, s = _base(spark, sf_dir)
-    return store.unscored(store.customer_rows(m), store.score_history(s)).select("id", "external_ref")
+    return store.unscored(store.customer_rows(m), score_history(s)).select("id", "external_ref")
 
 
-@register("s9_j3_score_explanations", _hist_sql("""
+@register("s9_j3_score_explanations", _hist_sql(f"""
+, {CONTRIB_SQL}, {RANKED_SQL}
 SELECT l.customer_id, l.id AS score_id,
-  CASE WHEN l.customer_id % 10 <> 0 THEN 'explanation' ELSE 'heuristic' END AS driver_source
-FROM latest l"""))
+  CASE WHEN l.customer_id % 10 <> 0 THEN 'explanation' ELSE 'heuristic' END AS driver_source, d.drivers
+FROM latest l JOIN (SELECT customer_id, string_agg(feature || '=' || printf('%.6f', {fx('shap', 6)}), ', ' ORDER BY step) AS drivers
+                    FROM ranked WHERE step <= 6 GROUP BY customer_id) d USING (customer_id)"""))
 def q_score_explanations(spark, sf_dir):
     """S9 explanation rows for every score (inner join: unscored members
     skipped), then J3: newest explanation of the newest score, scorecard
     drivers when there is none."""
     _, s = _base(spark, sf_dir)
-    hist = store.score_history(s)
-    expl = store.explanation_rows(hist, s)
+    hist = score_history(s)
+    # fixture: members with an id divisible by 10 have no explanation yet, so the fallback is used
+    expl = store.explanation_rows(hist, s.filter(F.col("customer_id") % 10 != 0))
     j = store.score_with_latest_explanation(store.latest_per_key(hist), expl, s)
-    return j.select("customer_id", "score_id", "driver_source")
+    drivers = F.array_join(F.transform("drivers", lambda d: F.concat(d.feature, F.lit("="), F.format_string("%.6f", fixed(d.shap_value, 6)))), ", ")
+    return j.select("customer_id", "score_id", "driver_source", drivers.alias("drivers"))
 
 
 def _requests(m):
@@ -200,10 +226,10 @@ def q_apply_batch(spark, sf_dir):
     drivers = s.select(F.col("customer_id").alias("_cid"), "top_drivers")
     elig = recommend(listed.join(drivers, listed.id == F.col("_cid")).drop("_cid"))
     selected = listed.filter(F.col("risk_tier").isin("alto", "critico")).select("id")
-    inter, audit = store.apply_batch(selected, elig)
+    inter, audit = store.apply_batch(selected, elig, at=F.lit(store.SNAPSHOT_TS).cast("timestamp_ntz"))
     base = scratch_path(spark, f"store/{_tag(sf_dir)}")
     store.write_table(inter, f"{base}/intervention", mode="overwrite")
-    store.write_table(audit, f"{base}/audit", mode="overwrite", partition_by=["dt"])
+    store.write_audit(audit, f"{base}/audit")
     i = store.read_all(spark, f"{base}/intervention", ["customer_id", "status"])
     a = store.read_all(spark, f"{base}/audit", ["entity_id", "payload"])
     a = a.select(F.col("entity_id").cast("bigint").alias("customer_id"),

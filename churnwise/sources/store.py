@@ -8,6 +8,8 @@ dynamic partition overwrite, so a re-run replaces only what it rewrites.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,26 +32,6 @@ def customer_rows(members: DataFrame) -> DataFrame:
                           F.lit(SNAPSHOT_TS).cast("timestamp_ntz").alias("created_at"))
 
 
-def score_history(scored: DataFrame, versions: int = 3, skip_mod: int = 17, tie_mod: int = 7) -> DataFrame:
-    """Test history of score rows (FIXTURES §5): every member scored
-    ``versions`` times with rising created_at, the last version carrying the
-    current probability; members with id % ``tie_mod`` == 0 get a created_at
-    tie between the last two versions (the higher id must win); members with
-    id % ``skip_mod`` == 0 are left unscored."""
-    k = F.explode(F.sequence(F.lit(1), F.lit(versions))).alias("k")
-    s = scored.filter(F.col("customer_id") % skip_mod != 0).select("*", k)
-    p = F.least(F.greatest(dbl("churn_probability") + (F.col("k") - versions) * F.lit(0.01), F.lit(0.0)), F.lit(1.0))
-    day = F.when((F.col("customer_id") % tie_mod == 0) & (F.col("k") == versions), F.col("k") - 1).otherwise(F.col("k"))
-    return s.select(
-        (F.col("customer_id") * 10 + F.col("k")).alias("id"), "customer_id",
-        fixed(p, 5).cast("decimal(6,5)").alias("churn_probability"),
-        risk_tier(fixed(p, 5), "scorecard").alias("risk_tier"), "archetype",
-        (F.col("archetype") != "sleeping_dog").alias("proactive_allowed"),
-        F.lit(S.DEFAULT_THRESHOLD).cast("decimal(6,5)").alias("threshold"),
-        F.concat(F.lit("v"), F.col("k").cast("string")).alias("model_version"),
-        (F.lit(SNAPSHOT_TS).cast("timestamp_ntz") + F.make_interval(days=day.cast("int"))).alias("created_at"))
-
-
 def score_rows(scored: DataFrame, model_version: str, threshold: float = S.DEFAULT_THRESHOLD) -> DataFrame:
     """Score rows; probability and threshold as DECIMAL(6,5)."""
     return scored.select(
@@ -59,6 +41,17 @@ def score_rows(scored: DataFrame, model_version: str, threshold: float = S.DEFAU
         F.current_timestamp().alias("created_at"))
 
 
+def write_audit(audit: DataFrame, path: str) -> str | None:
+    """Append audit rows by day. A failure never fails the action that is
+    audited: it is logged and its message returned."""
+    try:
+        write_table(audit, path, mode="overwrite", partition_by=["dt"])
+    except Exception as e:  # noqa: BLE001 - whatever the sink raises
+        logging.getLogger(__name__).warning("audit rows not written: %s", e)
+        return str(e)
+    return None
+
+
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: list[str] | None = None) -> None:
     """S8/S10/S11/S12 sink. ``overwrite`` with partition columns replaces only
     the partitions present in ``df`` (dynamic partition overwrite), so a
@@ -126,12 +119,10 @@ def resolve_keys(requests: DataFrame, customers: DataFrame, key: str = "key") ->
     return r.select(*requests.columns, F.coalesce("_m1", "_m2").alias("customer_id"))
 
 
-def explanation_rows(scores: DataFrame, drivers: DataFrame, skip_mod: int = 10) -> DataFrame:
+def explanation_rows(scores: DataFrame, drivers: DataFrame) -> DataFrame:
     """One explanation per score (base value + sorted driver array); members
-    without a score are skipped (inner join); ids % ``skip_mod`` == 0 are left
-    without explanation to exercise the fallback."""
-    d = drivers.filter(F.col("customer_id") % skip_mod != 0).select(
-        "customer_id", F.col("base_value"), F.col("top_drivers").alias("drivers"))
+    without a score are skipped (inner join)."""
+    d = drivers.select("customer_id", F.col("base_value"), F.col("top_drivers").alias("drivers"))
     return scores.select(F.col("id").alias("score_id"), "customer_id", "created_at").join(d, "customer_id", "inner") \
         .select(F.col("score_id") * 10 + 1, "score_id", "base_value", "drivers", "created_at") \
         .toDF("id", "score_id", "base_value", "drivers", "created_at")
@@ -162,9 +153,10 @@ def portfolio(df: DataFrame, tier: str = "todos", archetype: str = "todos") -> D
         .orderBy(F.col("churn_probability").desc(), "id")
 
 
-def apply_batch(selected: DataFrame, eligible: DataFrame, actor: str = "batch") -> tuple[DataFrame, DataFrame]:
+def apply_batch(selected: DataFrame, eligible: DataFrame, at: Column, actor: str = "batch") -> tuple[DataFrame, DataFrame]:
     """Interventions for the selected members that are eligible (semi
-    join), with D7 status, and one audit row each (S11 payload as JSON)."""
+    join), with D7 status, and one audit row each (S11 payload as JSON),
+    partitioned by the day of the action's time ``at``."""
     from ..operators.decide import intervention_status
     sel = eligible.join(selected.select(F.col("id").alias("_sid")), eligible.id == F.col("_sid"), "left_semi")
     inter = sel.select(F.col("id").alias("customer_id"), "archetype", "offer",
@@ -173,5 +165,5 @@ def apply_batch(selected: DataFrame, eligible: DataFrame, actor: str = "batch")
     audit = inter.select(F.lit(actor).alias("actor"), F.lit("apply_intervention").alias("action"),
                          F.lit("intervention").alias("entity"), F.col("customer_id").cast("string").alias("entity_id"),
                          F.to_json(F.struct("archetype", "status", "offer")).alias("payload"),
-                         F.lit("2001-01-01").cast("date").alias("dt"))
+                         at.cast("date").alias("dt"))
     return inter, audit

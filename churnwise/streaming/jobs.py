@@ -8,11 +8,14 @@ resumes from the committed offsets and the sinks stay exactly-once.
 
 from __future__ import annotations
 
+import json
+import threading
 import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from .. import schema as S
@@ -30,11 +33,47 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:10]}")
 
 
-def _finish(q, timeout_s: int = 600):
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise q.exception()
-    return q
+class _Progress(StreamingQueryListener):
+    """Keeps every progress report of one query (a query object keeps the last
+    hundred only)."""
+
+    def __init__(self):
+        self.reports, self.ended = {}, threading.Event()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.reports.setdefault(str(event.progress.runId), []).append(json.loads(event.progress.json))
+
+    def onQueryTerminated(self, event):
+        self.reports.setdefault(f"ended {event.runId}", [])
+        self.ended.set()
+
+
+def _run(spark: SparkSession, writer) -> list:
+    """Start an availableNow query, wait for its end however long it takes (a
+    failure raises), and return its progress reports, one per micro-batch."""
+    log = _Progress()
+    spark.streams.addListener(log)
+    try:
+        q = writer.start()
+        q.awaitTermination()
+        run = str(q.runId)
+        while f"ended {run}" not in log.reports:  # reports arrive in order, the end last
+            log.ended.wait(1.0)
+            log.ended.clear()
+        return log.reports.get(run, [])
+    finally:
+        spark.streams.removeListener(log)
+
+
+def _append(df: DataFrame, out: str):
+    return (df.writeStream.format("parquet").option("path", f"{out}/sink")
+            .option("checkpointLocation", f"{out}/_checkpoint").outputMode("append").trigger(availableNow=True))
 
 
 def stream_score(spark: SparkSession, landing: str, out: str, files_per_trigger: int = 1,
@@ -43,10 +82,7 @@ def stream_score(spark: SparkSession, landing: str, out: str, files_per_trigger:
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
     scored = linear_scorecard(src, keep=["customer_id"], with_drivers=False).select(
         "customer_id", "churn_probability", "risk_tier", "archetype", "proactive_allowed", "logit")
-    q = (scored.writeStream.format("parquet").option("path", f"{out}/sink")
-         .option("checkpointLocation", f"{out}/_checkpoint").outputMode("append").trigger(availableNow=True).start())
-    _finish(q)
-    return q.recentProgress
+    return _run(spark, _append(scored, out))
 
 
 def events_stream(spark: SparkSession, events_path: str, delay: str = "1 day") -> DataFrame:
@@ -61,16 +97,11 @@ def events_stream(spark: SparkSession, events_path: str, delay: str = "1 day") -
     return src.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", delay)
 
 
-def stream_audit(spark: SparkSession, events_path: str, out: str, delay: str = "1 day") -> list:
-    """At-least-once delivery (the log is read twice) deduplicated on
-    event_id within the watermark, appended once."""
-    a = events_stream(spark, events_path, delay)
-    b = events_stream(spark, events_path, delay)
-    d = a.unionByName(b).dropDuplicatesWithinWatermark(["event_id"])
-    q = (d.drop("event_time").writeStream.format("parquet").option("path", f"{out}/sink")
-         .option("checkpointLocation", f"{out}/_checkpoint").outputMode("append").trigger(availableNow=True).start())
-    _finish(q)
-    return q.recentProgress
+def stream_audit(spark: SparkSession, events: DataFrame, out: str) -> list:
+    """A stream of events with a watermark, delivered at least once,
+    deduplicated on event_id within the watermark and appended once."""
+    d = events.dropDuplicatesWithinWatermark(["event_id"])
+    return _run(spark, _append(d.drop("event_time"), out))
 
 
 def weekly_engagement(events: DataFrame) -> DataFrame:
@@ -85,10 +116,7 @@ def stream_weekly_engagement(spark: SparkSession, events_path: str, out: str, de
     """Append mode, so a week is written once, when the watermark passes
     its end; state for older weeks is dropped."""
     w = weekly_engagement(events_stream(spark, events_path, delay))
-    q = (w.writeStream.format("parquet").option("path", f"{out}/sink")
-         .option("checkpointLocation", f"{out}/_checkpoint").outputMode("append").trigger(availableNow=True).start())
-    _finish(q)
-    return q.recentProgress
+    return _run(spark, _append(w, out))
 
 
 def late_data_report(progress: list) -> list[tuple]:
@@ -98,7 +126,7 @@ def late_data_report(progress: list) -> list[tuple]:
     for p in progress:
         ops = p.get("stateOperators") or []
         dropped = sum(int(o.get("numRowsDroppedByWatermark", 0)) for o in ops)
-        rows.append((int(p["batchId"]), int(p.get("numInputRows", 0)), dropped, p.get("eventTime", {}).get("watermark")))
+        rows.append((int(p["batchId"]), int(p.get("numInputRows") or 0), dropped, (p.get("eventTime") or {}).get("watermark")))
     return rows
 
 
@@ -146,10 +174,7 @@ def stream_decline_alert(spark: SparkSession, weekly_path: str, out: str) -> lis
     res = src.groupBy("user_id").applyInPandasWithState(
         _decline, outputStructType=DECLINE_OUT, stateStructType=DECLINE_STATE, outputMode="append",
         timeoutConf=GroupStateTimeout.NoTimeout)
-    q = (res.writeStream.format("parquet").option("path", f"{out}/sink")
-         .option("checkpointLocation", f"{out}/_checkpoint").outputMode("append").trigger(availableNow=True).start())
-    _finish(q)
-    return q.recentProgress
+    return _run(spark, _append(res, out))
 
 
 def decline_alert_batch(weekly: DataFrame) -> DataFrame:
@@ -184,10 +209,8 @@ def latest_score_upsert(spark: SparkSession, landing: str, out: str, schema: str
         latest_per_key(merged).write.mode("overwrite").parquet(f"{snap}/v={batch_id:08d}")
 
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
-    q = (src.writeStream.foreachBatch(upsert).option("checkpointLocation", f"{out}/_checkpoint")
-         .trigger(availableNow=True).start())
-    _finish(q)
-    return q.recentProgress
+    return _run(spark, src.writeStream.foreachBatch(upsert).option("checkpointLocation", f"{out}/_checkpoint")
+                .trigger(availableNow=True))
 
 
 def _latest_version(spark: SparkSession, snap: str, before: int | None = None) -> str | None:
