@@ -41,26 +41,40 @@ def hash01(key: Column | str, seed: int = S.SEED, salt: str = SPLIT_SALT) -> Col
     return h.cast("bigint").cast("double") / F.lit(4294967296.0)
 
 
-def stratified_split(df: DataFrame, key: str = "customer_id", fractions=(0.70, 0.15, 0.15),
-                     seed: int = S.SEED) -> DataFrame:
-    """M6: train / val / test by hash bucket. The bucket is independent of the
-    label, so every class is split in the given proportions (in expectation,
-    without a per-class sort that would put a whole class in one task)."""
-    u = hash01(key, seed)
-    a, b = fractions[0], fractions[0] + fractions[1]
-    return df.withColumn("split", F.when(u < a, "train").when(u < b, "val").otherwise("test"))
-
+def _class_cuts(df: DataFrame, u: Column, probs: list[float], label: str) -> DataFrame:
+    """``df`` with ``_u`` (a uniform hash) and ``_cuts``, the exact quantiles of the hash within the row's class: two
+    rows of thresholds, found without sorting a class in one task."""
+    from .quantiles import exact_quantiles
+    d = df.withColumn("_u", u)
+    q = exact_quantiles(d.select(label, "_u"), "_u", probs, by=[label])
+    cuts = q.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("q_idx", "quantile"))),
+                                            lambda x: x.quantile).alias("_cuts"))
+    return d.join(F.broadcast(cuts), label, "left").select(*df.columns, "_u", "_cuts")
 
-def assign_folds(df: DataFrame, k: int = S.KFOLDS, key: str = "customer_id", seed: int = S.SEED) -> DataFrame:
-    """M7: fold id in [0, k) by an independent hash of the key."""
-    return df.withColumn("fold", F.floor(hash01(key, seed, FOLD_SALT) * k).cast("int"))
 
-
-def class_weights(df: DataFrame, label: str = S.TARGET) -> DataFrame:
-    """M8: balanced weight n / (2 n_class) per row (the per-class counts are a
-    2-row aggregate, broadcast back); plus ``scale_pos_weight`` = neg / pos."""
+def stratified_split(df: DataFrame, key: str = "customer_id", fractions=(0.70, 0.15, 0.15),
+                     seed: int = S.SEED, label: str = S.TARGET) -> DataFrame:
+    """M6: train / val / test with the given proportions in every class: a
+    uniform hash of the key against its quantiles within the class."""
+    d = _class_cuts(df, hash01(key, seed), [fractions[0], fractions[0] + fractions[1]], label)
+    split = F.when(F.col("_u") < F.col("_cuts")[0], "train").when(F.col("_u") < F.col("_cuts")[1], "val").otherwise("test")
+    return d.withColumn("split", split).drop("_u", "_cuts")
+
+
+def assign_folds(df: DataFrame, k: int = S.KFOLDS, key: str = "customer_id", seed: int = S.SEED,
+                 label: str = S.TARGET) -> DataFrame:
+    """M7: fold id in [0, k), each with 1 / k of every class, by an independent
+    hash of the key."""
+    d = _class_cuts(df, hash01(key, seed, FOLD_SALT), [i / k for i in range(1, k)], label)
+    return d.withColumn("fold", F.size(F.filter("_cuts", lambda c: F.col("_u") >= c))).drop("_u", "_cuts")
+
+
+def class_weights(df: DataFrame, label: str = S.TARGET, fit_on: DataFrame | None = None) -> DataFrame:
+    """M8: balanced weight n / (2 n_class) per row, counted over ``fit_on``
+    (the training rows; ``df`` itself if not given): a 2-row aggregate,
+    broadcast back; plus ``scale_pos_weight`` = neg / pos."""
     from pyspark.sql.window import Window
-    c = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
+    c = (df if fit_on is None else fit_on).groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     all_ = Window.partitionBy()  # over the 2 class rows only
     w = c.select(label, (F.sum("_nc").over(all_) / (F.lit(2.0) * F.col("_nc"))).alias("weight"),
                  (F.max(F.when(F.col(label) == 0, F.col("_nc"))).over(all_)
@@ -314,15 +328,15 @@ def prepare_members(members: DataFrame) -> DataFrame:
     return stratified_split(with_derived_features(members))
 
 
-def train_model(members: DataFrame, params: dict | None = None, k: int = 3) -> tuple[ChurnModel, DataFrame]:
+def train_model(members: DataFrame, params: dict | None = None, k: int = S.KFOLDS) -> tuple[ChurnModel, DataFrame]:
     """M6 -> M4 -> M11 -> M13 -> M17: fit on train, calibrate on out-of-fold
     margins, choose the cost threshold on validation. Returns the bundle and
     the scored member table with its split."""
     d = prepare_members(members)
     prep = fit_prep(d.filter(F.col("split") == "train"))
     keep = ["customer_id", S.TARGET, "split"]
-    x = class_weights(prep.transform(d, keep)).cache()
-    train = x.filter(F.col("split") == "train")
+    x = prep.transform(d, keep).cache()
+    train = class_weights(x.filter(F.col("split") == "train")).cache()  # weights of the training rows only
     trees = fit_boosted(train, params)
     scored = margin_col(trees.transform(x))
     cal, _ = calibrate(train, scored.filter(F.col("split") == "val"), params, k)

@@ -55,20 +55,22 @@ def _hash_sql(key: str, salt: str) -> str:
             "/ 4294967296.0")
 
 
-DERIVED = (f"SELECT m.*, {sdiv('Avg_class_frequency_current_month', 'Avg_class_frequency_total')} "
+_U = {i: f"QUANTILE_CONT(u, {p}) OVER (PARTITION BY Churn)" for i, p in enumerate((0.7, 0.85))}
+DERIVED = ("SELECT * EXCLUDE (u, v), " + f"CASE WHEN u < {_U[0]} THEN 'train' WHEN u < {_U[1]} THEN 'val' ELSE 'test' END AS split, "
+           "CAST(" + " + ".join(f"CAST(v >= QUANTILE_CONT(v, {i / 5}) OVER (PARTITION BY Churn) AS INTEGER)" for i in range(1, 5))
+           + f" AS INTEGER) AS fold FROM (SELECT m.*, {sdiv('Avg_class_frequency_current_month', 'Avg_class_frequency_total')} "
            "AS ratio_freq_atual_vs_lifetime, Avg_class_frequency_current_month - Avg_class_frequency_total AS delta_freq, "
            "CAST(Contract_period AS DOUBLE) * CAST(Lifetime AS DOUBLE) AS contract_x_lifetime, "
-           f"CASE WHEN {_hash_sql('customer_id', 'split')} < 0.7 THEN 'train' "
-           f"WHEN {_hash_sql('customer_id', 'split')} < 0.85 THEN 'val' ELSE 'test' END AS split, "
-           f"CAST(FLOOR({_hash_sql('customer_id', 'fold')} * 5) AS INTEGER) AS fold FROM members m")
+           f"{_hash_sql('customer_id', 'split')} AS u, {_hash_sql('customer_id', 'fold')} AS v FROM members m) m")
 
 
 @register("m6_m7_m8_split_folds_weights", with_members(f"""
 SELECT split, fold, Churn, COUNT(*) AS n, MAX(w.weight) AS weight FROM ({DERIVED}) d
-JOIN (SELECT Churn AS c, (SELECT COUNT(*) FROM members) / (2.0 * COUNT(*)) AS weight FROM members GROUP BY Churn) w
+JOIN (SELECT Churn AS c, SUM(COUNT(*)) OVER () / (2.0 * COUNT(*)) AS weight FROM ({DERIVED}) t WHERE split = 'train' GROUP BY Churn) w
   ON w.c = d.Churn GROUP BY split, fold, Churn"""))
 def q_split_folds(spark, sf_dir):
-    d = ml.class_weights(ml.assign_folds(ml.stratified_split(member_snapshot(spark, sf_dir))))
+    d = ml.assign_folds(ml.stratified_split(member_snapshot(spark, sf_dir)))
+    d = ml.class_weights(d, fit_on=d.filter(F.col("split") == "train"))
     return d.groupBy("split", "fold", "Churn").agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight"))
 
 

@@ -26,34 +26,30 @@ def spread_scan(df: DataFrame) -> DataFrame:
 def member_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer with at least one order before the cut.
 
-    Plan: lineitem is pre-aggregated to one count per order (map-side partial
-    aggregation, so the shuffle carries one row per order, not per line), joined
-    to the orders it needs on the unique order key, then folded per customer
-    with conditional aggregates in a single pass, then joined 1:1 to customer.
-    A customer holding a huge share of orders only hits the partial
-    aggregation, which is combined map-side before the shuffle.
+    Plan: every table is scanned once. lineitem is pre-aggregated to one count
+    per order (map-side partial aggregation, so the shuffle carries one row per
+    order, not per line) and meets orders on the unique order key; orders are
+    folded per customer with conditional aggregates in a single pass, then
+    joined 1:1 to customer. A customer holding a huge share of orders only hits
+    the partial aggregation, which is combined map-side before the shuffle.
     """
     cut = F.lit(S.SNAPSHOT_CUT).cast("timestamp_ntz")
     hist = F.lit(S.HISTORY_START).cast("timestamp_ntz")
     cur = F.lit(S.CURRENT_START).cast("timestamp_ntz")
 
+    day = F.col("o_orderdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     lines = (read_table(spark, sf_dir, "lineitem")
              .groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines")))
-    # Only orders in the history window need their line counts.
-    in_hist = (orders.filter((F.col("o_orderdate") >= hist) & (F.col("o_orderdate") < cut))
-               .join(lines, orders.o_orderkey == lines.l_orderkey, "inner")
-               .groupBy("o_custkey")
-               .agg(F.sum("n_lines").alias("lines_hist"),
-                    F.sum(F.when(F.col("o_orderdate") >= cur, F.col("n_lines")).otherwise(0)).alias("lines_cur")))
-    per_cust = (orders.groupBy("o_custkey")
-                .agg(F.count_if(F.col("o_orderdate") < cut).alias("n_before"),
+    per_cust = (orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+                .groupBy("o_custkey")
+                .agg(F.count_if(day < cut).alias("n_before"),
                      # Exact decimal sum: the same value whatever the summation order.
-                     F.sum(F.when(F.col("o_orderdate") < cut, F.col("o_totalprice").cast("decimal(18,2)")))
-                     .alias("price_before"),
-                     F.count_if(F.col("o_orderdate") >= cut).alias("n_after"))
-                .filter(F.col("n_before") > 0)
-                .join(in_hist, "o_custkey", "left"))
+                     F.sum(F.when(day < cut, F.col("o_totalprice").cast("decimal(18,2)"))).alias("price_before"),
+                     F.count_if(day >= cut).alias("n_after"),
+                     F.sum(F.when((day >= hist) & (day < cut), F.col("n_lines"))).alias("lines_hist"),
+                     F.sum(F.when((day >= hist) & (day < cut), F.when(day >= cur, F.col("n_lines")).otherwise(0))).alias("lines_cur"))
+                .filter(F.col("n_before") > 0))
 
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     k = F.col("c_custkey")
