@@ -49,6 +49,9 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(rest)) for b in range(256)]
 
 
+#: ASCII letters and digits; ASCII white space.
+ALNUM = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
+BLANK = np.array([b in b" \t\n\r\v\f" for b in range(256)])
 #: Code points for fragments: a byte within a word, and a word's last byte.
 INNER, LAST = 0x400, 0x500
 
@@ -61,7 +64,7 @@ class Encoder:
     is encoded just as it is within the word.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 600_000):
         from tokenizers import Tokenizer, models, pre_tokenizers
 
         spec = json.load(open(path))
@@ -86,9 +89,10 @@ class Encoder:
             self.inside[raw[:-1], raw[1:]] = True
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.model = Tokenizer(models.BPE({symbols(t): i for t, i in vocab.items()},
-                                          [(symbols(x), symbols(y)) for x, y in merges]))
+                                          [(symbols(x), symbols(y)) for x, y in merges], cache_capacity=0))
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.ascii_pieces, self.text_pieces = re.compile(b"\n|" + ASCII_PIECES), regex.compile("\n|" + TEXT_PIECES)
+        self.stops_apart = not self.inside[np.flatnonzero(ALNUM)][:, list(b".,")].any()
         self.high = re.compile(b"[\xc6-\xff]")
         self.chunks, self.words = Recent(self._chunks, most), Recent(self._words, most // 2)
 
@@ -140,9 +144,18 @@ class Encoder:
         return [(w, line if w == b"\n" else data[a:b]) for w, a, b in zip(words, [0, *ends], ends)]
 
     def _plain(self, text: bytes) -> bytes:
-        """Lower-case A-Z beforehand, so that fewer chunks are distinct, where that can't change the result: below
-        U+0180, where nothing composes, and without what may be a special token."""
-        return text if b"<|" in text or self.high.search(text) else text.lower()
+        """Make fewer chunks distinct where that can't change the result: set a single full stop or comma after a
+        letter or digit apart (no word holds both, so the cut is certain), and lower-case A-Z below U+0180, where
+        nothing composes, and without what may be a special token."""
+        if not (b"<|" in text or self.high.search(text)):
+            text = text.lower()
+        if not self.stops_apart or len(text) < 2:
+            return text
+        raw = np.frombuffer(text, np.uint8)
+        at = np.flatnonzero((raw == 0x2E) | (raw == 0x2C))
+        at = at[(at > 0) & (at < len(raw) - 1)]
+        at = at[ALNUM[raw[at - 1]] & BLANK[raw[at + 1]]]
+        return np.insert(raw, at, 0x20).tobytes() if len(at) else text
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""

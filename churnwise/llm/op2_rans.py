@@ -37,13 +37,13 @@ from .op10_bpe import DEFAULT, encoder
 
 END = 1
 #: Tokens in a block and in a file, about; lanes; steps between checkpoints; bits of the frequencies' sum.
-BLOCK_TOKENS, FILE_TOKENS, LANES, EVERY, BITS = 1 << 20, 1 << 22, 2048, 256, 20
+BLOCK_TOKENS, FILE_TOKENS, LANES, EVERY, BITS = 1 << 20, 1 << 22, 8192, 64, 20
 MAGIC = b"RANSIDS1"
 FILE_HEAD, BLOCK_HEAD = struct.Struct("<8sIII"), struct.Struct("<IQIIIII")
 LOW = np.uint64(1 << 31)
 SYMBOLS = 1 << 16
 MANIFEST = "path string, part int, number int, block int, offset long, size long, docs long, tokens long"
-DOCUMENT = "doc_id long, part int, number int, block int, within long, n_tokens long, ids_crc32 long"
+DOCUMENT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 @dataclass
@@ -269,10 +269,20 @@ def write(ids: DataFrame, t: Table, folder: str) -> DataFrame:
     return stored(ids.where("number >= 0").mapInArrow(run, MANIFEST), "rans-manifest")
 
 
+def placed(manifest: DataFrame) -> DataFrame:
+    """The manifest with ``base``, the ids in all blocks before. Totals are summed over parts, then within each."""
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = manifest.groupBy("part").agg(F.sum("tokens").alias("tokens"))
+    parts = parts.select("part", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("all_before"))
+    within = Window.partitionBy("part").orderBy("number", "block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = manifest.withColumn("part_before", F.coalesce(F.sum("tokens").over(within), F.lit(0)))
+    return blocks.join(parts, "part").withColumn("base", F.col("all_before") + F.col("part_before"))
+
+
 def read(manifest: DataFrame, t: Table) -> DataFrame:
-    """The documents of all blocks: number of ids, their checksum, and their place within the block."""
+    """The documents of all blocks: their place among all ids, number of ids and checksum."""
     shared = manifest.sparkSession.sparkContext.broadcast(t)
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    kinds = [pa.int64()] * 4
 
     def run(batches):
         for batch in batches:
@@ -286,26 +296,14 @@ def read(manifest: DataFrame, t: Table) -> DataFrame:
                 ends = np.cumsum(block.counts, dtype=np.int64)
                 starts = ends - block.counts
                 crcs = [zlib.crc32(data[4 * a:4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
-                n = len(crcs)
-                columns = [block.doc_ids, [r["part"]] * n, [r["number"]] * n, [r["block"]] * n, starts, block.counts.astype(np.int64), crcs]
+                columns = [block.doc_ids, starts + r["base"], block.counts.astype(np.int64), crcs]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in DOCUMENT.split(", ")])
 
-    return manifest.repartition(F.col("path"), F.col("block")).mapInArrow(run, DOCUMENT)
-
-
-def starts(manifest: DataFrame) -> DataFrame:
-    """part, number, block, base: ids in all blocks before. Totals are summed over parts first, then within each."""
-    parts = manifest.groupBy("part").agg(F.sum("tokens").alias("tokens"))
-    parts = parts.select("part", F.coalesce(F.sum("tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("all_before"))
-    within = Window.partitionBy("part").orderBy("number", "block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = manifest.select("part", "number", "block", F.coalesce(F.sum("tokens").over(within), F.lit(0)).alias("part_before"))
-    return blocks.join(parts, "part").select("part", "number", "block", (F.col("all_before") + F.col("part_before")).alias("base"))
+    return placed(manifest).repartition(F.col("path"), F.col("block")).mapInArrow(run, DOCUMENT)
 
 
 def op2_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document, read back from the files: its place among all ids, their number and checksum."""
     ids = tokenised(table(spark, sf_dir, "documents").select("doc_id", "text"))
     t = Table.of(count_ids(ids))
-    manifest = write(ids, t, new_path(spark, "rans"))
-    docs = read(manifest, t).join(starts(manifest), ["part", "number", "block"])
-    return docs.select("doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
+    return read(write(ids, t, new_path(spark, "rans")), t)

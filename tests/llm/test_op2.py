@@ -47,7 +47,7 @@ def test_files_equal_the_library(spark, monkeypatch):
     t = R.Table.of(R.count_ids(ids))
     manifest = R.write(ids, t, new_path(spark, "t"))
     assert manifest.select("path").distinct().count() > 3 and manifest.count() > manifest.select("path").distinct().count()
-    got = R.read(manifest, t).join(R.starts(manifest), ["part", "number", "block"]).select("doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids_crc32").collect()
+    got = R.read(manifest, t).collect()
     want = []
     for r in docs.collect():
         x = np.array([*lib.encode(r.text or "", add_special_tokens=False).ids, 1], "<u4")
