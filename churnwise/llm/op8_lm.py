@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import hashes, mix, runs, slices, space_words, table, texts, word_memo
 
-BLOCK_TOKENS, RANGE_KEYS, FOLD, ROUNDS = 2_000_000, 2_000_000, 1, 60
+BLOCK_TOKENS, RANGE_KEYS, FOLD, ROUNDS = 1_000_000, 1_000_000, 1, 60
 #: Key of the end of a text, which no word has.
 END = np.uint64(0x454E44)
 #: Quarters of powers of two that a probability of the grid may have; one more stands for 0.
