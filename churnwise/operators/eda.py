@@ -190,7 +190,6 @@ def frequency_distribution(df: DataFrame) -> DataFrame:
 # A10 ------------------------------------------------------------------------
 def churn_by_binary(df: DataFrame, flags: list[str] = BINARY_FLAGS) -> DataFrame:
     """Churn rate per value of each flag in ONE aggregation (GROUPING SETS)."""
-    df.createOrReplaceTempView("_cw_binary_src")
     sets = ", ".join(f"({f})" for f in flags)
     gid = "CASE " + " ".join(
         f"WHEN grouping({f}) = 0 THEN '{f}'" for f in flags) + " END"
@@ -198,7 +197,7 @@ def churn_by_binary(df: DataFrame, flags: list[str] = BINARY_FLAGS) -> DataFrame
     return df.sparkSession.sql(
         f"SELECT {gid} AS feature, {val} AS value, COUNT(*) AS n, CAST(SUM(Churn) AS BIGINT) AS churned, "
         f"SUM(CAST(Churn AS DOUBLE)) / COUNT(*) AS churn_rate "
-        f"FROM _cw_binary_src GROUP BY GROUPING SETS ({sets})")
+        f"FROM {{members}} GROUP BY GROUPING SETS ({sets})", members=df)
 
 
 def churn_by_binary_df(df: DataFrame, flags: list[str] = BINARY_FLAGS) -> DataFrame:
@@ -322,9 +321,9 @@ def action_segments(df: DataFrame, dog_lifetime_min: int = 6, dog_freq_max: floa
 def retention_by_lifetime(df: DataFrame, months: int = RETENTION_MONTHS) -> DataFrame:
     """Share retained among members with lifetime = m for m in 0..12; null
     where nobody has that lifetime (densified with a range left join)."""
-    g = df.groupBy("Lifetime").agg(_n().alias("n"), F.count_if(F.col("Churn") == 0).alias("kept"))
+    g = df.filter((F.col("Lifetime") >= 0) & (F.col("Lifetime") < months)).groupBy("Lifetime").agg(_n().alias("n"), F.count_if(F.col("Churn") == 0).alias("kept"))
     grid = df.sparkSession.range(months).select(F.col("id").cast("int").alias("_m"))
-    return grid.join(F.broadcast(g), grid._m == g.Lifetime, "left").select(
+    return grid.join(g, grid._m == g.Lifetime, "left").select(
         F.col("_m").alias("lifetime"), fixed(F.col("kept") / F.col("n"), 3).alias("retention"))
 
 
@@ -333,7 +332,7 @@ def category_split(scored: DataFrame, column: str, categories: list[str], out: s
     """Counts per category, zero categories kept (J8 on a literal table)."""
     g = scored.groupBy(F.col(column).alias("_k")).agg(_n().alias("count"))
     cats = scored.sparkSession.createDataFrame([(i, c) for i, c in enumerate(categories)], f"ord int, {out} string")
-    return cats.join(F.broadcast(g), cats[out] == g["_k"], "left").select(
+    return cats.join(g, cats[out] == g["_k"], "left").select(
         "ord", out, F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 
@@ -406,7 +405,7 @@ def kaplan_meier(df: DataFrame) -> DataFrame:
     windows over that small table only. The product is exp(sum(ln(1-h))),
     switched to 0 from the first t with hazard 1 (ln(0) would be skipped).
     """
-    g = df.groupBy("Lifetime").agg(_n().alias("n"), F.count_if(F.col("Churn") == 1).alias("events"))
+    g = df.filter((F.col("Lifetime") >= 0) & (F.col("Lifetime") < months)).groupBy("Lifetime").agg(_n().alias("n"), F.count_if(F.col("Churn") == 1).alias("events"))
     desc = Window.orderBy(F.col("Lifetime").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     asc = Window.orderBy("Lifetime").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     t = g.select("Lifetime", "events", F.sum("n").over(desc).alias("at_risk"))

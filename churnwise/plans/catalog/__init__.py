@@ -10,3 +10,4 @@ from . import ml  # noqa: F401
 from . import streaming  # noqa: F401
 from . import text  # noqa: F401
 from . import quality_io  # noqa: F401
+from . import extras  # noqa: F401

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,8 +42,9 @@ def get_spark(master: str = "local[*]", app: str = "churnwise", shuffle_partitio
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder and is used as is. Only
-    when it is unset (local tests) a scratch folder under /tmp is chosen.
+    On a cluster the setting names a shared folder and is used as is; without
+    it this fails, since a folder of one machine would lose what the others
+    write. Only a local master gets a scratch folder under /tmp.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         path = tempfile.mkdtemp(prefix="churnwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

@@ -207,12 +207,23 @@ def latest_score_upsert(spark: SparkSession, landing: str, out: str, schema: str
         prev = _latest_version(spark, snap, before=batch_id)
         merged = batch if prev is None else spark.read.parquet(prev).unionByName(batch)
         latest_per_key(merged).write.mode("overwrite").parquet(f"{snap}/v={batch_id:08d}")
+        _drop_versions(spark, snap, before=batch_id - 1)  # the one before stays for readers
 
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
     return _run(spark, src.writeStream.foreachBatch(upsert).option("checkpointLocation", f"{out}/_checkpoint")
                 .trigger(availableNow=True))
 
 
+def _drop_versions(spark: SparkSession, snap: str, before: int) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(snap)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("v=") and int(name[2:]) < before:
+            fs.delete(st.getPath(), True)
+
+
 def _latest_version(spark: SparkSession, snap: str, before: int | None = None) -> str | None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

@@ -31,3 +31,27 @@ def test_grouped(data, max_bracket):
     for r in exact_quantiles(df, "v", P, by=["g"], max_bracket=max_bracket).collect():
         sub = np.array([v for g, v in zip(grp, vals) if g == r.g])
         assert r.quantile == pytest.approx(np.quantile(sub, r.p), abs=1e-12)
+
+
+def test_checkpoint_folder_is_asked_for_on_a_cluster():
+    import pytest
+    from churnwise.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
