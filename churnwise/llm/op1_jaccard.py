@@ -6,10 +6,16 @@ bands such that linked sets lie in the same band or in neighbouring ones, and
 for each pair of neighbouring bands the largest possible difference d is
 fixed. The space of shingle hashes is cut into d + 1 parts: by the pigeonhole
 principle, two linked sets agree entirely in one part. The key of a part is
-the XOR of its shingles' hashes; documents meet on equal keys. An empty part
-says nothing and gives no key; a document with empty parts is also cut with a
-further seed, again up to ``SEEDS`` times, so that two sets that agree in
-empty parts only meet there (missed with odds below 1e-15).
+the XOR of its shingles' hashes; documents meet on equal keys.
+
+Where there are more than ``PARTS`` parts, the first ``PARTS`` serve: whatever
+the sets, d differences spread over d + 1 parts by a hash leave each part
+untouched with odds above 0.36, and touching one part makes touching another
+less likely, so all of 64 parts are touched with odds below 0.64 ** 64 = 4e-13,
+less than what 64-bit hashes of shingles cost anyway. An empty part says nothing
+and gives no key; with fewer than ``PARTS`` parts a document that has an empty
+one is cut again with further seeds until ``PARTS`` parts were looked at, so
+that two sets that agree in empty parts only meet there.
 
 Documents that meet form coarse clusters; equal sets are collapsed to one
 member before. Within a cluster (in blocks, pair by pair, where it is large)
@@ -35,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import Recent, components, hashes, mix, runs, shingles, slices, space_words, stored, table, texts, word_memo
 
-WORDS, PERCENT, SEEDS = 3, 90, 6
+WORDS, PERCENT, PARTS = 3, 90, 64
 #: A block of a cluster holds about so many members and bytes of sets at most.
 BLOCK_ROWS, BLOCK_BYTES = 4096, 24 << 20
 
@@ -60,8 +66,8 @@ class Bands:
 
 @functools.lru_cache(500)
 def edges(parts: int) -> np.ndarray:
-    """Where each part of the hash space begins."""
-    return np.array([(i << 64) // parts for i in range(parts)], np.uint64)
+    """Where each part of the hash space begins, as far as parts are used."""
+    return np.array([(i << 64) // parts for i in range(min(parts, PARTS + 1))], np.uint64)
 
 
 def part_keys(h: np.ndarray, scheme: int, parts: int, seed: int) -> tuple[np.ndarray, bool]:
@@ -69,9 +75,11 @@ def part_keys(h: np.ndarray, scheme: int, parts: int, seed: int) -> tuple[np.nda
     if seed:
         h = np.sort(mix(h + np.uint64(seed)))
     at = np.searchsorted(h, edges(parts))
-    size = np.diff(np.append(at, len(h)))
-    full = size > 0
-    value = np.bitwise_xor.reduceat(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), at[full])
+    at = np.append(at, len(h))[:PARTS + 1]
+    full = np.diff(at) > 0
+    if not full.any():
+        return np.empty(0, np.uint64), True
+    value = np.bitwise_xor.reduceat(mix(h[:at[-1]] ^ np.uint64(0xA5A5A5A5A5A5A5A5)), at[:-1][full])
     place = np.flatnonzero(full).astype(np.uint64) + np.uint64((scheme << 40) + (seed << 32))
     return mix(value + mix(place)), not full.all()
 
@@ -82,7 +90,7 @@ def keys(h: np.ndarray, bands: Bands) -> np.ndarray:
     for scheme in (own - 1, own):
         parts = bands.parts(scheme) if scheme >= 0 else 1
         if parts > 1:  # otherwise linked sets are equal
-            for seed in range(SEEDS):
+            for seed in range(-(-PARTS // parts)):
                 k, empty = part_keys(h, scheme, parts, seed)
                 out.append(k)
                 if not empty:
