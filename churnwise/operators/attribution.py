@@ -125,7 +125,7 @@ def _unwind(pw, pz, po, l, i):
     return l - 1
 
 
-def tree_shap(X: np.ndarray, tree: dict, paths=None) -> np.ndarray:
+def tree_shap(X: np.ndarray, tree: dict | None, paths=None) -> np.ndarray:
     """Path-dependent TreeSHAP for one tree over all rows of X (n, p)."""
     n, p = X.shape
     phi = np.zeros((n, p))
@@ -156,28 +156,32 @@ def tree_shap(X: np.ndarray, tree: dict, paths=None) -> np.ndarray:
 
 def ensemble_shap(X: np.ndarray, trees: list[dict], weights: list[float]) -> tuple[np.ndarray, float]:
     """(values (n, p), base) on the log-odds scale 2F."""
+    return ensemble_shap_paths(X, [leaf_paths(tr) for tr in trees], [expected_value(tr) for tr in trees], weights)
+
+
+def ensemble_shap_paths(X: np.ndarray, paths: list, bases: list[float], weights: list[float]) -> tuple[np.ndarray, float]:
+    """As :func:`ensemble_shap`, from the trees' leaf paths and expected values."""
     phi = np.zeros(X.shape)
-    base = 0.0
-    for tr, w in zip(trees, weights):
-        phi += w * tree_shap(X, tr)
-        base += w * expected_value(tr)
-    return 2.0 * phi, 2.0 * base
+    for pt, w in zip(paths, weights):
+        phi += w * tree_shap(X, None, pt)
+    return 2.0 * phi, 2.0 * sum(w * b for w, b in zip(weights, bases))
 
 
 def tree_attribution(x: DataFrame, trees: list[dict], weights: list[float], feature_order: list[str],
                      key: str = "customer_id") -> DataFrame:
     """Per member base value and one value per model feature, computed on
-    the executors (mapInPandas over Arrow batches; trees broadcast)."""
+    the executors (mapInPandas over Arrow batches). The trees' leaf paths and
+    expected values are found once and broadcast; their size is the model's."""
     sc = x.sparkSession.sparkContext
-    bc = sc.broadcast((trees, weights))
+    bc = sc.broadcast(([leaf_paths(t) for t in trees], [expected_value(t) for t in trees], weights))
     cols = [f"x_{f}" for f in feature_order]
     p = len(cols)
 
     def run(batches):
-        tr, wt = bc.value
+        paths, bases, wt = bc.value
         for pdf in batches:
             X = pdf[cols].to_numpy(dtype=float)
-            phi, base = ensemble_shap(X, tr, wt)
+            phi, base = ensemble_shap_paths(X, paths, bases, wt)
             out = pd.DataFrame({key: pdf[key].to_numpy()})
             out["base_value"] = base
             for j in range(p):

@@ -4,12 +4,16 @@ U1). The DuckDB twins evaluate the explicit member x candidate cross product
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ...functions.core import dbl
 from ...operators import decide, whatif
-from ...operators.scorecard import SCORECARD_FEATURES, SHORT
+from ...operators.scorecard import SCORECARD_FEATURES, SHORT, linear_scorecard
+from ...session import scratch_path
+from ...sources.members import member_snapshot
 from ..oracle_sql import _scorecard_terms_sql, fx, scorecard_logit_sql, sdiv, with_members
 from ..registry import register
 from .core import scored_members
@@ -21,8 +25,16 @@ MEMBER_KEEP = ["customer_id", "Churn", "churn_probability", "risk_tier", "archet
 
 
 def _scored(spark, sf_dir):
-    m, s = scored_members(spark, sf_dir)
-    return m.join(s.select("customer_id", "churn_probability", "risk_tier", "archetype", "p5"), "customer_id")
+    """Members with their score: one pass over the snapshot, no join."""
+    m = member_snapshot(spark, sf_dir)
+    return linear_scorecard(m, keep=m.columns, with_drivers=False).select(*m.columns, "churn_probability", "risk_tier", "archetype", "p5")
+
+
+def _written(df, name):
+    """``df`` as a table in the shared folder, for plans that read it several times."""
+    path = scratch_path(df.sparkSession, f"{name}/{uuid.uuid4().hex[:10]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _grid_values(compat=False):
@@ -194,8 +206,8 @@ FROM picks p JOIN scored s ON s.customer_id = p.customer_id JOIN lev l ON l.cust
 JOIN (VALUES {", ".join(f"('{k}', '{v}')" for k, v in decide.ARCHETYPE_LABELS.items())}) a(k, label) ON a.k = s.archetype)""",
                                      scored=True))
 def q_uplift_panel(spark, sf_dir):
-    s = _scored(spark, sf_dir)
-    picks = representative_picks(s)
+    s = _written(_scored(spark, sf_dir), "uplift")
+    picks = _written(representative_picks(s), "picks")  # four rows at most
     u = whatif.uplift_proxy(whatif.cheapest_lever(s.join(F.broadcast(picks), "customer_id", "left_semi")))
     j = u.join(F.broadcast(picks), "customer_id")
     return j.select("prio", F.format_string("VZ%04d", F.col("customer_id")).alias("ref"),
