@@ -115,8 +115,7 @@ def near_pairs(boxes: DataFrame, m: int, eps: float) -> DataFrame:
         n = -(-n // FAN)
     pairs = boxes.sparkSession.createDataFrame([(0, 0)], "a long, b long")
     for level in reversed(levels):
-        top = level is levels[-1]
-        up = F.lit(0).cast("long") if top else F.floor(F.col("block") / FAN).cast("long")
+        up = F.floor(F.col("block") / FAN).cast("long")  # 0 for all at the top
         side = lambda s: level.select(F.col("block").alias(f"{s}_block"), up.alias(s), *(F.col(c).alias(f"{s}_{c}") for c in level.columns if c != "block"))
         gap = sum((F.pow(F.greatest(F.lit(0.0), F.col(f"a_lo{i}") - F.col(f"b_hi{i}"), F.col(f"b_lo{i}") - F.col(f"a_hi{i}")), 2) for i in range(m)), F.lit(0.0))
         pairs = (pairs.join(side("a"), "a").join(side("b"), "b").where("a_block <= b_block").where(gap <= eps * eps * (1 + 1e-9))
