@@ -13,7 +13,7 @@ blocks, their sizes; then the blocks, each = header, document ids, flags of
 null ids, token counts, checkpoints, lanes' states at the start, stream.
 
 Documents are dealt by ranges of doc_id, nulls first; equal ids are ordered by
-their texts' hash, so an id with very many rows is dealt to several ranges.
+length and beginning of their texts, so an id with very many rows is dealt to several ranges.
 Null and empty texts have the end id only. Repeated rows each are a document.
 Files are written by tasks under names of their own; the manifest, a stored
 table, names those that counted, so repeated tasks do no harm.
@@ -180,8 +180,8 @@ class Block:
 def tokenised(docs: DataFrame, vocab: str = DEFAULT) -> DataFrame:
     """Token ids in ascending doc_id order: rows of about FILE_TOKENS ids, and a row of counts for each task.
     part, number: their order; doc_ids; counts; ids (unsigned 16-bit); tally (counts of ids, else null)."""
-    # a text's bytes are moved once; equal ids are told apart by the text's hash
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("tie", F.xxhash64("text"))
+    # a text's bytes are moved once; rows of one id are told apart by their texts' length and beginning
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("tie", F.xxhash64(F.length("text"), F.substring("text", 1, 64)))
     rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     names = ["part", "number", "doc_ids", "counts", "ids", "tally"]
     kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
@@ -299,7 +299,7 @@ def read(manifest: DataFrame, t: Table) -> DataFrame:
                 columns = [block.doc_ids, starts + r["base"], block.counts.astype(np.int64), crcs]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in DOCUMENT.split(", ")])
 
-    return placed(manifest).repartition(F.col("path"), F.col("block")).mapInArrow(run, DOCUMENT)
+    return placed(manifest).repartition(max(1, manifest.count() // 4), "path", "block").mapInArrow(run, DOCUMENT)
 
 
 def op2_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
