@@ -185,7 +185,7 @@ def read(manifest: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
 
-    return manifest.repartition(F.col("path")).mapInArrow(run, RECORD)
+    return manifest.repartition(max(1, manifest.count()), "path").mapInArrow(run, RECORD)
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
