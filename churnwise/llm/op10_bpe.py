@@ -75,7 +75,6 @@ class Encoder:
         vocab, suffix = model["vocab"], model["end_of_word_suffix"]
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = [s.encode() for s in special]
-        self.tokens = {i: t for t, i in (vocab | special).items()}
         self.number = {c: b for b, c in enumerate(byte_alphabet())}
 
         def symbols(token: str) -> str:
@@ -163,9 +162,10 @@ class Encoder:
         ids = self.chunks.of(set().union(*words))
         return [b"".join(map(ids, w)) for w in words]
 
-    def decode(self, ids: list[int]) -> str:
-        """The tokens' texts joined by spaces: this vocabulary has no decoder of its own. Unknown ids are left out."""
-        return " ".join([t for t in map(self.tokens.get, ids) if t is not None])
+    def forget(self) -> None:
+        """Give up the memos' memory."""
+        for m in (self.chunks, self.words):
+            m.now, m.old = {}, {}
 
 
 @functools.lru_cache(2)
@@ -173,16 +173,41 @@ def encoder(name: str) -> Encoder:
     return Encoder(vocabulary(name))
 
 
-def encode(docs: DataFrame, text: str = "text", ids: str = "ids", vocab: str = DEFAULT) -> DataFrame:
-    """Add ``ids`` (array of int), the token ids of ``text``."""
-    schema = with_columns(docs.schema, [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
-    kept = [f.name for f in schema if f.name != ids]
+@functools.lru_cache(2)
+def tokens(name: str) -> dict[int, str]:
+    """The text of each token."""
+    spec = json.load(open(vocabulary(name)))
+    if spec["decoder"] is not None:
+        raise ValueError(f"{name}: a vocabulary with a decoder of its own")
+    return {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+
+
+def joined(ids: list[int], name: str = DEFAULT) -> str:
+    """The tokens' texts joined by spaces: this vocabulary has no decoder of its own. Unknown ids are left out."""
+    return " ".join([t for t in map(tokens(name).get, ids) if t is not None])
+
+
+def encode(docs: DataFrame, text: str = "text", ids: str = "ids", vocab: str = DEFAULT, decoded: str | None = None,
+           keep: bool = True) -> DataFrame:
+    """Add ``ids`` (array of int), the token ids of ``text``, and, if named, ``decoded``, the text decoded from them in
+    the same pass. ``keep``: the worker keeps its memo for later tasks; without, memory is given up after each task."""
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)]
+    if decoded:
+        added.append(T.StructField(decoded, T.StringType(), False))
+    schema = with_columns(docs.schema, added)
+    names = schema.names
+    kept = names[:-len(added)]
 
     def run(batches):
         enc = encoder(vocab)
         for b in slices(batches, text):
-            out = lists(enc.encode(texts(b.column(text))), pa.int32(), 4)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), out], [*kept, ids])
+            coded = enc.encode(texts(b.column(text)))
+            columns = [*(b.column(c) for c in kept), lists(coded, pa.int32(), 4)]
+            if decoded:
+                columns.append(pa.array([joined(np.frombuffer(c, "<i4").tolist(), vocab) for c in coded], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names)
+        if not keep:
+            enc.forget()
 
     return docs.mapInArrow(run, schema)
 
@@ -193,11 +218,10 @@ def decode(encoded: DataFrame, ids: str = "ids", text: str = "decoded", vocab: s
     kept = [f.name for f in schema if f.name != text]
 
     def run(batches):
-        enc = encoder(vocab)
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 b = batch.slice(a, 256)
-                out = pa.array([enc.decode(x or []) for x in b.column(ids).to_pylist()], pa.string())
+                out = pa.array([joined(x or [], vocab) for x in b.column(ids).to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), out], [*kept, text])
 
     return encoded.mapInArrow(run, schema)
@@ -205,8 +229,8 @@ def decode(encoded: DataFrame, ids: str = "ids", text: str = "decoded", vocab: s
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: token count and SHA-256 of its ids and of the text decoded from them."""
-    ids = encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
-    return decode(ids).select(
+    both = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), decoded="decoded")
+    return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

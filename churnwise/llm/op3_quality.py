@@ -173,9 +173,14 @@ def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", threshold:
     """The documents with a score of at least ``threshold``, all columns as they were."""
     stats = stored(features(docs.select("doc_id", text), text).select("doc_id", "stats"), "quality-stats")
     model = fit(training_rows(stats, labels))
-    scored = apply(features(docs.withColumnRenamed("stats", "stats_") if "stats" in docs.columns else docs, text), model, "score__")
-    good = scored.where(F.col("score__") >= threshold).drop("score__", "stats")
-    return (good.withColumnRenamed("stats_", "stats") if "stats" in docs.columns else good).select(docs.columns)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for b in slices(batches, text):
+            score = shared.value.score(np.array([statistics(t) for t in texts(b.column(text))]).reshape(b.num_rows, N_STATS))
+            yield b.filter(pa.array(score >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,8 +36,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, their number, and the digest of the text decoded from them."""
-    ids = op10_bpe.encode(docs.select("doc_id", "source", "lang", "text")).drop("text")
-    return op10_bpe.decode(ids).select("doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"), "ids",
+    both = op10_bpe.encode(docs.select("doc_id", "source", "lang", "text"), decoded="decoded", keep=False)
+    return both.select("doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"), "ids",
                                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
