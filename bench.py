@@ -1,6 +1,6 @@
 """Benchmark the headline queries.
 
-Runs every query registered with ``bench=True`` at ``$BENCH_SF_DIR`` (default
+Runs the queries of ``HEADLINE`` at ``$BENCH_SF_DIR`` (default
 /root/testdata/sf0.1) on ``local[$BENCH_CPUS]``; each query is executed in
 full through the ``noop`` sink (no driver collect), warm, median of
 ``$BENCH_REPEAT`` runs (default 3). Prints ONE JSON line.
@@ -29,6 +29,7 @@ HEADLINE = [
     "m17_cost_threshold",
     "d5_recommend",
     "q4_q5_cheapest_lever_uplift",
+    "q6_uplift_panel",
     "j1_j2_u3_customers_with_latest_score",
     "w8_top3_reference_drivers",
     "t3_weekly_engagement",
