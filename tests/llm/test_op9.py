@@ -54,3 +54,17 @@ def test_disclosing_term_and_copies(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert P.disclosing(docs) is None and P.sanitise(docs).count() == 0
+
+
+def test_query_equals_brute_force(spark):
+    import hashlib
+    sf = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in P.op9_pii(spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    assert len(got) == len(docs) and any(r.n_email + r.n_ip + r.n_card + r.n_phone for r in got.values())
+    for d in docs:
+        base = brute(d.text or "")
+        line = ",".join(f"{P.KINDS[k]}:{s}:{e}" for s, k, e in base)
+        r = got[d.doc_id]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == i for _, k, _ in base) for i in range(4)]
+        assert r.base_sha256 == hashlib.sha256(line.encode()).hexdigest() and set(filter(None, line.split(","))) <= set(r.spans.split(","))
