@@ -8,6 +8,7 @@ Arrow batch and one memo only.
 
 from __future__ import annotations
 
+import contextlib
 import math
 import uuid
 from collections.abc import Iterable, Iterator
@@ -194,6 +195,18 @@ def with_columns(schema: T.StructType, added: list[T.StructField]) -> T.StructTy
     return T.StructType([*(f for f in schema if f.name.lower() not in names), *added])
 
 
+@contextlib.contextmanager
+def rows_per_batch(spark: SparkSession, n: int):
+    """Within, Arrow batches hold at most ``n`` rows: for jobs whose rows are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components by alternating large-star and small-star steps.
 

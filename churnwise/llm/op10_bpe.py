@@ -169,8 +169,8 @@ class Encoder:
 
 
 @functools.lru_cache(2)
-def encoder(name: str) -> Encoder:
-    return Encoder(vocabulary(name))
+def encoder(name: str, most: int = 600_000) -> Encoder:
+    return Encoder(vocabulary(name), most)
 
 
 @functools.lru_cache(2)
@@ -190,7 +190,7 @@ def joined(ids: list[int], name: str = DEFAULT) -> str:
 def encode(docs: DataFrame, text: str = "text", ids: str = "ids", vocab: str = DEFAULT, decoded: str | None = None,
            keep: bool = True) -> DataFrame:
     """Add ``ids`` (array of int), the token ids of ``text``, and, if named, ``decoded``, the text decoded from them in
-    the same pass. ``keep``: the worker keeps its memo for later tasks; without, memory is given up after each task."""
+    the same pass. ``keep``: the worker keeps a large memo for later tasks; without, it is small and given up after each."""
     added = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)]
     if decoded:
         added.append(T.StructField(decoded, T.StringType(), False))
@@ -199,7 +199,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", vocab: str = D
     kept = names[:-len(added)]
 
     def run(batches):
-        enc = encoder(vocab)
+        enc = encoder(vocab) if keep else encoder(vocab, 100_000)
         for b in slices(batches, text):
             coded = enc.encode(texts(b.column(text)))
             columns = [*(b.column(c) for c in kept), lists(coded, pa.int32(), 4)]

@@ -39,11 +39,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import Recent, components, hashes, mix, runs, shingles, slices, space_words, stored, table, texts, word_memo
+from .common import Recent, components, hashes, mix, rows_per_batch, runs, shingles, slices, space_words, stored, table, texts, word_memo
 
 WORDS, PERCENT, PARTS = 3, 90, 64
 #: A block of a cluster holds about so many members and bytes of sets at most.
-BLOCK_ROWS, BLOCK_BYTES = 4096, 24 << 20
+BLOCK_ROWS, BLOCK_BYTES = 4096, 8 << 20
 
 
 class Bands:
@@ -217,7 +217,8 @@ def similar(docs: DataFrame, text: str = "text", words: int = WORDS, percent: in
     member = stored(member.join(sizes.select("component", blocks.alias("blocks")), "component")
                     .select(F.col("id").alias("doc_id"), F.col("component").alias("cluster"), "blocks",
                             F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")), "jaccard-members")
-    links = stored(links_within(member, docs, text, words, percent), "jaccard-verified")
+    with rows_per_batch(docs.sparkSession, 250):  # a row holds a set
+        links = stored(links_within(member, docs, text, words, percent), "jaccard-verified")
     final = components(links.union(equal), "jaccard")
     return (seen.select("doc_id", F.col("n").alias("n_shingles")).join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
