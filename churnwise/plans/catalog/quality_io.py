@@ -11,6 +11,7 @@ from ...operators import eda, ml, quality
 from ...sources import bundle
 from ...sources.members import dataset_fingerprint, member_snapshot, read_members, read_untrusted_csv
 from ...streaming.jobs import run_dir
+from .ml import DERIVED
 from ..analysis import REGISTRY, analysis_run, as_rows
 from ..oracle_sql import fx, with_members
 from ..registry import register
@@ -163,8 +164,7 @@ def q_fingerprint(spark, sf_dir):
 
 
 @register("x1_winsorizer_bounds", with_members(
-    "SELECT * FROM (WITH t AS (SELECT * FROM members WHERE CAST(CAST(('0x' || SUBSTRING(md5(CAST(customer_id AS VARCHAR) "
-    "|| '|split|42'), 1, 8)) AS BIGINT) AS DOUBLE) / 4294967296.0 < 0.7) "
+    f"SELECT * FROM (WITH t AS (SELECT * FROM ({DERIVED}) WHERE split = 'train') "
     + " UNION ALL ".join(f"SELECT '{c}' AS feature, {fx(f'QUANTILE_CONT({c}, 0.01)', 6)} AS lower, "
                          f"{fx(f'QUANTILE_CONT({c}, 0.99)', 6)} AS upper, "
                          f"(SELECT COUNT(*) FROM members WHERE {c} > (SELECT QUANTILE_CONT({c}, 0.99) FROM t) "
