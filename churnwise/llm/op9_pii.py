@@ -8,27 +8,31 @@ its mentions are counted; a term ``t`` discloses the entity ``e`` by
 
 the share of the bits needed to name ``e`` that ``t`` supplies, with P(e | t)
 taken over all occurrences of ``t`` in the corpus and P(e) over all mentions.
-Terms at or above ``generalise`` are replaced by a placeholder, at or above
-``remove`` taken out. To be evidence, mentions must be independent: at least
-``support`` of them, and no pair of neighbouring words around the term may
-make up more than half of them, as it does in copies of one text.
+Equal texts count once in all of these, so copies neither make nor hide
+evidence. Terms at or above ``generalise`` are replaced by a placeholder, at or
+above ``remove`` taken out. To be evidence, mentions must be independent: in
+``support`` different texts that differ within ``AROUND * window`` words of the
+mention, or with ``support`` different pairs of words next to the term (across
+the mention, if that is next to it). More mentions of a kind never count
+against a term. Near copies that differ close to the mention are different.
 
 Null and empty texts have no spans. Texts are read whole, with patterns that
-take linear time. Repeated rows each give a row; two mentions with the same
-surroundings count twice in the counts, but fail the test of independence.
+take linear time, and told apart by 64-bit hashes. Repeated rows each give a row.
 Columns named ``spans`` are replaced, others pass through.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import alnum_words, slices, stored, table, texts, with_columns
+from .common import Recent, alnum_words, slices, stored, table, texts, with_columns
 
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -43,6 +47,10 @@ SPAN_ARROW = pa.list_(pa.struct([pa.field("kind", pa.string(), False), pa.field(
 PLACEHOLDER = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "removed": ""}
 #: Terms looked for in one pass; more go into further passes, so that what tasks hold stays bounded.
 BLOCK = 200_000
+#: The surroundings that tell mentions apart are so many windows wide on each side.
+AROUND = 4
+#: Bits of the filter of texts that occur more than once (a multiple of 32768).
+BITS = 1 << 26
 
 
 def luhn(digits: str) -> bool:
@@ -98,30 +106,46 @@ def term_spans(text: str, terms: dict[str, str], base: list[tuple[int, int, int]
     return out
 
 
+def hashed(docs: DataFrame, text: str) -> DataFrame:
+    """``text`` and ``h``, which equal texts share."""
+    return docs.select(F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+
+
 def mentions(docs: DataFrame, text: str, window: int) -> DataFrame:
-    """A row for each word near an entity mention: entity, term, and the words on both sides of the term.
-    A row without a term counts the mention itself."""
+    """For each text, entity and word near its mentions: ``near`` (the words on both sides of the term), ``around``
+    (the surroundings of one of the mentions) and the number of times. A row without a term counts the mentions."""
+    names = ["h", "entity", "term", "near", "around", "n"]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+    digest = lambda words: xxhash.xxh3_64_intdigest(" ".join(words).encode()) >> 1
+
     def run(batches):
-        for b in slices(batches, text):
-            entity, term, near = [], [], []
-            for raw in texts(b.column(text)):
+        for b in slices(batches, "text"):
+            rows = []
+            for raw, h in zip(texts(b.column("text")), b.column("h").to_pylist()):
                 t = raw.decode("utf-8", "replace")
                 spans = base_spans(t)
+                if not spans:
+                    continue
+                found, first = Counter(), {}
+                places = [m.span() for m in WORD.finditer(t)]
+                starts, ends = [a for a, _ in places], [z for _, z in places]
                 for start, kind, end in spans:
                     e = f"{KINDS[kind]}:" + re.sub("[ ()-]", "", t[start:end]).translate(LOWER)
-                    entity.append(e), term.append(None), near.append(None)
-                    before, after = t[max(0, start - 40 * window):start], t[end:end + 40 * window]
-                    left = [w.translate(LOWER) for w in WORD.findall(before)][-window - 1:]
-                    left = left[len(before) == 40 * window:]  # the first may be cut
-                    right = [w.translate(LOWER) for w in WORD.findall(after)][:window + 1]
-                    for words in (left, right):
-                        for i, w in enumerate(words):
-                            if len(w) >= 3 and not w.isdigit() and (0 < i if words is left else i < window):
-                                entity.append(e), term.append(w)
-                                near.append(" ".join([*words[max(0, i - 1):i], "*", *words[i + 1:i + 2]]))
-            yield pa.RecordBatch.from_arrays([pa.array(entity, pa.string()), pa.array(term, pa.string()), pa.array(near, pa.string())], ["entity", "term", "near"])
-
-    return docs.select(text).mapInArrow(run, "entity string, term string, near string")
+                    found[e, None, None] += 1
+                    i, j = bisect_left(starts, start), bisect_right(ends, end)
+                    left = [t[a:min(z, start)].translate(LOWER) for a, z in places[max(0, i - AROUND * window):i]]
+                    right = [t[max(a, end):z].translate(LOWER) for a, z in places[j:j + AROUND * window]]
+                    around = digest([*left, "*", *right])
+                    words, at = left + right, len(left)
+                    for k in range(max(0, at - window), min(len(words), at + window)):
+                        w = words[k]
+                        if len(w) >= 3 and not w.isdigit():
+                            found[e, w, digest([*words[max(0, k - 1):k], "*", *words[k + 1:k + 2]])] += 1
+                            first[e, w] = min(around, first.get((e, w), around))
+                rows += [(h, e, w, near, first.get((e, w)), n) for (e, w, near), n in found.items()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows) if rows else [[]] * 6, kinds)], names)
+
+    return hashed(docs, text).mapInArrow(run, "h long, entity string, term string, near long, around long, n long")
 
 
 def blocks(terms: DataFrame) -> list[dict[str, str]]:
@@ -136,20 +160,39 @@ def blocks(terms: DataFrame) -> list[dict[str, str]]:
         yield block
 
 
+def copied(docs: DataFrame, text: str) -> np.ndarray:
+    """A filter of fixed size: bit ``h % BITS`` is set for every text that more than one row has, and maybe for others."""
+    again = hashed(docs, text).groupBy("h").agg(F.count("*").alias("rows")).where("rows > 1").select((F.pmod("h", F.lit(BITS)) + 1).alias("x"))
+    out = np.zeros((BITS >> 15, 4096), np.uint8)
+    for r in again.groupBy(F.bitmap_bucket_number("x").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bits")).toLocalIterator():
+        out[r["k"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
 def counted(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame | None:
-    """``term``, ``n``: occurrences of each term in all texts."""
-    out, spark = None, docs.sparkSession
+    """``term``, ``n``: occurrences of each term in all different texts. Tasks add up what only one row has; the counts
+    of a text that may have copies go out under its hash, so that they meet and count once."""
+    out, spark, again = None, docs.sparkSession, None
     for block in blocks(terms.select("term", F.lit("").alias("kind"))):
+        again = again or spark.sparkContext.broadcast(copied(docs, text))
         shared = spark.sparkContext.broadcast({t.encode() for t in block})
 
-        def run(batches, shared=shared):
-            total, wanted = Counter(), shared.value
-            for b in slices(batches, text):
-                for t in texts(b.column(text)):
-                    total.update(filter(wanted.__contains__, alnum_words(t)))
-            yield pa.RecordBatch.from_pydict({"term": pa.array([k.decode() for k in total], pa.string()), "n": pa.array(list(total.values()), pa.int64())})
-
-        n = docs.select(text).mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+        def run(batches, shared=shared, again=again):
+            total, wanted, bits, seen = Counter(), shared.value, again.value, Recent(lambda ks: [(k, None) for k in ks])
+            rows = lambda h, n: pa.RecordBatch.from_arrays([pa.array([h] * len(n), pa.int64()), pa.array([k.decode() for k in n], pa.string()), pa.array(list(n.values()), pa.int64())],
+                                                           ["h", "term", "n"])
+            for b in slices(batches, "text"):
+                for t, h in zip(texts(b.column("text")), b.column("h").to_pylist()):
+                    x = h % BITS
+                    if not bits[x >> 3] >> (x & 7) & 1:
+                        total.update(filter(wanted.__contains__, alnum_words(t)))
+                    elif h not in seen.now and h not in seen.old:
+                        seen.of({h})
+                        yield rows(h, Counter(filter(wanted.__contains__, alnum_words(t))))
+            yield rows(None, total)
+
+        n = hashed(docs, text).mapInArrow(run, "h long, term string, n long").groupBy("h", "term").agg(F.sum("n").alias("all"), F.max("n").alias("one"))
+        n = n.groupBy("term").agg(F.sum(F.when(F.col("h").isNull(), F.col("all")).otherwise(F.col("one"))).alias("n"))
         out = n if out is None else out.union(n)
     return out
 
@@ -158,9 +201,10 @@ def disclosing(docs: DataFrame, text: str = "text", window: int = 6, support: in
                remove: float = 0.95) -> DataFrame | None:
     """Terms that disclose a protected entity: ``term``, ``kind`` ("term": to generalise, "removed": to take out),
     ``disclosure``. None where no term has enough independent evidence."""
-    seen = stored(mentions(docs, text, window).groupBy("entity", "term", "near").agg(F.count("*").alias("n")), "pii-mentions")
+    seen = stored(mentions(docs, text, window).groupBy("h", "entity", "term", "near", "around").agg(F.max("n").alias("n")), "pii-mentions")
     pairs = (seen.where("term is not null").groupBy("entity", "term")
-             .agg(F.sum("n").alias("n_te"), F.max("n").alias("n_top")).where(f"n_te >= {support} and 2 * n_top <= n_te"))
+             .agg(F.sum("n").alias("n_te"), F.count_distinct("around").alias("arounds"), F.count_distinct("near").alias("nears"))
+             .where(F.greatest("arounds", "nears") >= support).select("entity", "term", "n_te"))
     sums = seen.where("term is null").groupBy("entity").agg(F.sum("n").alias("n_e"))
     pairs = stored(pairs.join(sums, "entity"), "pii-pairs")
     n = counted(docs, text, pairs.select("term").distinct())

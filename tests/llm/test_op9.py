@@ -68,3 +68,26 @@ def test_query_equals_brute_force(spark):
         r = got[d.doc_id]
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == i for _, k, _ in base) for i in range(4)]
         assert r.base_sha256 == hashlib.sha256(line.encode()).hexdigest() and set(filter(None, line.split(","))) <= set(r.spans.split(","))
+
+
+def test_copies_neither_hide_nor_make_evidence(spark):
+    # "zorblax": ten texts, and many copies of one of them; others repeat it far from any mention, in copies
+    rows = [f"w{i} x{i} met zorblax y{i} at boss@corp.example.com z{i} and so on" for i in range(10)]
+    rows += [rows[0]] * 40 + ["zorblax stands alone in this text of many copies"] * 50
+    # always the same words before the mention, in different texts
+    rows += [f"{i} text{i} by Alice Jones <alice@corp.example.com> v{i} u{i}" for i in range(12)]
+    # an everyday word: three different texts near an address, many copies of another, and forty texts without one
+    rows += [f"a{i} b{i} today c{i} pal@home.example.org d{i}" for i in range(3)] + ["see today here mail pal@home.example.org now"] * 400
+    rows += [f"e{i} today f{i}" for i in range(40)] + [f"q{i} user{i}@mail.example.net r{i}" for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(5)
+    terms = {r["term"]: r["kind"] for r in P.disclosing(docs).collect()}
+    assert "zorblax" in terms and terms.get("jones") == "removed" and "today" not in terms
+    assert not {"see", "here", "mail", "now"} & set(terms)
+
+
+def test_occurrences_in_different_texts(spark, monkeypatch):
+    monkeypatch.setattr(P, "BITS", 1 << 15)
+    rows = [f"one two{i % 7} two{i % 7} one" for i in range(60)] + ["one"] * 9 + [f"one {i}" for i in range(20)] + [None, None, "", ""]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    terms = spark.createDataFrame([("one",), ("two3",)], "term string")
+    assert {r.term: r.n for r in P.counted(docs, "text", terms).collect()} == {"one": 2 * 7 + 1 + 20, "two3": 2}
