@@ -2,7 +2,8 @@
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers. Each
 distinct value is a protected entity. Over the whole corpus the words around
-its mentions are counted; a term ``t`` discloses the entity ``e`` by
+its mentions are counted, ``window`` of them on each side, of whatever length
+and in whatever characters; a term ``t`` discloses the entity ``e`` by
 
     I(t; e) / -log2 P(e)  =  1 - log2 P(e | t) / log2 P(e),
 
@@ -139,9 +140,8 @@ def mentions(docs: DataFrame, text: str, window: int) -> DataFrame:
                     words, at = left + right, len(left)
                     for k in range(max(0, at - window), min(len(words), at + window)):
                         w = words[k]
-                        if len(w) >= 3 and not w.isdigit():
-                            found[e, w, digest([*words[max(0, k - 1):k], "*", *words[k + 1:k + 2]])] += 1
-                            first[e, w] = min(around, first.get((e, w), around))
+                        found[e, w, digest([*words[max(0, k - 1):k], "*", *words[k + 1:k + 2]])] += 1
+                        first[e, w] = min(around, first.get((e, w), around))
                 rows += [(h, e, w, near, first.get((e, w)), n) for (e, w, near), n in found.items()]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows) if rows else [[]] * 6, kinds)], names)
 
@@ -179,17 +179,19 @@ def counted(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame | None:
 
         def run(batches, shared=shared, again=again):
             total, wanted, bits, seen = Counter(), shared.value, again.value, Recent(lambda ks: [(k, None) for k in ks])
-            rows = lambda h, n: pa.RecordBatch.from_arrays([pa.array([h] * len(n), pa.int64()), pa.array([k.decode() for k in n], pa.string()), pa.array(list(n.values()), pa.int64())],
-                                                           ["h", "term", "n"])
+            rows = lambda n: pa.RecordBatch.from_arrays([pa.array([h for h, _ in n], pa.int64()), pa.array([k.decode() for _, k in n], pa.string()),
+                                                         pa.array(list(n.values()), pa.int64())], ["h", "term", "n"])
             for b in slices(batches, "text"):
+                own = {}
                 for t, h in zip(texts(b.column("text")), b.column("h").to_pylist()):
                     x = h % BITS
                     if not bits[x >> 3] >> (x & 7) & 1:
                         total.update(filter(wanted.__contains__, alnum_words(t)))
                     elif h not in seen.now and h not in seen.old:
                         seen.of({h})
-                        yield rows(h, Counter(filter(wanted.__contains__, alnum_words(t))))
-            yield rows(None, total)
+                        own.update({(h, k): n for k, n in Counter(filter(wanted.__contains__, alnum_words(t))).items()})
+                yield rows(own)
+            yield rows({(None, k): n for k, n in total.items()})
 
         n = hashed(docs, text).mapInArrow(run, "h long, term string, n long").groupBy("h", "term").agg(F.sum("n").alias("all"), F.max("n").alias("one"))
         n = n.groupBy("term").agg(F.sum(F.when(F.col("h").isNull(), F.col("all")).otherwise(F.col("one"))).alias("n"))
@@ -206,13 +208,15 @@ def disclosing(docs: DataFrame, text: str = "text", window: int = 6, support: in
              .agg(F.sum("n").alias("n_te"), F.count_distinct("around").alias("arounds"), F.count_distinct("near").alias("nears"))
              .where(F.greatest("arounds", "nears") >= support).select("entity", "term", "n_te"))
     sums = seen.where("term is null").groupBy("entity").agg(F.sum("n").alias("n_e"))
-    pairs = stored(pairs.join(sums, "entity"), "pii-pairs")
+    total = sums.agg(F.sum("n_e")).first()[0] or 0
+    share = lambda n: 1 - F.log2(F.least(F.lit(1.0), F.col("n_te") / n)) / F.log2(F.col("n_e") / F.lit(float(total + 1)))
+    # a term occurs at least once in each text that has it near a mention: what is too rare for that need not be counted
+    near = seen.where("term is not null").groupBy("term").agg(F.count_distinct("h").alias("texts"))
+    pairs = stored(pairs.join(sums, "entity").join(near, "term").where(share(F.col("texts")) >= generalise), "pii-pairs")
     n = counted(docs, text, pairs.select("term").distinct())
     if n is None:
         return None
-    total = seen.where("term is null").agg(F.sum("n")).first()[0]
-    share = 1 - F.log2(F.least(F.lit(1.0), F.col("n_te") / F.col("n"))) / F.log2(F.col("n_e") / F.lit(float(total + 1)))
-    terms = (pairs.join(n, "term").groupBy("term").agg(F.max(share).alias("disclosure"))
+    terms = (pairs.join(n, "term").groupBy("term").agg(F.max(share(F.greatest("n", "texts"))).alias("disclosure"))
              .where(F.col("disclosure") >= generalise)
              .select("term", F.when(F.col("disclosure") >= remove, "removed").otherwise("term").alias("kind"), "disclosure"))
     return stored(terms, "pii-terms")

@@ -91,3 +91,19 @@ def test_occurrences_in_different_texts(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
     terms = spark.createDataFrame([("one",), ("two3",)], "term string")
     assert {r.term: r.n for r in P.counted(docs, "text", terms).collect()} == {"one": 2 * 7 + 1 + 20, "two3": 2}
+
+
+def test_window_holds_all_words(spark):
+    long = "filler " * 60
+    near = lambda text: {r.term for r in P.mentions(spark.createDataFrame([(text,)], "text string"), "text", 6).where("term is not null").collect()}
+    assert near("Alice alice@x.example.com") == {"alice"}
+    assert near(long + "a1 b2 c3 d4 e5 f6 alice@x.example.com g7 h8 i9 j1 k2 l3 m4") == {"a1", "b2", "c3", "d4", "e5", "f6", "g7", "h8", "i9", "j1", "k2", "l3"}
+    assert near("0 " + " ".join(f"w{i}" + "x" * 90 for i in range(6)) + " alice@x.example.com 李伟 4471") == {f"w{i}" + "x" * 90 for i in range(6)} | {"李伟", "4471"}
+
+
+def test_first_short_and_numeric_words_disclose(spark):
+    rows = [f"Zorblax boss@corp.example.com w{i} x{i}" for i in range(8)] + [f"w{i} Li 李伟 y{i} b77@corp.example.com 4471 z{i}" for i in range(8)]
+    rows += [f"q{i} user{i}@mail.example.net r{i}" for i in range(40)] + [f"s{i} 17 of t{i}" for i in range(40)]
+    rows += [f"u{i} 17 of v{i} pal@home.example.org" for i in range(3)]
+    terms = {r["term"] for r in P.disclosing(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert {"zorblax", "li", "李伟", "4471"} <= terms and not {"17", "of"} & terms
