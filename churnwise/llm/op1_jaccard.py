@@ -99,19 +99,21 @@ def keys(h: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, text: str, words: int, percent: int) -> DataFrame:
-    """doc_id, n (set size), fp1 and fp2 (fingerprint of the set), keys. Of equal sets seen by a task, one has keys."""
+    """doc_id, n (set size), fp1 and fp2 (fingerprint of the set), keys. Of equal sets with a doc_id seen by a task, one
+    has keys; rows without a doc_id have none."""
     def run(batches):
         memo, bands, seen = word_memo(), Bands(percent), Recent(lambda ks: [(k, None) for k in ks], 100_000)
         for b in slices(batches, text):
             n, fp1, fp2, out = [], [], [], []
-            for t in texts(b.column(text)):
+            for t, known in zip(texts(b.column(text)), b.column("doc_id").is_valid().to_pylist()):
                 h = shingles(hashes(space_words(t), memo), words)
                 n.append(len(h))
                 fp1.append(int(np.bitwise_xor.reduce(mix(h))) if len(h) else 0)
                 fp2.append(int(np.add.reduce(mix(h + np.uint64(1)), dtype=np.uint64)) if len(h) else 0)
                 k = (n[-1], fp1[-1], fp2[-1])
-                first = k not in seen.now and k not in seen.old
-                seen.of({k})
+                first = known and k not in seen.now and k not in seen.old
+                if known:
+                    seen.of({k})
                 out.append(keys(h, bands).view(np.int64) if first and len(h) else [])
             signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), signed(fp1), signed(fp2), pa.array(out, pa.list_(pa.int64()))],

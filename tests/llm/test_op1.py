@@ -69,3 +69,15 @@ def test_components_and_empty(spark):
     assert {r.id: r.component for r in components(e, "t").collect()} == {i: 2 for i in (2, 3, 4, 5, 8, 9, 12)}
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert J.similar(docs).count() == 0 and J.drop_similar(docs).count() == 0
+
+
+@pytest.mark.parametrize("words,percent", [(3, 90), (5, 80)])
+def test_copy_without_id_comes_first(spark, words, percent):
+    text = [f"w{i}" for i in range(120)]
+    near = " ".join([*text[:60], "other", *text[61:]])
+    rows = [(None, " ".join(text)), (None, near), (7, " ".join(text)), (3, near), (9, "something else")]
+    assert 100 * (120 - words + 1 - words) >= percent * (120 - words + 1 + words)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.similar(df, "text", words, percent).collect()), key=str)
+    assert got == brute(rows, words, percent) and (7, 120 - words + 1, 3) in got
+    assert sorted((r.doc_id for r in J.drop_similar(df, "text", words, percent).collect()), key=str) == [3, 9, None, None]
