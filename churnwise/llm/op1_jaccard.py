@@ -227,12 +227,18 @@ def similar(docs: DataFrame, text: str = "text", words: int = WORDS, percent: in
 
 
 def drop_similar(docs: DataFrame, text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group of similar ones, that with the smallest doc_id; all columns. Of rows that repeat a
-    doc_id one stays; rows without a doc_id all stay."""
-    found = similar(docs, text, words, percent)
-    kept = stored(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows__")), "jaccard-kept")
-    with_id = docs.where("doc_id is not null").join(kept, "doc_id").select(*docs.columns, "rows__")
-    return (with_id.where("rows__ = 1").union(with_id.where("rows__ > 1").dropDuplicates(["doc_id"])).select(docs.columns)
+    """One document of each group of similar ones, that with the smallest doc_id; all columns. Rows that share a doc_id
+    but not the text are documents of their own; of rows that repeat both one stays; rows without a doc_id all stay."""
+    number = F.col("doc_id").cast("long")
+    own = F.when(number.isNotNull(), F.xxhash64(number, text))
+    found = similar(docs.select(own.alias("doc_id"), text), text, words, percent)
+    names = docs.where("doc_id is not null").select(own.alias("node__"), number.alias("id__")).distinct()
+    group = (found.where("doc_id is not null").groupBy(F.col("doc_id").alias("node__"), "component_id").agg(F.count("*").alias("rows__"))
+             .join(names, "node__"))
+    kept = stored(group.groupBy("component_id").agg(F.min(F.struct("id__", "node__", "rows__")).alias("first"))
+                  .select("first.node__", "first.rows__"), "jaccard-kept")
+    with_id = docs.where("doc_id is not null").withColumn("node__", own).join(kept, "node__")
+    return (with_id.where("rows__ = 1").select(docs.columns).union(with_id.where("rows__ > 1").dropDuplicates(["node__"]).select(docs.columns))
             .union(docs.where("doc_id is null")))
 
 

@@ -81,3 +81,11 @@ def test_copy_without_id_comes_first(spark, words, percent):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.similar(df, "text", words, percent).collect()), key=str)
     assert got == brute(rows, words, percent) and (7, 120 - words + 1, 3) in got
     assert sorted((r.doc_id for r in J.drop_similar(df, "text", words, percent).collect()), key=str) == [3, 9, None, None]
+
+
+def test_rows_that_share_an_id_are_decided_by_their_own_text(spark):
+    long = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, long), (2, long + " more"), (2, "quite another text, linked to nothing"), (2, "a third one of the same id"), (2, "a third one of the same id"), (3, None), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in J.drop_similar(df).collect()), key=str)
+    assert got == sorted([rows[0], rows[2], rows[3], rows[5]], key=str)
