@@ -11,7 +11,7 @@ from ... import schema as S
 from ...functions.core import fixed
 from ...sources import store
 from ...sources.members import member_snapshot
-from ...streaming import jobs
+from ...streaming import decline, jobs, upsert
 from ..oracle_sql import fx, with_members
 from ..registry import register
 from .core import scored_members
@@ -87,13 +87,32 @@ SELECT user_id, week_start, n_events, delta,
 FROM grouped)"""
 
 
+def _out_of_order(spark, sf_dir, delay):
+    """T3's closed weeks landing in two batches, the odd weeks first, then the end of the input."""
+    _, weekly = _weekly(spark, sf_dir)
+    out = jobs.run_dir(spark, "t4")
+    weekly = weekly.withColumn("value_sum", F.col("value_sum").cast("double"))
+    odd = F.floor(F.unix_millis(F.col("week_start").cast("timestamp")) / decline.WEEK_MS) % 2 == 1
+    for part in (odd, ~odd):
+        weekly.where(part).write.mode("append").parquet(f"{out}/weekly")
+        decline.decline_alert(spark, f"{out}/weekly", out, delay)
+    decline.decline_alert(spark, f"{out}/weekly", out, delay, close=True)
+    return out
+
+
 @register("t4_decline_alert", DECLINE_SQL)
 def q_decline(spark, sf_dir):
-    """T3's closed weeks streamed into the stateful per-user operator."""
-    out3, _ = _weekly(spark, sf_dir)
-    out = jobs.run_dir(spark, "t4")
-    jobs.stream_decline_alert(spark, f"{out3}/sink", out)
-    return spark.read.parquet(f"{out}/sink")
+    """Weeks out of order within the delay: the same rows as in order."""
+    return decline.read_alerts(spark, _out_of_order(spark, sf_dir, "70 days"))
+
+
+@register("t4_late_weeks", f"""
+SELECT * FROM (WITH {WEEKLY_SQL}, t AS (SELECT *, (date_diff('day', TIMESTAMP '1970-01-01', week_start) // 7) % 2 = 1 AS odd FROM weekly)
+SELECT e.user_id, e.week_start, e.n_events FROM t e WHERE NOT e.odd AND e.week_start < (
+  SELECT max(o.week_start) FROM t o WHERE o.odd AND o.user_id = e.user_id))""")
+def q_late_weeks(spark, sf_dir):
+    """Without a delay, an even week that comes after a later odd one of its user was emitted is a late row."""
+    return decline.late_weeks(spark, _out_of_order(spark, sf_dir, "0 days"))
 
 
 @register("t4_decline_alert_batch", DECLINE_SQL)
@@ -106,16 +125,16 @@ def q_decline_batch(spark, sf_dir):
 @register("t5_latest_score_upsert", with_members(f"SELECT * FROM (WITH {HIST_SQL} SELECT {_HIST_COLS} FROM latest)",
                                                  scored=True))
 def q_upsert(spark, sf_dir):
-    """Score history lands one model version per file; each micro-batch is
-    merged into a versioned latest-per-customer snapshot."""
+    """Score history lands in four files a model version; each micro-batch is merged into the touched buckets of the
+    latest-per-customer snapshot."""
     out = jobs.run_dir(spark, "t5")
     _, s = scored_members(spark, sf_dir)
     hist = score_history(s)
-    for v in ("v1", "v2", "v3"):  # one landing file per version, in order
-        hist.filter(F.col("model_version") == v).coalesce(1).write.mode("append").parquet(f"{out}/landing")
+    for v in ("v1", "v2", "v3"):
+        hist.filter(F.col("model_version") == v).repartition(4, "customer_id").write.mode("append").parquet(f"{out}/landing")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in hist.schema.fields)
-    jobs.latest_score_upsert(spark, f"{out}/landing", out, schema)
-    return _hist_out(jobs.read_latest_snapshot(spark, out))
+    upsert.latest_score_upsert(spark, f"{out}/landing", out, schema, files_per_trigger=4)
+    return _hist_out(upsert.read_snapshot(spark, out, hist.schema))
 
 
 @register("t6_late_data_report", None)

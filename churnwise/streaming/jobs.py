@@ -1,4 +1,5 @@
-"""Structured Streaming forms of the incremental operators.
+"""Structured Streaming forms of the incremental operators (T1-T3, T6, the batch twin of T4; T4 is in ``decline``, T5 in
+``upsert``).
 
 Every job reads a file stream with a fixed schema, writes an append sink
 with its own checkpoint in the shared checkpoint folder, and runs with the
@@ -8,20 +9,18 @@ resumes from the committed offsets and the sinks stay exactly-once.
 
 from __future__ import annotations
 
+import contextlib
 import json
 import threading
 import uuid
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from .. import schema as S
 from ..operators.scorecard import linear_scorecard
 from ..session import scratch_path
-from ..sources.store import latest_per_key
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 WEEK = "7 days"
@@ -71,6 +70,19 @@ def _run(spark: SparkSession, writer) -> list:
         spark.streams.removeListener(log)
 
 
+@contextlib.contextmanager
+def run_conf(spark: SparkSession, conf: dict[str, str]):
+    """Within, the session has these settings (a query keeps those of its start)."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _append(df: DataFrame, out: str):
     return (df.writeStream.format("parquet").option("path", f"{out}/sink")
             .option("checkpointLocation", f"{out}/_checkpoint").outputMode("append").trigger(availableNow=True))
@@ -130,53 +142,6 @@ def late_data_report(progress: list) -> list[tuple]:
     return rows
 
 
-DECLINE_OUT = "user_id bigint, week_start timestamp_ntz, n_events bigint, delta bigint, streak int, alert boolean"
-DECLINE_STATE = "last_week timestamp_ntz, last_count bigint, streak int"
-WEEK_TD = pd.Timedelta(days=7)
-
-
-def _decline(key, pdfs, state):
-    """Per user: weeks in order, missing weeks filled with 0, delta against
-    the previous week, streak of consecutive declines, alert at 2+."""
-    (user,) = key
-    rows = pd.concat(list(pdfs)).sort_values("week_start")
-    if state.exists:
-        last_week, last_count, streak = state.get
-        last_week = pd.Timestamp(last_week)
-    else:
-        last_week, last_count, streak = None, None, 0
-    out = []
-    for wk, n in zip(rows["week_start"], rows["n_events"]):
-        wk = pd.Timestamp(wk)
-        if last_week is not None and wk <= last_week:
-            continue  # already processed (replay)
-        if last_week is not None:
-            gap = last_week + WEEK_TD
-            while gap < wk:  # weeks without events count as 0
-                delta = 0 - last_count
-                streak = streak + 1 if delta < 0 else 0
-                out.append((user, gap, 0, delta, streak, streak >= 2))
-                last_week, last_count = gap, 0
-                gap = gap + WEEK_TD
-        delta = None if last_count is None else int(n) - int(last_count)
-        streak = streak + 1 if (delta is not None and delta < 0) else 0
-        out.append((user, wk, int(n), delta, streak, streak >= 2))
-        last_week, last_count = wk, int(n)
-    state.update((last_week.to_pydatetime(), int(last_count), int(streak)))
-    yield pd.DataFrame(out, columns=["user_id", "week_start", "n_events", "delta", "streak", "alert"])
-
-
-def stream_decline_alert(spark: SparkSession, weekly_path: str, out: str) -> list:
-    """T4: stateful per user over the weekly engagement table (a stream of
-    closed weeks), applyInPandasWithState keyed by user_id."""
-    src = spark.readStream.schema("user_id bigint, week_start timestamp_ntz, week_end timestamp_ntz, "
-                                  "n_events bigint, value_sum double").parquet(weekly_path)
-    res = src.groupBy("user_id").applyInPandasWithState(
-        _decline, outputStructType=DECLINE_OUT, stateStructType=DECLINE_STATE, outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout)
-    return _run(spark, _append(res, out))
-
-
 def decline_alert_batch(weekly: DataFrame) -> DataFrame:
     """T4 batch twin: dense weeks per user (sequence from first to last week),
     lag delta and the decline streak via a running group id. Windows are
@@ -193,54 +158,3 @@ def decline_alert_batch(weekly: DataFrame) -> DataFrame:
     streak = F.when(neg, F.row_number().over(Window.partitionBy("user_id", "_g").orderBy("week_start")) - 1) \
         .otherwise(0)
     return d.withColumn("streak", streak.cast("int")).withColumn("alert", F.col("streak") >= 2).drop("_g")
-
-
-def latest_score_upsert(spark: SparkSession, landing: str, out: str, schema: str,
-                        files_per_trigger: int = 1) -> list:
-    """T5: score rows stream in; every micro-batch merges them with the current
-    snapshot (newest row per customer, W2) and writes snapshot version
-    ``batch_id``. A retried batch rewrites the same version (idempotent); the
-    read side takes the highest committed version."""
-    snap = f"{out}/snapshot"
-
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        prev = _latest_version(spark, snap, before=batch_id)
-        merged = batch if prev is None else spark.read.parquet(prev).unionByName(batch)
-        latest_per_key(merged).write.mode("overwrite").parquet(f"{snap}/v={batch_id:08d}")
-        _drop_versions(spark, snap, before=batch_id - 1)  # the one before stays for readers
-
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
-    return _run(spark, src.writeStream.foreachBatch(upsert).option("checkpointLocation", f"{out}/_checkpoint")
-                .trigger(availableNow=True))
-
-
-def _drop_versions(spark: SparkSession, snap: str, before: int) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(snap)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and int(name[2:]) < before:
-            fs.delete(st.getPath(), True)
-
-
-def _latest_version(spark: SparkSession, snap: str, before: int | None = None) -> str | None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(snap)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return None
-    vs = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            v = int(name[2:])
-            if before is None or v < before:
-                vs.append(v)
-    return f"{snap}/v={max(vs):08d}" if vs else None
-
-
-def read_latest_snapshot(spark: SparkSession, out: str) -> DataFrame:
-    path = _latest_version(spark, f"{out}/snapshot")
-    return spark.read.parquet(path)
