@@ -1,134 +1,126 @@
-"""Exact quantiles with bounded per-task memory.
-
-Spark's exact ``percentile`` keeps a value -> count map per group and merges
-it in one task, so its memory grows with the number of distinct values. Here
-the exact linear-interpolation quantile is found in three distributed passes:
-
-1. per group: the count and a ``percentile_approx`` bracket [a, b] around
-   each wanted rank (its rank error is at most n / accuracy; the bracket is
-   widened by 3 / accuracy on each side, so it contains the exact rank);
-2. per group and bracket: the count of values below ``a`` and the
-   tie-compressed histogram of the values inside [a, b] (at most about
-   6 n / accuracy distinct values; accuracy is chosen from n so this stays
-   under ``max_bracket``);
-3. a running count over that small histogram picks the values at ranks
-   floor((n-1)p) and ceil((n-1)p), which are interpolated.
-
-Hot groups only ever send their bracket's distinct values to one task.
+"""Exact quantiles by radix selection, with bounded memory whatever the number of rows.
+
+A double is mapped to 64 bits whose order is that of the values (``order_bits``, plain expressions). The bits are decided
+``DIGIT`` at a time from the top: a pass counts, per group, the rows whose bits so far are those of a wanted order
+statistic, by their next digit (at most 2^DIGIT counters for each, partially aggregated in every task), and a running
+count over the counters tells the next digit. After 64 / DIGIT passes all bits are known, and the smallest value
+counted under them is the order statistic; two of them are interpolated. There is one way for groups of any size, no job
+runs while the plan is built, and a hot group sends no more counters than another.
+
+What a pass wants to know is one row per group. ``groups`` states how many groups there can be; where it is given and
+small, that row is broadcast to the rows, else Spark chooses the join.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-MAX_BRACKET = 200_000
+DIGIT = 16
+#: Group tables of at most so many rows are broadcast.
+BROADCAST_GROUPS = 10_000
+_MIN_NORMAL = 2.2250738585072014e-308  # 2^-1022
+
+
+def order_bits(x: Column) -> Column:
+    """A long with the order of the double ``x``: sign, exponent and fraction of the IEEE format, complemented for
+    negative values. Infinities and NaN (the largest) have theirs; -0.0 is 0.0."""
+    a = F.abs(x)
+    guess = F.floor(F.log2(a))  # may be off by one next to a power of two
+    e = guess + F.when(F.pow(F.lit(2.0), guess + 1) <= a, 1).when(F.pow(F.lit(2.0), guess) > a, -1).otherwise(0)
+    power = F.pow(F.lit(2.0), e)
+    normal = (e + 1023) * F.lit(1 << 52) + ((a / power - 1.0) * F.lit(float(1 << 52))).cast("long")
+    small = (a / F.lit(_MIN_NORMAL) * F.lit(float(1 << 52))).cast("long")
+    bits = (F.when(F.isnan(x), F.lit(0x7FF8 << 48)).when(a == float("inf"), F.lit(0x7FF0 << 48))
+            .when(a < F.lit(_MIN_NORMAL), small).otherwise(normal))
+    return F.when((x < 0) & ~F.isnan(x), -bits - 1).otherwise(bits)
+
+
+def _pick(rank: Column, q_idx: int, side: int) -> Column:
+    return F.struct(F.lit(q_idx).alias("q_idx"), F.lit(side).alias("side"), rank.cast("long").alias("rank"),
+                    F.lit(None).cast("long").alias("bits"), F.lit(None).cast("double").alias("value"))
+
+
+def _found(pick: Column, bins: Column) -> Column:
+    """``pick`` with one more digit, from the sorted counters ``bins`` (bits, n, low) of all picks of the group."""
+    start = F.struct(F.lit(0).cast("long").alias("before"), F.lit(None).cast("long").alias("bits"), F.lit(None).cast("double").alias("value"),
+                     pick["rank"].alias("rank"))
+
+    def step(acc, b):
+        mine = F.coalesce(F.shiftright(b["bits"], DIGIT) == pick["bits"], pick["bits"].isNull())
+        here = mine & acc["bits"].isNull() & (pick["rank"] < acc["before"] + b["n"])
+        return F.struct(F.when(mine, acc["before"] + b["n"]).otherwise(acc["before"]).alias("before"),
+                        F.when(here, b["bits"]).otherwise(acc["bits"]).alias("bits"), F.when(here, b["low"]).otherwise(acc["value"]).alias("value"),
+                        F.when(here, pick["rank"] - acc["before"]).otherwise(acc["rank"]).alias("rank"))
+
+    end = F.aggregate(bins, start, step)
+    return F.struct(pick["q_idx"].alias("q_idx"), pick["side"].alias("side"), end["rank"].alias("rank"), end["bits"].alias("bits"),
+                    end["value"].alias("value"))
+
+
+def radix_select(d: DataFrame, by: list[str], probs: list[float], bits: int = 64, groups: int | None = None) -> DataFrame:
+    """Per group of ``by``: ``n`` and ``picks``, an array of (q_idx, side, value) with the order statistics at ranks
+    floor and ceil of (n - 1) p. ``d``: ``by``, ``_k`` (a long of ``bits`` bits, in order), ``_x`` (the value)."""
+    wanted = None
+    for shift in range(bits - DIGIT, -1, -DIGIT):
+        rows = d.withColumn("_bits", F.shiftright("_k", shift))
+        if wanted is None:
+            counted = rows.groupBy(*by, "_bits").agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_low"))
+            state = [F.sum("_n").alias("_total")]
+        else:
+            side = wanted.select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(by)], "_total", "_picks")
+            same = F.lit(True)
+            for i, c in enumerate(by):
+                same = same & F.col(c).eqNullSafe(F.col(f"_h{i}"))
+            if groups is not None and groups <= BROADCAST_GROUPS:
+                side = F.broadcast(side)
+            hit = rows.join(side, same).where(F.exists("_picks", lambda p: p["bits"] == F.shiftright("_bits", DIGIT)))
+            counted = hit.groupBy(*by, "_bits").agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_low"),
+                                                    F.any_value("_total").alias("_total"), F.any_value("_picks").alias("_picks"))
+            state = [F.any_value("_total").alias("_total"), F.any_value("_picks").alias("_picks")]
+        one = counted.groupBy(*by).agg(*state, F.array_sort(F.collect_list(F.struct(
+            F.col("_bits").alias("bits"), F.col("_n").alias("n"), F.col("_low").alias("low")))).alias("_bins"))
+        if wanted is None:
+            at = [(F.col("_total") - 1).cast("double") * F.lit(float(p)) for p in probs]
+            one = one.withColumn("_picks", F.array(*[_pick(f(a), i, s) for i, a in enumerate(at) for s, f in ((0, F.floor), (1, F.ceil))]))
+        wanted = one.select(*by, "_total", F.transform("_picks", lambda p: _found(p, F.col("_bins"))).alias("_picks"))
+    return wanted.select(*by, F.col("_total").alias("n"), F.col("_picks").alias("picks"))
+
+
+def interpolated(selected: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+    """Rows (by..., q_idx, p, quantile) from :func:`radix_select`."""
+    rows = []
+    for i, p in enumerate(probs):
+        pos = (F.col("n") - 1).cast("double") * F.lit(float(p))
+        lo, hi, frac = F.col("picks")[2 * i]["value"], F.col("picks")[2 * i + 1]["value"], pos - F.floor(pos)
+        rows.append(F.struct(F.lit(i).alias("q_idx"), F.lit(float(p)).alias("p"), F.when(frac == 0, lo).otherwise(lo + (hi - lo) * frac).alias("quantile")))
+    return selected.select(*by, F.explode(F.array(*rows)).alias("_q")).select(*by, "_q.*")
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None,
-                    max_bracket: int = MAX_BRACKET) -> DataFrame:
-    """Rows (by..., q_idx, p, quantile): linear interpolation between the
-    order statistics, as numpy / pandas / DuckDB ``quantile_cont``."""
+                    groups: int | None = None) -> DataFrame:
+    """Rows (by..., q_idx, p, quantile): linear interpolation between the order statistics, as numpy / pandas / DuckDB
+    ``quantile_cont``. Null values are left out; a group without values has no rows."""
     by = by or []
-    x = F.col(value).cast("double")
-    d = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull())
-    n_max = d.groupBy(*by).count().agg(F.max("count")).first()[0] or 1  # one number
-    if n_max <= max_bracket:
-        # Every group is small enough for Spark's exact percentile: its value
-        # map holds at most n_max <= max_bracket entries. One pass.
-        g = d.groupBy(*by).agg(F.percentile("_x", [float(p) for p in probs]).alias("_q"))
-        return g.select(*by, F.posexplode("_q").alias("q_idx", "quantile")).select(
-            *by, F.col("q_idx").cast("int").alias("q_idx"),
-            F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("q_idx") + 1).alias("p"), "quantile")
-    # Large groups: the passes below all read the same narrow projection;
-    # write it once to the shared checkpoint folder (cuts the upstream lineage,
-    # survives lost executors) instead of recomputing the input in every pass.
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    d = d.checkpoint(eager=True)
-    acc = int(min(max(10_000, math.ceil(6.0 * n_max / max_bracket)), 2_000_000_000))
-    # Rank margin = sketch error (n / acc) + 3 whole ranks (the sketch's order
-    # statistic and the interpolation ranks are defined apart). One literal
-    # margin cannot suit groups of every size, so brackets are requested at a
-    # few size levels and each group uses the level just below its size: the
-    # bracket then spans at most ~6n/acc + 600 ranks, whatever n is.
-    levels = [1] + [10 ** e for e in (2, 4, 6, 8, 10, 12) if 10 ** e <= n_max]
-    percents, index = [], {}
-    for v, lv in enumerate(levels):
-        eps = 3.0 / acc + 3.0 / lv
-        for i, p in enumerate(probs):
-            for side, q in (("a", max(0.0, p - eps)), ("b", min(1.0, p + eps))):
-                index[(v, i, side)] = (len(percents), q)
-                percents.append(q)
-    stats = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
-                               F.percentile_approx("_x", percents, acc).alias("_ab"),
-                               F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
-    level = F.lit(0)
-    for v, lv in enumerate(levels):
-        level = F.when(F.col("_n") >= lv, F.lit(v)).otherwise(level)
-
-    def bound(i, side):
-        e = None
-        for v in range(len(levels)):
-            pos, q = index[(v, i, side)]
-            val = F.col("_mn") if (side == "a" and q <= 0.0) else F.col("_mx") if (side == "b" and q >= 1.0) \
-                else F.col("_ab")[pos]
-            e = F.when(level == v, val) if e is None else e.when(level == v, val)
-        return e
-
-    brackets = stats.select(*by, "_n", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("q_idx"), F.lit(float(p)).alias("p"), bound(i, "a").alias("a"),
-                 bound(i, "b").alias("b"))
-        for i, p in enumerate(probs)])).alias("br")).select(*by, "_n", "br.*")
-    if by:
-        # Pass 2, grouped: each value meets its group's k bracket rows through
-        # an equi-join on the group keys (AQE broadcasts the small side).
-        j = d.join(brackets, by, "inner")
-        below = j.groupBy(*by, "q_idx").agg(F.count_if(F.col("_x") < F.col("a")).alias("_below"))
-        inside = (j.filter((F.col("_x") >= F.col("a")) & (F.col("_x") <= F.col("b")))
-                  .groupBy(*by, "q_idx", "_x").agg(F.count(F.lit(1)).alias("_c")))
-        meta = brackets.select(*by, "q_idx", "p", "_n")
-    else:
-        # Pass 2, global: the k brackets are k literal pairs (read back as k
-        # rows); every value tags itself with the brackets it falls in.
-        rows = brackets.collect()
-        bl = d.agg(*[F.count_if(F.col("_x") < F.lit(r.a)).alias(f"b{r.q_idx}") for r in rows]).first()
-        below = d.sparkSession.createDataFrame([(r.q_idx, int(bl[f"b{r.q_idx}"])) for r in rows],
-                                               "q_idx int, _below long")
-        tags = F.array(*[F.when((F.col("_x") >= F.lit(r.a)) & (F.col("_x") <= F.lit(r.b)), F.lit(r.q_idx))
-                         for r in rows])
-        inside = (d.select("_x", F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("q_idx"))
-                  .groupBy("q_idx", "_x").agg(F.count(F.lit(1)).alias("_c")))
-        meta = d.sparkSession.createDataFrame([(r.q_idx, r.p, r._n) for r in rows], "q_idx int, p double, _n long")
-    w = Window.partitionBy(*by, "q_idx").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = inside.withColumn("_cum", F.sum("_c").over(w))
-    h = hist.join(below, [*by, "q_idx"]).join(meta, [*by, "q_idx"])
-    pos = (F.col("_n") - 1).cast("double") * F.col("p")
-    r_lo, r_hi = F.floor(pos), F.ceil(pos)
-    start = F.col("_below") + F.col("_cum") - F.col("_c")  # rank of the first copy of _x (0-based)
-    end = F.col("_below") + F.col("_cum")
-    picks = h.select(*by, "q_idx", "p", pos.alias("_pos"),
-                     F.when((start <= r_lo) & (r_lo < end), F.col("_x")).alias("_vlo"),
-                     F.when((start <= r_hi) & (r_hi < end), F.col("_x")).alias("_vhi"))
-    g = picks.groupBy(*by, "q_idx", "p").agg(F.max("_pos").alias("_pos"), F.max("_vlo").alias("_vlo"),
-                                             F.max("_vhi").alias("_vhi"))
-    frac = F.col("_pos") - F.floor("_pos")
-    q = F.when(frac == 0, F.col("_vlo")).otherwise(F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac)
-    return g.select(*by, "q_idx", "p", q.alias("quantile"))
-
-
-def quantiles_long(df: DataFrame, cols: list[str], probs: list[float], by: list[str] | None = None) -> DataFrame:
+    names = [f"_g{i}" for i in range(len(by))] or ["_g0"]
+    keys = [F.col(c).alias(n) for c, n in zip(by, names)] or [F.lit(0).alias("_g0")]
+    d = df.select(*keys, F.col(value).cast("double").alias("_x")).where("_x IS NOT NULL").withColumn("_k", order_bits(F.col("_x")))
+    q = interpolated(radix_select(d, names, probs, groups=groups if by else 1), names, probs)
+    return q.select(*[F.col(n).alias(c) for c, n in zip(by, names)], "q_idx", "p", "quantile")
+
+
+def quantiles_long(df: DataFrame, cols: list[str], probs: list[float], by: list[str] | None = None,
+                   by_groups: int | None = None) -> DataFrame:
     """Exact quantiles of several columns in one set of passes: the columns
     are stacked into (feature, value) pairs and the feature is one more
-    group key. Rows (by..., feature, q_idx, p, quantile)."""
+    group key. Rows (by..., feature, q_idx, p, quantile). ``by_groups``: how
+    many groups ``by`` has at most, if that is known."""
     by = by or []
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v"))
                                 for c in cols]))
     long = df.select(*by, pairs.alias("_pv")).select(*by, "_pv.feature", "_pv.v")
-    return exact_quantiles(long, "v", probs, by=[*by, "feature"])
+    known = 1 if not by else by_groups
+    return exact_quantiles(long, "v", probs, by=[*by, "feature"], groups=known and known * len(cols))
 
 
 def quantile_map(df: DataFrame, cols: list[str], probs: list[float]) -> dict[tuple[str, float], float]:
