@@ -1,8 +1,9 @@
 """Preparation, training, calibration and batch scoring (M1-M13, M19-M23,
 H4, A22-A25, W3, W8) on Spark ML.
 
-* Splits and folds are hash buckets of the member key (no sort, no window
-  per class), so they scale and are stable across runs and engines.
+* Splits and folds compare a hash of the member key with its quantiles in the
+  class (radix selection: no sort, no window per class), so they scale and are
+  stable across runs and engines.
 * Preprocessing parameters are fitted on the training split only, in two
   aggregation passes, and kept as a small parameter table; applying them is
   plain column expressions (no UDF), identical in batch and streaming.
@@ -13,60 +14,92 @@ H4, A22-A25, W3, W8) on Spark ML.
 from __future__ import annotations
 
 import math
-import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.core import dbl, fixed, risk_tier, with_derived_features
+from ..session import stored
 from . import evaluate as ev
+from .calibrate import Calibrator, add_margin, calibrators, fold_margin
 
 SPLIT_SALT = "split"
 FOLD_SALT = "fold"
 
 
-def hash01(key: Column | str, seed: int = S.SEED, salt: str = SPLIT_SALT) -> Column:
-    """Uniform [0, 1) from the first 32 bits of md5(key|salt|seed)."""
+def hash32(key: Column | str, seed: int = S.SEED, salt: str = SPLIT_SALT) -> Column:
+    """The first 32 bits of md5(key|salt|seed)."""
     k = F.col(key) if isinstance(key, str) else key
-    h = F.conv(F.substring(F.md5(F.concat_ws("|", k.cast("string"), F.lit(salt), F.lit(str(seed)))), 1, 8), 16, 10)
-    return h.cast("bigint").cast("double") / F.lit(4294967296.0)
+    return F.conv(F.substring(F.md5(F.concat_ws("|", k.cast("string"), F.lit(salt), F.lit(str(seed)))), 1, 8), 16, 10).cast("bigint")
+
+
+def hash01(key: Column | str, seed: int = S.SEED, salt: str = SPLIT_SALT) -> Column:
+    """The same, uniform in [0, 1)."""
+    return hash32(key, seed, salt).cast("double") / F.lit(4294967296.0)
+
+
+def class_cuts(df: DataFrame, cuts: dict[str, list[float]], label: str = S.TARGET) -> DataFrame:
+    """One row per class: ``_class`` and, for each column of hashes (``hash32``) in ``cuts``, an array named after it of
+    the exact quantiles of the hash / 2^32 within the class. All hashes share one histogram of their upper 16 bits per
+    class, and only its bins that hold a cut are refined (two passes of radix selection)."""
+    from .quantiles import interpolated, radix_select
+    probs = sorted({p for ps in cuts.values() for p in ps})
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("which"), F.col(c).alias("h")) for c in cuts]))
+    d = df.select(F.col(label).alias("_class"), each.alias("_h")).select(
+        "_class", F.col("_h.which").alias("_which"), F.col("_h.h").alias("_k"), (F.col("_h.h").cast("double") / F.lit(4294967296.0)).alias("_x"))
+    q = interpolated(radix_select(d, ["_class", "_which"], probs, bits=32, groups=2 * len(cuts)), ["_class", "_which"], probs)
+    return q.groupBy("_class").agg(*[
+        F.array(*[F.max(F.when((F.col("_which") == c) & (F.col("q_idx") == probs.index(p)), F.col("quantile"))) for p in ps]).alias(c)
+        for c, ps in cuts.items()])
 
 
-def _class_cuts(df: DataFrame, u: Column, probs: list[float], label: str) -> DataFrame:
-    """``df`` with ``_u`` (a uniform hash) and ``_cuts``, the exact quantiles of the hash within the row's class: two
-    rows of thresholds, found without sorting a class in one task."""
-    from .quantiles import exact_quantiles
-    d = df.withColumn("_u", u)
-    q = exact_quantiles(d.select(label, "_u"), "_u", probs, by=[label])
-    cuts = q.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("q_idx", "quantile"))),
-                                            lambda x: x.quantile).alias("_cuts"))
-    return d.join(F.broadcast(cuts), label, "left").select(*df.columns, "_u", "_cuts")
+def _with_cuts(df: DataFrame, hashes: dict[str, tuple[Column, list[float]]], label: str) -> DataFrame:
+    """``df`` with each hash as ``_u<name>`` in [0, 1) and its class's cuts as ``_c<name>``."""
+    keyed = df.withColumns({n: h for n, (h, _) in hashes.items()})
+    cuts = class_cuts(keyed, {n: ps for n, (_, ps) in hashes.items()}, label).withColumnsRenamed({n: f"_c{n}" for n in hashes})
+    out = keyed.join(F.broadcast(cuts), F.col(label).eqNullSafe(F.col("_class")), "left").drop("_class")  # a row per class
+    return out.withColumns({f"_u{n}": F.col(n).cast("double") / F.lit(4294967296.0) for n in hashes}).drop(*hashes)
+
+
+def _split_of(fractions) -> tuple[Column, list[float]]:
+    probs = [fractions[0], fractions[0] + fractions[1]]
+    return F.when(F.col("_u_s") < F.col("_c_s")[0], "train").when(F.col("_u_s") < F.col("_c_s")[1], "val").otherwise("test"), probs
+
+
+def _fold_of(k: int) -> tuple[Column, list[float]]:
+    return F.size(F.filter("_c_f", lambda c: F.col("_u_f") >= c)), [i / k for i in range(1, k)]
 
 
 def stratified_split(df: DataFrame, key: str = "customer_id", fractions=(0.70, 0.15, 0.15),
                      seed: int = S.SEED, label: str = S.TARGET) -> DataFrame:
     """M6: train / val / test with the given proportions in every class: a
     uniform hash of the key against its quantiles within the class."""
-    d = _class_cuts(df, hash01(key, seed), [fractions[0], fractions[0] + fractions[1]], label)
-    split = F.when(F.col("_u") < F.col("_cuts")[0], "train").when(F.col("_u") < F.col("_cuts")[1], "val").otherwise("test")
-    return d.withColumn("split", split).drop("_u", "_cuts")
+    split, probs = _split_of(fractions)
+    return _with_cuts(df, {"_s": (hash32(key, seed), probs)}, label).withColumn("split", split).select(*df.columns, "split")
 
 
 def assign_folds(df: DataFrame, k: int = S.KFOLDS, key: str = "customer_id", seed: int = S.SEED,
                  label: str = S.TARGET) -> DataFrame:
     """M7: fold id in [0, k), each with 1 / k of every class, by an independent
     hash of the key."""
-    d = _class_cuts(df, hash01(key, seed, FOLD_SALT), [i / k for i in range(1, k)], label)
-    return d.withColumn("fold", F.size(F.filter("_cuts", lambda c: F.col("_u") >= c))).drop("_u", "_cuts")
+    fold, probs = _fold_of(k)
+    return _with_cuts(df, {"_f": (hash32(key, seed, FOLD_SALT), probs)}, label).withColumn("fold", fold).select(*df.columns, "fold")
+
+
+def split_and_folds(df: DataFrame, k: int = S.KFOLDS, key: str = "customer_id", fractions=(0.70, 0.15, 0.15),
+                    seed: int = S.SEED, label: str = S.TARGET) -> DataFrame:
+    """M6 and M7 together: ``df`` is derived once, into a stored table; both hashes share the passes over it."""
+    df = stored(df, "split")
+    (split, ps), (fold, pf) = _split_of(fractions), _fold_of(k)
+    out = _with_cuts(df, {"_s": (hash32(key, seed), ps), "_f": (hash32(key, seed, FOLD_SALT), pf)}, label)
+    return out.withColumn("split", split).withColumn("fold", fold).select(*df.columns, "split", "fold")
 
 
 def class_weights(df: DataFrame, label: str = S.TARGET, fit_on: DataFrame | None = None) -> DataFrame:
@@ -224,127 +257,60 @@ def pr_auc_of(df: DataFrame, p: str, y: str = S.TARGET) -> float:
     return ev.rank_metrics(ev.score_hist(pts)).first().pr_auc
 
 
-def tune(train: DataFrame, n_trials: int = 8, k: int = S.KFOLDS, seed: int = S.SEED, parallel: int = 2) -> dict:
-    """Seeded random search over the boosted-tree space, maximising mean
-    fold ROC-AUC (exact, from the score histogram). Trials run as parallel
-    Spark jobs; adaptive (TPE) sampling is not reproduced."""
-    from concurrent.futures import ThreadPoolExecutor
-    rnd = random.Random(seed)
-    trials = []
-    for _ in range(n_trials):
-        trials.append({"maxIter": rnd.randint(20, 120), "maxDepth": rnd.randint(2, 6),
-                       "stepSize": math.exp(rnd.uniform(math.log(0.01), math.log(0.3))),
-                       "subsamplingRate": rnd.uniform(0.6, 1.0),
-                       "minInstancesPerNode": rnd.randint(1, 10)})
-    folded = assign_folds(train, k).cache()
-
-    def score(params):
-        aucs = []
-        for f in range(k):
-            m = fit_boosted(folded.filter(F.col("fold") != f), params)
-            pr = prob_col(m.transform(folded.filter(F.col("fold") == f)))
-            aucs.append(auc_of(pr, "p_model"))
-        return sum(aucs) / len(aucs)
-
-    with ThreadPoolExecutor(max_workers=parallel) as ex:
-        scores = list(ex.map(score, trials))
-    folded.unpersist()
-    best = max(range(n_trials), key=lambda i: (scores[i], -i))
-    return {"best_params": trials[best], "best_auc": scores[best],
-            "trials": [dict(t, mean_auc=s) for t, s in zip(trials, scores)]}
-
-
-@dataclass
-class Calibrator:
-    method: str
-    model: object
-
-    def apply(self, pred: DataFrame, margin: str = "margin", out: str = "p_cal") -> DataFrame:
-        if self.method == "sigmoid":
-            a = float(self.model.coefficients[0])
-            b = float(self.model.intercept)
-            return pred.withColumn(out, F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) * F.col(margin) + F.lit(b)))))
-        if self.method == "isotonic":
-            bnd = [float(x) for x in self.model.boundaries]
-            prd = [float(x) for x in self.model.predictions]
-            return pred.withColumn(out, _piecewise_linear(F.col(margin), bnd, prd))
-        return pred.withColumn(out, F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * F.col(margin))))
-
-
-def _piecewise_linear(x: Column, xs: list[float], ys: list[float]) -> Column:
-    """Isotonic prediction as a CASE chain over the (few) fitted knots."""
-    if not xs:
-        return F.lit(None).cast("double")
-    e = F.when(x <= xs[0], F.lit(ys[0]))
-    for i in range(1, len(xs)):
-        x0, x1, y0, y1 = xs[i - 1], xs[i], ys[i - 1], ys[i]
-        slope = (y1 - y0) / (x1 - x0) if x1 != x0 else 0.0
-        e = e.when(x <= x1, F.lit(y0) + (x - F.lit(x0)) * F.lit(slope))
-    return e.otherwise(F.lit(ys[-1]))
-
-
-def oof_margins(train: DataFrame, params: dict | None = None, k: int = S.KFOLDS) -> DataFrame:
-    """Out-of-fold GBT margins for every training row (k fits)."""
-    folded = assign_folds(train, k)
-    parts = []
-    for f in range(k):
-        m = fit_boosted(folded.filter(F.col("fold") != f), params)
-        parts.append(margin_col(m.transform(folded.filter(F.col("fold") == f))).select("customer_id", S.TARGET,
-                                                                                       "margin"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def calibrate(train: DataFrame, val_pred: DataFrame, params: dict | None = None, k: int = S.KFOLDS) -> tuple:
-    """Platt (sigmoid) and isotonic calibrators fitted on out-of-fold
-    margins; the one with the higher validation PR-AUC wins."""
-    oof = oof_margins(train, params, k).cache()
-    va = VectorAssembler(inputCols=["margin"], outputCol="m_vec")
-    platt = LogisticRegression(featuresCol="m_vec", labelCol=S.TARGET, maxIter=100, regParam=0.0) \
-        .fit(va.transform(oof))
-    iso = IsotonicRegression(featuresCol="margin", labelCol=S.TARGET, isotonic=True).fit(
-        oof.withColumn(S.TARGET, F.col(S.TARGET).cast("double")))
-    cands = [Calibrator("sigmoid", platt), Calibrator("isotonic", iso)]
-    scores = {c.method: pr_auc_of(c.apply(val_pred), "p_cal") for c in cands}
-    oof.unpersist()
-    best = max(cands, key=lambda c: (scores[c.method], c.method == "sigmoid"))
-    return best, scores
-
-
 @dataclass
 class ChurnModel:
-    """The trained bundle (S5): preprocessing, tree model, calibrator, threshold."""
+    """The trained bundle (S5): preprocessing, the trees of all training rows (attribution reads them), the k fold models
+    whose calibrated probabilities are averaged, and the threshold."""
     prep: PrepModel
     trees: object
+    fold_trees: list
     calibrator: Calibrator
     threshold: float
     version: str = S.MODEL_VERSION
 
+    def scored(self, x: DataFrame, out: str = "p_cal") -> DataFrame:
+        """``x`` (with ``features``) and the probability; the folds' margins are not kept."""
+        for f, trees in enumerate(self.fold_trees):
+            x = add_margin(x, trees, fold_margin(f))
+        return self.calibrator.apply(x, out).drop(*map(fold_margin, range(len(self.fold_trees))))
+
 
 def prepare_members(members: DataFrame) -> DataFrame:
     """Derived features (pipeline form, unrounded ratio) + split."""
     return stratified_split(with_derived_features(members))
 
 
+def fit_folds(train: DataFrame, params: dict | None = None, k: int = S.KFOLDS) -> tuple[object, list, DataFrame]:
+    """The model of all training rows, a model for each fold (column ``fold``) from the rows of the others,
+    and the margins (fold, label, margin) of all rows by the model that has not seen them. The fits are independent and
+    run as parallel Spark jobs."""
+    with ThreadPoolExecutor(max_workers=k + 1) as pool:
+        all_rows = pool.submit(fit_boosted, train, params)
+        models = list(pool.map(lambda f: fit_boosted(train.filter(F.col("fold") != f), params), range(k)))
+        trees = all_rows.result()
+    oof = None
+    for f, model in enumerate(models):
+        part = add_margin(train.filter(F.col("fold") == f), model, "margin").select("fold", S.TARGET, "margin")
+        oof = part if oof is None else oof.unionByName(part)
+    return trees, models, oof
+
+
 def train_model(members: DataFrame, params: dict | None = None, k: int = S.KFOLDS) -> tuple[ChurnModel, DataFrame]:
-    """M6 -> M4 -> M11 -> M13 -> M17: fit on train, calibrate on out-of-fold
-    margins, choose the cost threshold on validation. Returns the bundle and
-    the scored member table with its split."""
-    d = prepare_members(members)
+    """M6 -> M4 -> M11 -> M13 -> M17: fit on train, calibrate by k fold models, choose the calibration by PR-AUC and the
+    cost threshold on validation. Returns the bundle and the scored member table with its split. What is read more than
+    once is stored in the shared folder; nothing is cached."""
+    d = split_and_folds(with_derived_features(members), k)
     prep = fit_prep(d.filter(F.col("split") == "train"))
-    keep = ["customer_id", S.TARGET, "split"]
-    x = prep.transform(d, keep).cache()
-    train = class_weights(x.filter(F.col("split") == "train")).cache()  # weights of the training rows only
-    trees = fit_boosted(train, params)
-    scored = margin_col(trees.transform(x))
-    cal, _ = calibrate(train, scored.filter(F.col("split") == "val"), params, k)
-    scored = cal.apply(scored)
+    x = stored(prep.transform(d, ["customer_id", S.TARGET, "split", "fold"]).select("customer_id", S.TARGET, "split", "fold", "features"), "train")
+    train = stored(class_weights(x.filter(F.col("split") == "train")), "train-weighted")  # weights of the training rows only
+    trees, folds, oof = fit_folds(train, params, k)
+    options = [ChurnModel(prep, trees, folds, c, S.DEFAULT_THRESHOLD) for c in calibrators(oof, k)]
+    val = x.filter(F.col("split") == "val")
+    model = max(options, key=lambda m: (pr_auc_of(m.scored(val), "p_cal"), m.calibrator.method == "sigmoid"))
+    scored = stored(model.scored(add_margin(x, trees, "margin")).select("customer_id", S.TARGET, "split", "margin", "p_cal"), "scored")
     hist = ev.score_hist(ev.labeled_points(scored.filter(F.col("split") == "val"), p="p_cal"))
-    thr = ev.cost_threshold(hist).first().threshold
-    model = ChurnModel(prep, trees, cal, thr)
-    return model, scored.select("customer_id", S.TARGET, "split", "margin", "p_cal")
+    model.threshold = ev.cost_threshold(hist).first().threshold
+    return model, scored
 
 
 def split_metrics(scored: DataFrame, threshold: float, p: str = "p_cal") -> DataFrame:
@@ -359,15 +325,14 @@ def score_batch(model: ChurnModel, members: DataFrame, drivers: DataFrame | None
     model archetype (D1) are joined on when given."""
     d = with_derived_features(members)
     keep = ["customer_id"] + [c for c in members.columns if c != "customer_id"] + S.DERIVED_NUMERIC + S.DERIVED_BINARY
-    x = model.prep.transform(d, keep)
-    s = model.calibrator.apply(margin_col(model.trees.transform(x)))
+    s = model.scored(add_margin(model.prep.transform(d, keep), model.trees, "margin"))
     s = s.withColumns({
         "churn_probability": fixed("p_cal", 5),
         "risk_tier": risk_tier("p_cal", "model"),
         "predicted_churn": (F.col("p_cal") >= F.lit(model.threshold)).cast("int"),
         "threshold": F.lit(model.threshold),
         "model_version": F.lit(model.version),
-    }).drop("features", "rawPrediction", "probability", "prediction")
+    }).drop("features")
     if drivers is not None:
         from .decide import archetype_model
         s = archetype_model(s.join(drivers, "customer_id", "left"), drivers="contributions")
@@ -387,8 +352,8 @@ def leakage_probe(members: DataFrame, suspect: str = "Month_to_end_contract", te
         binary = [f for f in feats if f in S.BINARY_FEATURES + S.DERIVED_BINARY]
         numeric = [f for f in feats if f not in binary]
         prep = fit_prep(d.filter(F.col("split") == "train"), numeric=numeric, binary=binary)
-        x = class_weights(prep.transform(d, ["customer_id", S.TARGET, "split"]))
-        m = fit_logistic(x.filter(F.col("split") == "train"))
+        x = prep.transform(d, ["customer_id", S.TARGET, "split"])
+        m = fit_logistic(class_weights(x.filter(F.col("split") == "train")))
         auc = auc_of(prob_col(m.transform(x.filter(F.col("split") == "test"))), "p_model")
         rows.append((label, float(auc)))
     spark = members.sparkSession
@@ -410,17 +375,6 @@ def scaled_features(members: DataFrame, features: list[str] = S.LEGACY_FEATURES)
     return prep.transform(members, [c for c in members.columns])
 
 
-def fit_kmeans(x: DataFrame, k: int = 4, seeds: tuple[int, ...] = (42, 43, 44)):
-    """K-means|| from several seeds, keep the lowest cost (inertia)."""
-    k = max(2, min(int(k), 6))
-    best = None
-    for s in seeds:
-        m = KMeans(featuresCol="features", k=k, seed=s, initMode="k-means||", maxIter=50).fit(x)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best
-
-
 def silhouette(pred: DataFrame) -> float:
     """Squared-Euclidean silhouette (Spark's linear-time form)."""
     return ClusteringEvaluator(featuresCol="features", predictionCol="cluster", metricName="silhouette",

@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.core import fixed, with_derived_features
-from ..operators import eda, evaluate as ev, ml, quality
+from ..operators import clusters, eda, evaluate as ev, ml, quality
 from ..operators.personas import personas
 from ..operators.scorecard import rule_scorecard
-from ..session import scratch_path
+from ..session import scratch_path, stored
 
 #: Rows of the prediction preview (the reference's own limit).
 PREVIEW = 500
@@ -44,9 +44,9 @@ def run_baseline(df: DataFrame, params: dict) -> dict[str, DataFrame]:
 
 
 def run_kmeans(df: DataFrame, params: dict) -> dict[str, DataFrame]:
-    x = ml.scaled_features(df.withColumnRenamed(ROW_KEY, "customer_id"))
-    km = ml.fit_kmeans(x, int(params.get("n_clusters", 4)))
-    prof = ml.cluster_profile(km.transform(x).withColumnRenamed("prediction", "cluster"))
+    x = stored(ml.scaled_features(df.withColumnRenamed(ROW_KEY, "customer_id")), "analysis-kmeans")
+    km = clusters.fit_kmeans(x, int(params.get("n_clusters", 4)), starts=int(params.get("n_init", 10)))
+    prof = ml.cluster_profile(km.assign(x))
     return {"segments": prof.select(F.col("risk_label").alias("label"), "count", "churn_rate", "cluster"),
             "heatmap": ml.heatmap_normalized(prof), "profile": prof}
 

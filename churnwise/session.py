@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every churnwise job assumes. Shuffle partitions stay AQE-coalesced,
 # so the large default suits a cluster while small local runs collapse them.
@@ -63,3 +64,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into a new sub-folder of the shared folder and read it back: what follows scans the table
+    instead of deriving it again, and a lost executor costs no recomputation."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:10]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

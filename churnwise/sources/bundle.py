@@ -10,40 +10,44 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.param.shared import HasInputCols, Param, Params, TypeConverters
-from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..operators.ml import Calibrator, ChurnModel, PrepModel
+from ..operators.calibrate import Calibrator
+from ..operators.ml import ChurnModel, PrepModel
 
 
 def save_bundle(model: ChurnModel, path: str, spark: SparkSession) -> None:
     """Write the bundle (overwrite = idempotent reload)."""
     model.trees.write().overwrite().save(f"{path}/trees")
+    for f, trees in enumerate(model.fold_trees):
+        trees.write().overwrite().save(f"{path}/fold_trees/{f}")
     model.prep.param_table(spark).write.mode("overwrite").parquet(f"{path}/prep")
-    model.calibrator.model.write().overwrite().save(f"{path}/calibrator")
+    curves = [(f, [float(v) for v in values]) for f, values in enumerate(model.calibrator.folds)]
+    spark.createDataFrame(curves, "fold int, curve array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/calibrator")
     meta = {"version": model.version, "threshold": model.threshold, "calibration": model.calibrator.method,
             "numeric": model.prep.numeric, "binary": model.prep.binary}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").text(f"{path}/meta")
 
 
 def load_bundle(path: str, spark: SparkSession) -> ChurnModel:
-    """Load once; the parameter and metadata tables are a few rows."""
+    """Load once; the parameter, calibration and metadata tables are a few rows."""
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
     rows = spark.read.parquet(f"{path}/prep").collect()  # one row per feature
     params = {r.feature: {"lower": r.lower, "upper": r.upper, "median": r.median, "mean": r.mean,
                           "scale": r.scale} for r in rows}
     prep = PrepModel(meta["numeric"], meta["binary"], params)
-    cal_cls = LogisticRegressionModel if meta["calibration"] == "sigmoid" else IsotonicRegressionModel
-    cal = Calibrator(meta["calibration"], cal_cls.load(f"{path}/calibrator"))
-    trees = GBTClassificationModel.load(f"{path}/trees")
-    return ChurnModel(prep, trees, cal, meta["threshold"], meta["version"])
+    folds = spark.read.parquet(f"{path}/calibrator").orderBy("fold").collect()  # one row per fold
+    cal = Calibrator(meta["calibration"], [tuple(r.curve) if meta["calibration"] == "sigmoid" else np.array(r.curve) for r in folds])
+    load = GBTClassificationModel.load
+    return ChurnModel(prep, load(f"{path}/trees"), [load(f"{path}/fold_trees/{r.fold}") for r in folds], cal, meta["threshold"], meta["version"])
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
