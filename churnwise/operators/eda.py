@@ -23,6 +23,7 @@ CONTRACT_LABELS = {1: "Mensal", 6: "Semestral", 12: "Anual"}
 COHORTS_APP = [(-1, 2, "0-2m"), (2, 5, "3-5m"), (5, 8, "6-8m"), (8, 12, "9-12m"), (12, 1e9, "12m+")]
 COHORTS_LEGACY = [(-1, 1, "0-1 mês"), (1, 3, "2-3 meses"), (3, 6, "4-6 meses"), (6, 12, "7-12 meses"),
                   (12, float("inf"), "13+ meses")]
+COHORTS_NOTEBOOK = [(-0.1, 1, "0-1"), (1, 3, "2-3"), (3, 6, "4-6"), (6, 12, "7-12"), (12, float("inf"), "12+")]
 FREQ_BUCKETS = [(-1, 0.0001, "0"), (0.0001, 1, "0-1"), (1, 2, "1-2"), (2, 3, "2-3"), (3, 1e9, "3+")]
 CORR_COLUMNS = [("Lifetime", "Lifetime"), ("Avg_class_frequency_current_month", "Freq_atual"),
                 ("Contract_period", "Contrato"), ("Avg_additional_charges_total", "Adicionais"),
@@ -60,25 +61,12 @@ def r(c: Column, d: int = 6) -> Column:
 
 
 # A1 -------------------------------------------------------------------------
-def validation_report(df: DataFrame, target: str = S.TARGET) -> DataFrame:
+def validation_report(df: DataFrame, target: str = S.TARGET, fingerprint: str | None = None) -> DataFrame:
+    """A1: rows, columns, nulls and churn rate, and the fingerprint (S3) of the data that the report is about."""
     nulls = sum((F.sum(F.col(c).isNull().cast("bigint")) for c in df.columns), F.lit(0).cast("bigint"))
     return df.agg(_n().alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"),
                   nulls.alias("total_nulls"),
-                  (F.sum(dbl(target)) / _n()).alias("churn_rate"))
-
-
-# A2 -------------------------------------------------------------------------
-def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Nulls, type and distinct count per column, one aggregate pass then stack.
-    ``approx`` swaps exact distinct counting (an Expand per column) for HLL."""
-    aggs = []
-    for c in df.columns:
-        aggs.append(F.sum(F.col(c).isNull().cast("bigint")).alias(f"n_{c}"))
-        aggs.append((F.approx_count_distinct(c) if approx else F.count_distinct(c)).cast("bigint").alias(f"d_{c}"))
-    wide = df.agg(*aggs)
-    types = dict(df.dtypes)
-    parts = ", ".join(f"'{c}', '{types[c]}', `n_{c}`, `d_{c}`" for c in df.columns)
-    return wide.selectExpr(f"stack({len(df.columns)}, {parts}) AS (column, dtype, nulls, distinct_values)")
+                  (F.sum(dbl(target)) / _n()).alias("churn_rate"), F.lit(fingerprint).cast("string").alias("fingerprint"))
 
 
 # A3 -------------------------------------------------------------------------
@@ -101,14 +89,6 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return moments.join(q, "feature", "left").select("feature", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
-# A4 -------------------------------------------------------------------------
-def duplicate_count(df: DataFrame) -> DataFrame:
-    """rows minus distinct rows over all columns (distinct is a partial-
-    aggregated shuffle on the full row)."""
-    a = df.agg(_n().alias("n_rows"), F.count_distinct(F.struct(*[F.col(c) for c in df.columns])).alias("distinct_rows"))
-    return a.select("n_rows", "distinct_rows", (F.col("n_rows") - F.col("distinct_rows")).alias("duplicates"))
-
-
 # A5 -------------------------------------------------------------------------
 def kpi_summary(df: DataFrame) -> DataFrame:
     return df.agg(
@@ -156,21 +136,26 @@ def assign_bins(x: Column, bins, closed_first: bool = False) -> Column:
     return e
 
 
-def churn_by_cohort(df: DataFrame, scheme: str = "app") -> DataFrame:
-    """A8. ``app``: (lo, hi] bins, empty cohorts dropped, 3-decimal rate.
-    ``legacy``: first bin closed, every cohort kept (rate 0, count 0 when
-    empty), 4-decimal rate. Both with bin order ``ord``."""
-    bins = COHORTS_APP if scheme == "app" else COHORTS_LEGACY
+#: scheme -> (bins, first bin closed, empty cohorts kept, decimals of the rate)
+COHORT_SCHEMES = {"app": (COHORTS_APP, False, False, 3), "legacy": (COHORTS_LEGACY, True, True, 4), "notebook": (COHORTS_NOTEBOOK, False, False, 6)}
+
+
+def churn_by_cohort(df: DataFrame, scheme: str = "app", bins=None) -> DataFrame:
+    """Members, churned and churn rate per cohort of lifetimes, with bin order ``ord``; a row each. ``app`` and
+    ``notebook``: empty cohorts dropped; ``legacy``: first bin closed, every cohort kept (rate 0, count 0 when empty).
+    ``bins``: other (lo, hi] bins with labels instead of the scheme's."""
+    own, closed, keep_empty, decimals = COHORT_SCHEMES[scheme]
+    bins = bins or own
     x = dbl("Lifetime")
-    g = (df.select(assign_bins(x, bins, closed_first=(scheme == "legacy")).alias("cohort"), "Churn")
+    g = (df.select(assign_bins(x, bins, closed_first=closed).alias("cohort"), "Churn")
          .groupBy("cohort").agg(_n().alias("total"), F.sum("Churn").cast("bigint").alias("churn")))
     labels = df.sparkSession.createDataFrame([(i, lab) for i, (_, _, lab) in enumerate(bins)], "ord int, cohort string")
-    if scheme == "app":
+    if not keep_empty:
         return labels.join(g, "cohort", "inner").select(
-            "ord", "cohort", "total", "churn", fixed(F.col("churn") / F.col("total"), 3).alias("churn_rate"))
+            "ord", "cohort", "total", "churn", fixed(F.col("churn") / F.col("total"), decimals).alias("churn_rate"))
     return labels.join(F.broadcast(g), "cohort", "left").select(
         "ord", "cohort", F.coalesce("total", F.lit(0)).cast("bigint").alias("count"),
-        F.coalesce(fixed(F.col("churn") / F.col("total"), 4), F.lit(0.0)).alias("churn_rate"))
+        F.coalesce(fixed(F.col("churn") / F.col("total"), decimals), F.lit(0.0)).alias("churn_rate"))
 
 
 # A9 -------------------------------------------------------------------------
@@ -238,7 +223,7 @@ def box_stats_by_churn(df: DataFrame, features: list[str] = BOX_FEATURES) -> Dat
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), dbl(f).alias("v")) for f in features]))
     mm = (df.select("Churn", pairs.alias("p")).groupBy("Churn", "p.feature")
           .agg(F.min("p.v").alias("min"), F.max("p.v").alias("max")))
-    q = quantiles_long(df, features, [0.25, 0.5, 0.75], by=["Churn"]).groupBy("Churn", "feature").agg(
+    q = quantiles_long(df, features, [0.25, 0.5, 0.75], by=["Churn"], by_groups=2).groupBy("Churn", "feature").agg(
         *[r(F.max(F.when(F.col("q_idx") == i, F.col("quantile")))).alias(n) for i, n in enumerate(("q1", "median", "q3"))])
     return mm.join(q, ["Churn", "feature"], "left").select("Churn", "feature", "min", "q1", "median", "q3", "max")
 
@@ -317,6 +302,19 @@ def action_segments(df: DataFrame, dog_lifetime_min: int = 6, dog_freq_max: floa
                        F.coalesce(fixed(F.col("churned") / F.col("members"), 3), F.lit(0.0)).alias("churn_rate"))
 
 
+def early_and_idle_segments(df: DataFrame) -> DataFrame:
+    """A17's other three rules: early droppers, sleeping dogs (both by their flags) and annual contracts (12 months or
+    more) with a current frequency below 0.1; members and churn rate (4 decimals), no rate where nobody is."""
+    life, cur = F.col("Lifetime"), dbl("Avg_class_frequency_current_month")
+    conds = {"early_droppers": life <= 1, "sleeping_dogs": (life > 6) & (cur < 0.5), "anuais_uso_zero": (F.col("Contract_period") >= 12) & (cur < 0.1)}
+    aggs = []
+    for i, c in enumerate(conds.values()):
+        aggs += [F.count_if(c).alias(f"n{i}"), F.sum(F.when(c, F.col("Churn"))).cast("bigint").alias(f"c{i}")]
+    parts = ", ".join(f"'{s}', n{i}, c{i}" for i, s in enumerate(conds))
+    long = df.agg(*aggs).selectExpr(f"stack({len(conds)}, {parts}) AS (segment, members, churned)")
+    return long.select("segment", "members", F.when(F.col("members") > 0, fixed(F.col("churned") / F.col("members"), 4)).alias("churn_rate"))
+
+
 # A18 + J8 -------------------------------------------------------------------
 def retention_by_lifetime(df: DataFrame, months: int = RETENTION_MONTHS) -> DataFrame:
     """Share retained among members with lifetime = m for m in 0..12; null

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from .profile import clean_report
 
 
 class DataQualityError(ValueError):
@@ -41,22 +42,10 @@ def check_binary_target(df: DataFrame, target: str = S.TARGET) -> DataFrame:
 
 
 def clean(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Project, drop rows with nulls, drop exact duplicates. The report
-    (rows_original, rows_clean, duplicates over ALL input columns, nulls over
-    the projected ones) is one aggregation plus the distinct count; the
-    duplicates are counted on all columns and removed on the selected ones,
-    as the reference does."""
-    clean_df = df.select(*cols).dropna().dropDuplicates()
-    nulls = sum((F.sum(F.col(c).isNull().cast("bigint")) for c in cols), F.lit(0).cast("bigint"))
-    complete = F.lit(True)
-    for c in cols:
-        complete = complete & F.col(c).isNotNull()
-    report = df.agg(
-        F.count(F.lit(1)).alias("rows_original"),
-        F.count_distinct(F.when(complete, F.struct(*[F.col(c) for c in cols]))).alias("rows_clean"),
-        (F.count(F.lit(1)) - F.count_distinct(F.struct(*[F.col(c) for c in df.columns]))).alias("duplicates_removed"),
-        nulls.alias("null_values"))
-    return clean_df, report
+    """Project, drop rows with nulls, drop exact duplicates; and the report
+    (``profile.clean_report``): duplicates are counted on all columns and
+    removed on the selected ones, as the reference does."""
+    return df.select(*cols).dropna().dropDuplicates(), clean_report(df, cols)
 
 
 def guard_min_rows(df: DataFrame, n: int = 10, target: str | None = S.TARGET, per_class: int = 0) -> None:

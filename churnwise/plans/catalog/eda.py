@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ... import schema as S
 from ...functions.core import with_derived_features
-from ...operators import eda
-from ...sources.members import member_snapshot
+from ...operators import eda, profile
+from ...sources.members import member_snapshot, read_table, table_fingerprint
 from ..oracle_sql import fx, sdiv, with_members
 from ..registry import register
 from .core import scored_members
@@ -29,12 +29,21 @@ def _union(parts):
 
 
 # A1
+#: Columns of the members that are whole numbers: their text is the same in every engine.
+_WHOLE = [c for c in M_COLS if _TYPES[c] != "double"]
+_ROW_SQL = " || ".join(f"coalesce(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in _WHOLE)
+
+
 @register("a1_validation_report", with_members(
     "SELECT COUNT(*) AS n_rows, 15 AS n_columns, CAST(("
     + " + ".join(f"SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)" for c in M_COLS)
-    + ") AS BIGINT) AS total_nulls, SUM(CAST(Churn AS DOUBLE)) / COUNT(*) AS churn_rate FROM members"))
+    + ") AS BIGINT) AS total_nulls, SUM(CAST(Churn AS DOUBLE)) / COUNT(*) AS churn_rate, "
+    f"CAST(SUM(CAST(('0x' || SUBSTRING(md5({_ROW_SQL}), 1, 15)) AS BIGINT)) AS VARCHAR) AS fingerprint FROM members"))
 def q_validation_report(spark, sf_dir):
-    return eda.validation_report(_members(spark, sf_dir))
+    """The report carries the order-insensitive digest of the members' whole-number columns."""
+    m = _members(spark, sf_dir)
+    digest = table_fingerprint(m.select(*_WHOLE)).first().digest  # one row
+    return eda.validation_report(m, fingerprint=digest)
 
 
 # A2
@@ -42,7 +51,7 @@ def q_validation_report(spark, sf_dir):
     f"SELECT '{c}' AS column, '{_TYPES[c]}' AS dtype, CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) "
     f"AS nulls, CAST(COUNT(DISTINCT {c}) AS BIGINT) AS distinct_values FROM members" for c in M_COLS])))
 def q_column_profile(spark, sf_dir):
-    return eda.column_profile(_members(spark, sf_dir))
+    return profile.column_profile(_members(spark, sf_dir))
 
 
 # A3
@@ -68,7 +77,7 @@ _LEG = ", ".join(S.LEGACY_FEATURES + [S.TARGET])
     f"SELECT COUNT(*) AS n_rows, (SELECT COUNT(*) FROM (SELECT DISTINCT {_LEG} FROM members) d) AS distinct_rows, "
     f"COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT {_LEG} FROM members) d) AS duplicates FROM members"))
 def q_duplicate_count(spark, sf_dir):
-    return eda.duplicate_count(_members(spark, sf_dir).select(*S.LEGACY_FEATURES, S.TARGET))
+    return profile.duplicate_count(_members(spark, sf_dir).select(*S.LEGACY_FEATURES, S.TARGET))
 
 
 # A5
@@ -129,6 +138,15 @@ def q_churn_by_cohort_legacy(spark, sf_dir):
     return eda.churn_by_cohort(_members(spark, sf_dir), "legacy")
 
 
+@register("a8_churn_by_cohort_notebook", with_members(
+    "SELECT b.ord, b.cohort, COUNT(*) AS total, CAST(SUM(m.Churn) AS BIGINT) AS churn, "
+    f"{fx('SUM(m.Churn) / COUNT(*)', 6)} AS churn_rate "
+    "FROM (VALUES (0, '0-1', -0.1, 1.0), (1, '2-3', 1.0, 3.0), (2, '4-6', 3.0, 6.0), (3, '7-12', 6.0, 12.0), (4, '12+', 12.0, 1e300)) b(ord, cohort, lo, hi) "
+    "JOIN members m ON m.Lifetime > b.lo AND m.Lifetime <= b.hi GROUP BY b.ord, b.cohort"))
+def q_churn_by_cohort_notebook(spark, sf_dir):
+    return eda.churn_by_cohort(_members(spark, sf_dir), "notebook")
+
+
 # A9
 @register("a9_frequency_distribution", with_members(
     "SELECT b.ord, b.bucket, COUNT(*) FILTER (WHERE m.Churn = 1) AS churn, "
@@ -257,6 +275,30 @@ def q_action_segments(spark, sf_dir):
     return eda.action_segments(_members(spark, sf_dir))
 
 
+_EARLY_SQL = [("early_droppers", "Lifetime <= 1"), ("sleeping_dogs", "Lifetime > 6 AND Avg_class_frequency_current_month < 0.5"),
+              ("anuais_uso_zero", "Contract_period >= 12 AND Avg_class_frequency_current_month < 0.1")]
+
+
+@register("a17_early_and_idle_segments", with_members(_union([
+    f"SELECT '{s}' AS segment, COUNT(*) FILTER (WHERE {c}) AS members, "
+    f"{fx(f'SUM(Churn) FILTER (WHERE {c}) / NULLIF(COUNT(*) FILTER (WHERE {c}), 0)', 4)} AS churn_rate FROM members" for s, c in _EARLY_SQL])))
+def q_early_and_idle_segments(spark, sf_dir):
+    return eda.early_and_idle_segments(_members(spark, sf_dir))
+
+
+@register("a2_merged_profile", """SELECT 'event_type' AS column, COUNT(*) AS n_rows, CAST(COUNT(*) - COUNT(event_type) AS BIGINT) AS nulls, TRUE AS near FROM events
+UNION ALL SELECT 'user_id', COUNT(*), CAST(COUNT(*) - COUNT(user_id) AS BIGINT), TRUE FROM events
+UNION ALL SELECT 'event_id', COUNT(*), CAST(COUNT(*) - COUNT(event_id) AS BIGINT), TRUE FROM events""")
+def q_merged_profile(spark, sf_dir):
+    """Kept profiles of each day of the events, merged: counts, and whether the sketch is within 3 % of the exact count."""
+    ev = read_table(spark, sf_dir, "events")
+    daily = profile.profile_sketch(ev.select(F.to_date("ts").alias("day"), "event_type", "user_id", "event_id"), by=["day"])
+    merged = profile.read_profile(profile.merge_profiles(daily))
+    exact = profile.column_profile(ev.select("event_type", "user_id", "event_id")).select("column", F.col("distinct_values").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.col("exact") * 0.03
+    return merged.join(exact, "column").select("column", "n_rows", "nulls", near.alias("near"))
+
+
 # A18
 @register("a18_retention_by_lifetime", with_members(
     "SELECT CAST(g.m AS INTEGER) AS lifetime, CASE WHEN COUNT(Churn) > 0 THEN "

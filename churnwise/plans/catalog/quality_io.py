@@ -6,11 +6,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ... import schema as S
-from ...functions.core import fixed
-from ...operators import eda, ml, quality
+from ...functions.core import fixed, with_derived_features
+from ...operators import eda, ml, profile, quality
 from ...sources import bundle
-from ...sources.members import dataset_fingerprint, member_snapshot, read_members, read_untrusted_csv
+from ...sources.members import (dataset_fingerprint, member_snapshot, read_members, read_table, read_untrusted_csv,
+                                table_fingerprint)
 from ...streaming.jobs import run_dir
+from .core import scored_members
 from .ml import DERIVED
 from ..analysis import REGISTRY, analysis_run, as_rows
 from ..oracle_sql import fx, with_members
@@ -119,48 +121,70 @@ def q_checks(spark, sf_dir):
     return r.withColumn("ok", F.lit(True))
 
 
+_UPLOAD = S.MEMBER.fieldNames()
+
+
 @register("s1_s2_csv_roundtrip", with_members(
     "SELECT COUNT(*) AS good_rows, (SELECT COUNT(*) FROM members WHERE customer_id % 100 = 0) AS rejected_rows, "
     f"CAST(SUM(Age) AS BIGINT) AS age_total, {fx('SUM(Avg_additional_charges_total)', 4)} AS charges_total FROM members"))
 def q_csv(spark, sf_dir):
-    """Members written as a header CSV with corrupt copies of every 100th row
-    (Age not a number); the fixed-schema FAILFAST reader reads the clean file,
-    the untrusted reader splits good and rejected rows."""
+    """Members written as header CSV files; the fixed-schema FAILFAST reader reads them, and the untrusted reader reads
+    the same folder with corrupt copies of every 100th row (Age not a number) and tells good and rejected rows."""
+    out = _upload(spark, sf_dir)
+    clean = read_members(spark, f"{out}/clean")
+    ok, rejected = read_untrusted_csv(spark, f"{out}/upload")
+    good = ok.agg(F.count(F.lit(1)).alias("good_rows"), F.sum("Age").cast("bigint").alias("age_total"),
+                  fixed(F.sum("Avg_additional_charges_total"), 4).alias("charges_total"), F.lit(1).alias("one"))
+    same = clean.agg(F.count(F.lit(1)).alias("clean_rows"), F.lit(1).alias("one"))
+    bad = rejected.agg(F.count(F.lit(1)).alias("rejected_rows"), F.lit(1).alias("one"))
+    j = good.join(same, "one").join(bad, "one")  # one row each
+    return j.select(F.when(F.col("good_rows") == F.col("clean_rows"), F.col("good_rows")).alias("good_rows"), "rejected_rows", "age_total", "charges_total")
+
+
+def _upload(spark, sf_dir):
+    """A folder ``clean`` of CSV files with a header each, and ``upload``, the same and files with corrupt rows."""
     out = run_dir(spark, "csv")
     m = member_snapshot(spark, sf_dir)
-    m.select(*S.MEMBER.fieldNames()).write.option("header", True).csv(f"{out}/clean")
-    clean = read_members(spark, f"{out}/clean")
-    good = m.select(F.concat_ws(",", *[F.col(c).cast("string") for c in S.MEMBER.fieldNames()]).alias("value"))
-    bad = m.filter(F.col("customer_id") % 100 == 0).select(F.concat_ws(
-        ",", *[F.lit("x") if c == "Age" else F.col(c).cast("string") for c in S.MEMBER.fieldNames()]).alias("value"))
-    good.unionByName(bad).coalesce(1).write.text(f"{out}/upload")
-    ok, rejected = _untrusted(spark, out)
-    clean_rows = clean.count()       # one number each: the report is a single row
-    rejected_rows = rejected.count()
-    if clean_rows != m.count():
-        raise ValueError("clean CSV round trip lost rows")
-    return ok.agg(F.count(F.lit(1)).alias("good_rows"), F.sum("Age").cast("bigint").alias("age_total"),
-                  fixed(F.sum("Avg_additional_charges_total"), 4).alias("charges_total")) \
-        .withColumn("rejected_rows", F.lit(rejected_rows).cast("bigint"))
-
-
-def _untrusted(spark, out):
-    """Give the uploaded part file a .csv name (the upload path only takes
-    .csv) and read it through the untrusted reader."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    folder = jvm.org.apache.hadoop.fs.Path(f"{out}/upload")
-    fs = folder.getFileSystem(conf)
-    part = [st.getPath() for st in fs.listStatus(folder) if st.getPath().getName().startswith("part-")][0]
-    fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{out}/upload.csv"))
-    return read_untrusted_csv(spark, f"{out}/upload.csv", header=False)
+    fields = m.select("customer_id", *_UPLOAD)
+    fields.drop("customer_id").write.option("header", True).csv(f"{out}/clean")
+    fields.drop("customer_id").write.option("header", True).csv(f"{out}/upload")
+    bad = fields.where("customer_id % 100 = 0").withColumn("Age", F.lit("x"))
+    bad.drop("customer_id").write.mode("append").option("header", True).csv(f"{out}/upload")
+    return out
+
+
+@register("s2_rejected_reasons", with_members(
+    "SELECT 'Age: not int: x' AS reason, COUNT(*) AS lines FROM members WHERE customer_id % 100 = 0 HAVING COUNT(*) > 0"))
+def q_reasons(spark, sf_dir):
+    """Why lines were rejected."""
+    _, rejected = read_untrusted_csv(spark, f"{_upload(spark, sf_dir)}/upload")
+    return rejected.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
 
 
 @register("s3_dataset_fingerprint", None)
 def q_fingerprint(spark, sf_dir):
-    """SHA-256 of every table file of the scale-factor folder."""
-    f = dataset_fingerprint(spark, f"{sf_dir.rstrip('/')}/*.parquet")
-    return f.select(F.regexp_extract("path", r"[^/]+$", 0).alias("file"), "sha256", "length")
+    """Digests of every table file of the scale-factor folder and of all together."""
+    return dataset_fingerprint(spark, f"{sf_dir.rstrip('/')}/*.parquet")
+
+
+_DIGESTED = {"documents": ["doc_id", "text", "lang", "source", "n_chars"], "labels": ["doc_id", "quality", "toxic"],
+             "nation": ["n_nationkey", "n_name", "n_regionkey"], "conversations": ["conv_id", "turn", "role", "text"]}
+
+
+@register("s3_table_fingerprint", "WITH d AS (" + " UNION ALL ".join(
+    f"SELECT '{t}' AS file, CAST('0x' || SUBSTRING(md5("
+    + " || ".join(f"coalesce(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in cols)
+    + f"), 1, 15) AS BIGINT) AS h FROM {t}" for t, cols in _DIGESTED.items())
+    + ") SELECT file, COUNT(*) AS n_rows, CAST(SUM(h) AS VARCHAR) AS digest FROM d GROUP BY file "
+    "UNION ALL SELECT '__dataset__', COUNT(*), CAST(SUM(h) AS VARCHAR) FROM d")
+def q_table_fingerprint(spark, sf_dir):
+    """Order-insensitive digests of four tables' rows, and of all of them."""
+    out = None
+    for t, cols in _DIGESTED.items():
+        d = table_fingerprint(read_table(spark, sf_dir, t).select(*cols)).withColumn("file", F.lit(t))
+        out = d if out is None else out.unionByName(d)
+    total = out.agg(F.sum("n_rows").alias("n_rows"), F.sum(F.col("digest").cast("decimal(38,0)")).cast("string").alias("digest"))
+    return out.unionByName(total.withColumn("file", F.lit("__dataset__")))
 
 
 @register("x1_winsorizer_bounds", with_members(
@@ -205,14 +229,36 @@ def q_bundle(spark, sf_dir):
         "metrics_rows", F.lit(spark.read.json(f"{out}/metrics").count()))
 
 
-@register("s14_eda_bundle", None)
-def q_eda_bundle(spark, sf_dir):
+def eda_models(spark, sf_dir):
+    """Every EDA read model by name."""
     m = member_snapshot(spark, sf_dir)
-    models = {"summary": eda.kpi_summary(m), "by_contract": eda.churn_by_contract(m),
-              "by_cohort": eda.churn_by_cohort(m, "app"), "freq_dist": eda.frequency_distribution(m),
-              "correlation": eda.correlation_matrix(m), "survival": eda.retention_by_lifetime(m)}
-    rows = bundle.write_eda_bundle(models, f"{run_dir(spark, 'eda')}/bundle")
-    return spark.createDataFrame(rows, "model string, rows long")
+    d = with_derived_features(m)
+    _, s = scored_members(spark, sf_dir)
+    return {"validation": eda.validation_report(m), "column_profile": profile.column_profile(m), "describe": eda.describe(m, S.RAW_FEATURES + [S.TARGET]),
+            "duplicates": profile.duplicate_count(m), "summary": eda.kpi_summary(m), "distributions": eda.value_distribution(m, ["Churn", "Contract_period", "Group_visits"]),
+            "by_contract": eda.churn_by_contract(m), **{f"by_cohort_{k}": eda.churn_by_cohort(m, k) for k in eda.COHORT_SCHEMES},
+            "freq_dist": eda.frequency_distribution(m), "by_binary": eda.churn_by_binary(m), "compare": eda.compare_by_churn(m),
+            "derived_means": eda.derived_means_by_churn(d), "box_stats": eda.box_stats_by_churn(m), "correlation": eda.correlation_matrix(m),
+            "target_correlation": eda.target_correlation(d), "diagnostic_segments": eda.diagnostic_segments(m), "action_segments": eda.action_segments(m),
+            "early_and_idle_segments": eda.early_and_idle_segments(m), "retention": eda.retention_by_lifetime(m), "survival": eda.kaplan_meier(m),
+            "tiers": eda.category_split(s, "risk_tier", S.TIERS, "tier"), "score_facts": eda.score_facts(s), "defaults": eda.feature_defaults(m),
+            "funnel": eda.eligibility_funnel(s)}
+
+
+@register("s14_eda_bundle", with_members("""
+SELECT 'summary' AS model, 'customers' AS field, CAST(COUNT(*) AS VARCHAR) AS value FROM members
+UNION ALL SELECT 'funnel', 'base', CAST(COUNT(*) AS VARCHAR) FROM scored
+UNION ALL SELECT 'by_contract', CAST(Contract_period AS VARCHAR), CAST(COUNT(*) AS VARCHAR) FROM members GROUP BY Contract_period
+UNION ALL SELECT 'models', 'written', '26'""", scored=True))
+def q_eda_bundle(spark, sf_dir):
+    """All EDA read models written under one folder and read back; some of their rows, and how many models there are."""
+    models = eda_models(spark, sf_dir)
+    folder = f"{run_dir(spark, 'eda')}/bundle"
+    back = bundle.write_eda_bundle(models, folder)
+    text = lambda name, field, value: back[name].select(F.lit(name).alias("model"), field.alias("field"), F.col(value).cast("string").alias("value"))
+    n = spark.range(1).select(F.lit("models").alias("model"), F.lit("written").alias("field"), F.lit(str(len(back))).alias("value"))
+    return (text("summary", F.lit("customers"), "customers").unionByName(text("funnel", F.lit("base"), "base"))
+            .unionByName(text("by_contract", F.col("contract").cast("string"), "total")).unionByName(n))
 
 
 @register("m22_analysis_run", None)

@@ -9,6 +9,7 @@ loads on any executor layout.
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark import keyword_only
@@ -64,13 +65,16 @@ def feature_meta(spark: SparkSession, prep: PrepModel, threshold: float) -> Data
                           "tiers": F.lit("baixo<0.30<=medio<0.60<=alto")})
 
 
-def write_eda_bundle(models: dict[str, DataFrame], path: str) -> list[tuple[str, int]]:
-    """Every EDA read model under one directory (one parquet per model)."""
-    out = []
-    for name, df in models.items():
+def write_eda_bundle(models: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
+    """Every EDA read model under one folder (a parquet folder each); returns them as read back. The models are
+    independent, so their jobs run beside each other."""
+    def write(item) -> tuple[str, DataFrame]:
+        name, df = item
         df.write.mode("overwrite").parquet(f"{path}/{name}")
-        out.append((name, df.sparkSession.read.parquet(f"{path}/{name}").count()))
-    return out
+        return name, df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}")
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return dict(pool.map(write, models.items()))
 
 
 # ---------------------------------------------------------------------------

@@ -86,37 +86,110 @@ def read_members(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return r.format(fmt).load(path)
 
 
-def read_untrusted_csv(spark: SparkSession, path: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Upload path. Only ``.csv``; returns (good rows, rejected raw lines)."""
-    if not path.lower().endswith(".csv"):
-        raise ValueError("only .csv files are accepted")
-    sch = S.MEMBER.add("_corrupt_record", "string")
-    df = (spark.read.schema(sch).option("header", header).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
-    # Materialise once (reliable checkpoint in the shared folder) so the
-    # corrupt-record column can be filtered on.
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    df = df.checkpoint(eager=True)
-    good = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = df.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
-    return good, bad
-
-
-def dataset_fingerprint(spark: SparkSession, path: str) -> DataFrame:
-    """S3: SHA-256 per file (binaryFile source) plus an order-insensitive digest
-    over all files, one row per file and a ``__dataset__`` total row."""
-    files = (spark.read.format("binaryFile").load(path)
-             .select(F.col("path"), F.sha2(F.col("content"), 256).alias("sha256"), F.col("length")))
-    return files
+def read_untrusted_csv(spark: SparkSession, path: str, header: bool = True, schema=S.MEMBER) -> tuple[DataFrame, DataFrame]:
+    """The upload path: a ``.csv`` file, or a folder of any number of them. Returns (good rows, rejected lines); a
+    rejected row has ``line``, ``file`` and ``reasons``, which say for every field what is wrong with it, or that their
+    number is. Lines are read as text and parsed by expressions, so nothing is written or read twice to tell the two
+    apart; a line break within quotes is not supported. With ``header`` each file's header line (the column names) is
+    left out, wherever it stands; blank lines are too. Null is an empty field."""
+    for name in _file_names(spark, path):
+        if not name.lower().endswith(".csv"):
+            raise ValueError(f"only .csv files are accepted: {name}")
+    fields = schema.fields
+    raw = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_name").alias("file"))
+    raw = raw.where(F.trim("line") != "")
+    if header:
+        raw = raw.where(F.lower(F.regexp_replace("line", r"[\s\"]", "")) != ",".join(f.name.lower() for f in fields))
+    parts = F.transform(F.split(F.regexp_replace("line", "\r$", ""), ",", -1), lambda c: F.regexp_replace(F.trim(c), r'^"(.*)"$', "$1"))
+    cut = raw.withColumn("_c", parts).withColumn("_n", F.size("_c"))
+    value = lambda i: F.when(F.get("_c", F.lit(i)) != "", F.get("_c", F.lit(i)))
+    reasons = [F.when(F.col("_n") != len(fields), F.concat(F.lit(f"{len(fields)} fields expected, not "), F.col("_n").cast("string")))]
+    reasons += [F.when((F.col("_n") == len(fields)) & value(i).isNotNull() & value(i).try_cast(f.dataType).isNull(),
+                       F.concat(F.lit(f"{f.name}: not {f.dataType.simpleString()}: "), value(i))) for i, f in enumerate(fields)]
+    told = cut.withColumn("reasons", F.array_compact(F.array(*reasons)))
+    good = told.where(F.size("reasons") == 0).select(*[value(i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
+    return good, told.where(F.size("reasons") > 0).select("line", "file", "reasons")
+
+
+def _files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(uri, length) of the files that a path, folder or pattern names; hidden ones and Spark's markers left out."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out, todo = [], list(fs.globStatus(p) or [])
+    while todo:
+        st = todo.pop()
+        if st.isDirectory():
+            todo += list(fs.listStatus(st.getPath()))
+        elif not st.getPath().getName().startswith(("_", ".")):
+            out.append((st.getPath().toString(), st.getLen()))
+    return sorted(out)
+
+
+def _file_names(spark: SparkSession, path: str) -> list[str]:
+    return [uri.rsplit("/", 1)[-1] for uri, _ in _files(spark, path)]
+
+
+#: Bytes of a leaf of a file's hash tree, and children of an inner node.
+RANGE_BYTES, FAN = 8 << 20, 1024
+
+
+def dataset_fingerprint(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """S3: a digest per file and one of the whole, rows (file, sha256, length), the last named ``__dataset__``.
+
+    A file is a hash tree over byte ranges: leaves are the SHA-256 of ``range_bytes`` bytes each, every ``FAN`` digests in
+    a row (as hex text) are hashed to one, until one is left. A file of one range has the plain SHA-256 of its bytes. The
+    ranges of all files are spread over the tasks, each reads its own bytes, so size is no limit. ``__dataset__`` is the
+    SHA-256 of the files' digests in ascending order: the same whatever the files are called and in whatever order they
+    lie. The driver handles the list of files, not their content."""
+    files = _files(spark, path)
+    rows = spark.createDataFrame([(u, n) for u, n in files] or [], "uri string, length long")
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.floor((F.col("length") - 1) / range_bytes), F.lit(0)).cast("long")))
+    ranges = rows.select("uri", "length", starts.alias("i")).repartition(max(1, sum(n for _, n in files) // range_bytes + len(files)) if files else 1, "uri", "i")
+
+    def hashed(batches):
+        import hashlib
+
+        from pyarrow import fs
+        for pdf in batches:
+            out = []
+            for uri, length, i in zip(pdf["uri"], pdf["length"], pdf["i"]):
+                system, where = fs.FileSystem.from_uri(uri if not uri.startswith("file:/") or uri.startswith("file://") else "file://" + uri[5:])
+                h, left = hashlib.sha256(), min(range_bytes, length - i * range_bytes)
+                with system.open_input_file(where) as f:
+                    f.seek(i * range_bytes)
+                    while left > 0:
+                        data = f.read(min(left, 1 << 20))
+                        if not data:
+                            raise OSError(f"{uri} ends before its length of {length}")
+                        h.update(data)
+                        left -= len(data)
+                out.append(h.hexdigest())
+            yield pdf.assign(digest=out)
+
+    nodes = ranges.mapInPandas(hashed, "uri string, length long, i long, digest string")
+    most = max([n for _, n in files], default=0)
+    levels, width = 0, -(-most // range_bytes)
+    while width > 1:
+        levels, width = levels + 1, -(-width // FAN)
+    joined = lambda column: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "digest"))), lambda x: x.digest), "")
+    for _ in range(levels):  # a file that has one node left keeps it
+        grouped = nodes.groupBy("uri", "length", F.floor(F.col("i") / FAN).alias("j")).agg(joined("digest").alias("all"), F.count(F.lit(1)).alias("n"), F.first("digest").alias("only"))
+        nodes = grouped.select("uri", "length", F.col("j").alias("i"), F.when((F.col("n") == 1) & (F.col("j") == 0), F.col("only")).otherwise(F.sha2("all", 256)).alias("digest"))
+    per = nodes.select(F.element_at(F.split("uri", "/"), -1).alias("file"), F.col("digest").alias("sha256"), "length")
+    whole = per.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("sha256")), ""), 256).alias("sha256"),
+                    F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("length"))
+    return per.unionByName(whole.withColumn("file", F.lit("__dataset__")))
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
-    """S3 for tables: row count and an order-insensitive digest, the sum of the
-    first 8 hex digits of each row's md5 read as an integer."""
-    row_hash = F.conv(F.substring(F.md5(F.to_json(F.struct(*[F.col(c) for c in df.columns]))), 1, 8), 16, 10)
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.sum(row_hash.cast("bigint")).alias("digest"))
+    """S3 for tables: n_rows and an order-insensitive ``digest``: the sum over the rows of 60 bits of the md5 of the row's
+    text (every column as its length, ``:`` and text, ``-`` for null; doubles by their bits), as a decimal string. One
+    partially aggregated pass; digests of parts of a table add up to the table's."""
+    from ..operators.quantiles import order_bits
+    text = lambda c, kind: (order_bits(F.col(f"`{c}`").cast("double")) if kind in ("double", "float") else F.col(f"`{c}`")).cast("string")
+    parts = [F.coalesce(F.concat(F.length(text(c, k)).cast("string"), F.lit(":"), text(c, k)), F.lit("-")) for c, k in df.dtypes]
+    row_hash = F.conv(F.substring(F.md5(F.concat(*parts)), 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(row_hash), F.lit(0)).cast("string").alias("digest"))
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = S.SEED, key: str = "customer_id") -> DataFrame:
