@@ -32,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import components, partition_sum, runs, stored, table
+from .skew import left_join
 from .op1_jaccard import Sets
 
 COSINE, BLOCK, LEAF, FAN, AXES = 0.9, 4096, 256, 16, 8
@@ -209,15 +210,18 @@ def links(blocks: DataFrame, pairs: DataFrame, dim: int, mean: np.ndarray, q: np
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """vec_id, n_links, component_id, kept for every row of ``vectors`` (vec_id, embedding)."""
+    """vec_id, n_links, component_id, kept for every row of ``vectors`` (vec_id, embedding). Links are between vectors:
+    rows that share a vec_id but not the vector have their own."""
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
-    own = rows.where(F.col("id").isNotNull() & fine()).select("id", "v", F.xxhash64("v").alias("k1"), F.xxhash64(F.reverse("v"), F.size("v")).alias("k2"))
-    group = stored(own.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.any_value("v").alias("v")), "ego-distinct")
-    equal = stored(own.select("id", "k1", "k2").join(group.select("k1", "k2", "rep", "n"), ["k1", "k2"]).select("id", "rep", "n"), "ego-equal")
+    key = F.concat_ws(":", F.hex(F.xxhash64("v")), F.hex(F.xxhash64(F.reverse("v"), F.size("v")))).alias("k")
+    own = rows.where(F.col("id").isNotNull() & fine()).select("id", "v", key)
+    group = own.groupBy("k").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.any_value("v").alias("v"))
+    group = stored(group.withColumn("node", F.monotonically_increasing_id()), "ego-distinct")
+    member = stored(own.select("id", "k"), "ego-members")
     eps, found = math.sqrt(2 - 2 * cosine), None
     for (dim,) in group.select(F.size("v")).distinct().collect():
-        same = group.where(F.size("v") == dim).select(F.col("rep").alias("id"), "n", "v")
+        same = group.where(F.size("v") == dim).select(F.col("node").alias("id"), "n", "v")
         mean, q = axes(same, dim)
         blocks = blocks_of(in_order(same, dim, mean, q, eps), dim, q.shape[1])
         pairs = stored(near_pairs(blocks, q.shape[1], eps), "ego-pairs")
@@ -227,13 +231,15 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         found = spark.createDataFrame([], "id long, other long, n long")
     found = stored(found, "ego-links")
     edges = found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b"))
-    edges = edges.union(equal.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")))
-    component = components(edges, "ego")
-    linked = found.where("other is null").groupBy(F.col("id").alias("rep")).agg(F.sum("n").alias("linked"))
-    by_row = equal.join(linked, "rep", "left").select(F.col("id").alias("vec_id"), (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
-    odd = rows.where(F.col("id").isNull() | ~fine()).select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"))
-    out = by_row.union(odd).join(component.withColumnRenamed("id", "vec_id"), "vec_id", "left")
-    out = out.select("vec_id", "n_links", F.coalesce("component", "vec_id").alias("component_id"))
+    component = group.select("node", "rep").join(components(edges, "ego").withColumnRenamed("id", "node"), "node")
+    first = component.groupBy("component").agg(F.min("rep").alias("component_id"))
+    component = component.join(first, "component").select("node", "component_id")
+    linked = found.where("other is null").groupBy(F.col("id").alias("node")).agg(F.sum("n").alias("linked"))
+    facts = (group.join(linked, "node", "left").join(component, "node", "left")
+             .select("k", (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id")))
+    by_row = left_join(member, stored(facts, "ego-facts"), "k").select(F.col("id").alias("vec_id"), "n_links", "component_id")
+    odd = rows.where(F.col("id").isNull() | ~fine()).select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    out = by_row.union(odd)
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 

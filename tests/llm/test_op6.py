@@ -12,12 +12,12 @@ def brute(rows, cosine):
     for k, (i, v) in enumerate(rows):
         if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v):
             good[k] = np.array(v, np.float32).astype(np.float64)
-    up = {i: i for i, _ in rows if i is not None}
+    up = list(range(len(rows)))
 
-    def root(i):
-        while up[i] != i:
-            i = up[i]
-        return i
+    def root(k):
+        while up[k] != k:
+            k = up[k]
+        return k
     links = dict.fromkeys(range(len(rows)), 0)
     for a in good:
         for b in good:
@@ -26,9 +26,13 @@ def brute(rows, cosine):
                 if np.dot(x, y) / (np.sqrt(np.dot(x, x)) * np.sqrt(np.dot(y, y))) >= cosine:
                     links[a] += 1
                     links[b] += 1
-                    p, q = root(rows[a][0]), root(rows[b][0])
+                    p, q = root(a), root(b)
                     up[max(p, q)] = min(p, q)
-    return sorted(((i, links[k], root(i) if i is not None else None, i is None or root(i) == i) for k, (i, _) in enumerate(rows)), key=str)
+    first = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            first[root(k)] = min(i, first.get(root(k), i))
+    return sorted(((i, links[k], first[root(k)] if i is not None else None, i is None or first[root(k)] == i) for k, (i, _) in enumerate(rows)), key=str)
 
 
 @pytest.mark.parametrize("block,leaf,dim", [(4096, 256, 16), (16, 4, 16), (10, 3, 2), (7, 64, 1)])
@@ -41,11 +45,19 @@ def test_equals_all_pairs(spark, monkeypatch, block, leaf, dim):
     rows = [(1000 - k, (centres[k % 25] * rnd.uniform(.1, 9) + rnd.normal(size=dim) * rnd.choice([.02, .15, .4])).astype(np.float32).tolist()) for k in range(150)]
     rows += [(2000 + k, rows[3][1]) for k in range(5)] + [(3000, None), (3001, []), (3002, [0.0] * dim), (3003, [None] + [1.0] * (dim - 1)), (3004, [float("nan")] * dim),
              (3005, [float("inf")] * dim), (None, rows[0][1]), (3006, [1.0] * (dim + 1)), (3007, [2.0] * (dim + 1)), (3008, [1e-30] * dim), (3009, [1e30] * dim)]
+    rows += [(1000, rows[7][1]), (1000, rows[40][1]), (1000, rows[40][1]), (990, [-x for x in rows[3][1]])]  # ids that repeat with other vectors
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rep", F.lit("x")).withColumn("label", F.lit(None).cast("int"))
     got = sorted((tuple(r) for r in E.near_duplicates(df).select("vec_id", "n_links", "component_id", "kept").collect()), key=str)
     assert got == brute(rows, 0.9)
 
 
+def test_rows_that_share_an_id_have_their_own_links(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [1.0, 0.01, 0.0]), (3, [0.0, 1.0, 0.01]), (4, [0.0, 1.0, 0.02])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in E.near_duplicates(df).collect())
+    assert got == [(1, 1, 1), (1, 2, 1), (2, 1, 1), (3, 2, 1), (4, 2, 1)]
+
+
 def test_distant_blocks_are_skipped(spark):
     boxes = spark.createDataFrame([(i, float(i), float(i) + .5) for i in range(200)], "block long, lo0 double, hi0 double")
     pairs = {(r.a, r.b) for r in E.near_pairs(boxes, 1, 0.6).collect()}
