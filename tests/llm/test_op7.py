@@ -67,3 +67,32 @@ def test_odd_rows(spark):
     got = {r.doc_id: r for r in L.scan(docs).collect()}
     assert L.scan(docs).count() == 6 and got[1].n_words == 0 and got[2].score == 0 and got[4].n_base == 50_000 and got[4].last_word == 99_998
     assert L.scan(docs.where("false")).count() == 0
+
+
+def test_time_grows_with_the_text():
+    import time
+    base, near = b"cc by " * 1_000_000, b"under the mti license of " * 40_000
+
+    def took(text):
+        start = time.process_time()
+        out = L.scan_text(text)
+        return time.process_time() - start, out
+
+    t, out = took(base)
+    assert out[1] == 1_000_000 and out[3] == 1_999_998 and t < 60
+    t, out = took(near)
+    assert len(out[6]) == 40_000 and out[6][-1]["first_word"] == 5 * 39_999 and t < 60
+
+
+def test_notices_from_a_table(spark):
+    import pytest
+    table = spark.createDataFrame([("Do as you please, public licence", "wtf", 3), ("all rights reserved", "mine", 1), (None, "x", 1)], "notice string, label string, edits int")
+    docs = spark.createDataFrame([(1, "Do az you pleas public licence"), (2, "All Rights Reserverd"), (3, "under the mit license"), (4, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in L.scan(docs, notices=table).collect()}
+    assert got[1].labels == ["wtf"] and got[1].matches[0].edits == 2 and got[2].labels == ["mine"] and got[3].labels == [] == got[4].labels
+    many = L.read_notices(spark.range(3000).selectExpr("concat('permission number ', id, ' is granted to all') AS notice", "concat('l', id) AS label", "2 AS edits"))
+    assert {x[0] for x in L.fuzzy(b"so permissoin number 1234 is granted to all here", many)} >= {"l1234"}
+    with pytest.raises(ValueError):
+        L.read_notices(table, most=1)
+    with pytest.raises(ValueError):
+        L.Notices([("ab", "x", 5)])
