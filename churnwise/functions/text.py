@@ -17,9 +17,11 @@ ALLOWED_CHANNELS = ["e-mail", "whatsapp", "push", "ligacao", "sms"]
 MAX_CHANNELS = 2
 MAX_DISCOUNT_PCT = 20
 
-# A percentage written with 1-3 digits, read as the leftmost-longest match a
-# JavaScript /(\d{1,3})\s?%/g scan would take, restricted to values above 20.
-CAP_PATTERN = r"(0?(2[1-9]|[3-9][0-9])|[1-9][0-9]{2})\s?%"
+# What a blank is in the reference's patterns (the no-break and the wide ones too).
+BLANK = r"[\x09-\x0D \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
+# A percentage written with 1-3 digits, read as the leftmost-longest match that a
+# scan for 1-3 digits, a blank or none and the sign takes, restricted to values above 20.
+CAP_PATTERN = rf"(0?(2[1-9]|[3-9][0-9])|[1-9][0-9]{{2}}){BLANK}?%"
 
 
 def cap_discount(text: Column | str) -> Column:
@@ -71,10 +73,11 @@ def fmt_compact(v: Column | str) -> Column:
 
 
 def driver_lines(drivers: Column | str, labels: dict[str, str], k: int = 5) -> Column:
-    """top-k drivers as text lines."""
+    """top-k drivers as text lines; whole values without decimals."""
+    number = lambda v: F.when(v == F.floor(v), v.cast("bigint").cast("string")).otherwise(v.cast("string"))
     lab = F.create_map(*[x for a, b in labels.items() for x in (F.lit(a), F.lit(b))])
     lines = F.transform(F.slice(col(drivers), 1, k), lambda d: F.concat(
-        F.lit("- "), F.coalesce(lab[d.feature], d.feature), F.lit(" = "), d.value.cast("string"),
+        F.lit("- "), F.coalesce(lab[d.feature], d.feature), F.lit(" = "), number(d.value),
         F.lit(" (SHAP "), F.format_string("%.3f", fixed(d.shap_value, 3)), F.lit(", "),
         F.when(d.direction == "up", "aumenta o risco").otherwise("reduz o risco"), F.lit(", "),
         F.when(d.actionable, "acionável").otherwise("não-acionável"), F.lit(")")))

@@ -121,27 +121,24 @@ def confusion_grid(hist: DataFrame, kind: str = "roi", steps: int = 101, by: lis
                    retention_cost: float = S.RETENTION_COST, churn_loss: float = S.CHURN_LOSS,
                    save_rate: float = S.SAVE_RATE) -> DataFrame:
     """M14 / Q7 for every cut of a grid: positive when p >= cut.
-    Each histogram row falls in the bin of the highest cut it reaches; the
-    grid is exploded from a literal array next to the per-group totals and
-    equi-joined to the bin counts on the index; suffix sums over the index
-    give tp(i) = positives in bins >= i. No cross product, and every table
-    here is bounded by the grid size, not the member count."""
+    Each histogram row falls in the bin of the highest cut it reaches; a
+    group's bins (no more than cuts) are gathered in one array, and every cut
+    adds up the bins on its either side. The histogram is made once, nothing is
+    joined, and every table here is bounded by the grid size, not the member
+    count."""
     by = by or []
     p = F.col("p5").cast("double") / F.lit(SCALE)
     bins = hist.groupBy(*by, _grid_index(p, kind, steps).alias("i")).agg(
         F.sum("n_pos").alias("_np"), F.sum("n_neg").alias("_nn"))
-    tot = bins.groupBy(*by).agg(F.coalesce(F.sum("_np"), F.lit(0)).alias("P"),
-                                F.coalesce(F.sum("_nn"), F.lit(0)).alias("N"))
-    cuts = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("cutoff"))
-                     for i, c in enumerate(grid_cuts(kind, steps))])
-    scaffold = tot.select(*by, "P", "N", F.explode(cuts).alias("g")).select(*by, "P", "N", "g.i", "g.cutoff")
-    j = scaffold.join(bins, [*by, "i"], "left")
-    w = Window.partitionBy(*by).orderBy(F.col("i").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    g = j.select(*by, "i", "cutoff", "P", "N", F.sum(F.coalesce("_np", F.lit(0))).over(w).alias("tp"),
-                 F.sum(F.coalesce("_nn", F.lit(0))).over(w).alias("fp"))
-    g = g.select(*by, "i", "cutoff", "tp", "fp", (F.col("P") - F.col("tp")).alias("fn"),
-                 (F.col("N") - F.col("fp")).alias("tn"))
-    return confusion_columns(g, retention_cost, churn_loss, save_rate)
+    one = bins.groupBy(*by).agg(F.collect_list(F.struct("i", F.col("_np").alias("np"), F.col("_nn").alias("nn"))).alias("_bins"))
+    zero = F.lit(0).cast("long")
+    total = lambda of, keep: F.aggregate(F.filter("_bins", keep), zero, lambda acc, x: acc + F.coalesce(x[of], zero))
+    cuts = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("cutoff")) for i, c in enumerate(grid_cuts(kind, steps))])
+    rows = one.select(*by, F.explode(F.transform(cuts, lambda c: F.struct(
+        c["i"].alias("i"), c["cutoff"].alias("cutoff"), total("np", lambda x: x["i"] >= c["i"]).alias("tp"),
+        total("nn", lambda x: x["i"] >= c["i"]).alias("fp"), total("np", lambda x: x["i"] < c["i"]).alias("fn"),
+        total("nn", lambda x: x["i"] < c["i"]).alias("tn")))).alias("g")).select(*by, "g.*")
+    return confusion_columns(rows, retention_cost, churn_loss, save_rate)
 
 
 def confusion_at(hist: DataFrame, cutoff: float, by: list[str] | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions.core import fixed
-from ...functions.text import CAP_PATTERN
+from ...functions.text import driver_lines
 from ...operators import decide, eda
 from ...operators.scorecard import SCORECARD_FEATURES, SHORT, rule_scorecard, top_drivers, waterfall_rows
 from ...sources.members import member_snapshot, read_table
@@ -95,7 +95,23 @@ def q_archetype_model(spark, sf_dir):
     return a.select("customer_id", F.array_join("dominant_drivers", ",").alias("dominant_drivers"), "archetype_model")
 
 
-@register("d4_rationale", None)
+_D4_SQL = f"""
+SELECT a.customer_id, a.archetype_model, CASE a.archetype_model
+  WHEN 'sleeping_dog' THEN 'Lifetime=' || CAST(s.Lifetime AS VARCHAR) || ' (>6) e freq_atual=' || CAST(s.Avg_class_frequency_current_month AS VARCHAR)
+    || ' (<0,5): cliente antigo hoje inativo — não acordar.'
+  WHEN 'early_dropper' THEN 'Lifetime=' || CAST(s.Lifetime AS VARCHAR) || ' (<=1) e freq_atual=' || CAST(s.Avg_class_frequency_current_month AS VARCHAR)
+    || ' (<1): risco de desistência inicial.'
+  WHEN 'desengajado_conteudo' THEN 'Drivers de engajamento dominantes (' || CASE WHEN len(e.eng) > 0 THEN '[' || chr(39) || array_to_string(e.eng, chr(39) || ', ' || chr(39)) || chr(39) || ']' ELSE 'queda de freq' END
+    || '); freq caiu de ' || CAST({fx('s.Avg_class_frequency_total', 2)} AS VARCHAR) || ' para ' || CAST({fx('s.Avg_class_frequency_current_month', 2)} AS VARCHAR) || '.'
+  WHEN 'preco_sensivel' THEN 'Contrato curto (Contract_period=' || CAST(s.Contract_period AS VARCHAR) || ') e/ou gasto adicional relevante; indicação='
+    || CAST(s.Promo_friends AS VARCHAR) || '.'
+  ELSE 'Cliente ativo com contrato ok e risco residual sem driver de engajamento — provável atração externa/concorrência.' END AS rationale
+FROM ({_D1_SQL}) a JOIN scored s ON s.customer_id = a.customer_id
+JOIN (SELECT customer_id, list_filter(string_split(dominant_drivers, ','), lambda x: x IN ('delta_freq', 'ratio_freq_atual_vs_lifetime', 'Avg_class_frequency_current_month')) AS eng
+      FROM ({_D1_SQL})) e ON e.customer_id = a.customer_id"""
+
+
+@register("d4_rationale", _with_ranked(_D4_SQL))
 def q_rationale(spark, sf_dir):
     _, s = _scored_full(spark, sf_dir)
     return decide.rationale(decide.archetype_model(s)).select("customer_id", "archetype_model", "rationale")
@@ -159,16 +175,55 @@ def q_recommend(spark, sf_dir):
                     F.array_join("channel", ", ").alias("channels"), "copy", "timing")
 
 
+_PCT_SQL = "(0?(2[1-9]|[3-9][0-9])|[1-9][0-9]{2})[\\x09-\\x0D \\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{FEFF}]?%"
+
+
 @register("d6_sanitize_documents", f"""
-SELECT doc_id, regexp_replace(text, '{CAP_PATTERN}', '20%', 'g') AS offer,
-       length(regexp_replace(text, '{CAP_PATTERN}', '20%', 'g')) - length(text) AS delta_chars FROM documents""")
+SELECT doc_id, regexp_replace(text, '{_PCT_SQL}', '20%', 'g') AS offer, length(regexp_replace(text, '{_PCT_SQL}', '20%', 'g')) - length(text) AS delta_chars,
+  regexp_replace('Desconto de ' || CAST(n_chars % 130 AS VARCHAR) || chr(160) || '% e ' || CAST(n_chars % 7 AS VARCHAR) || '%', '{_PCT_SQL}', '20%', 'g') AS copy,
+  CASE WHEN lang = 'en' THEN 'sms, push' WHEN lang = 'fr' THEN 'e-mail' WHEN lang = 'de' THEN 'whatsapp business' ELSE 'ligacao' END AS channels
+FROM documents""")
 def q_sanitize_documents(spark, sf_dir):
-    """D6 / F13 over whole external texts: discount cap on every document."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("offer"),
-                                                      F.array().cast("array<string>").alias("channel"),
-                                                      F.lit("").alias("copy"), F.length("text").alias("_n"))
+    """A recommendation made from every document: its whole text as the offer, a copy with two discounts (one behind a
+    no-break space) and channels by its language, among them unknown and too many."""
+    name = lambda *c: F.array(*[F.lit(x) for x in c])
+    lang = F.col("lang")
+    d = read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("text").alias("offer"), F.length("text").alias("_n"),
+        F.concat(F.lit("Desconto de "), (F.col("n_chars") % 130).cast("string"), F.lit("\u00a0% e "), (F.col("n_chars") % 7).cast("string"), F.lit("%")).alias("copy"),
+        F.when(lang == "en", name(" SMS", "fax", "Push", "e-mail")).when(lang == "fr", name("fax")).when(lang == "de", name("WhatsApp Business "))
+        .otherwise(name("Ligacao")).alias("channel"))
     s = decide.sanitize_recommendation(d)
-    return s.select("doc_id", "offer", (F.length("offer") - F.col("_n")).alias("delta_chars"))
+    return s.select("doc_id", "offer", (F.length("offer") - F.col("_n")).alias("delta_chars"), "copy", F.array_join("channel", ", ").alias("channels"))
+
+
+# The labels are written out, not imported.
+_LINES_SQL = """
+SELECT customer_id, string_agg('- ' || label || ' = ' || value || ' (SHAP ' || printf('%.3f', shap3) || ', ' || dir || ', ' || act || ')', chr(10) ORDER BY step) AS lines FROM (
+  SELECT r.customer_id, r.step, l.label, FLOOR(r.shap * 1000.0 + 0.5) / 1000.0 AS shap3, CASE WHEN r.raw >= 0 THEN 'aumenta o risco' ELSE 'reduz o risco' END AS dir,
+    CASE WHEN l.act THEN 'acionável' ELSE 'não-acionável' END AS act,
+    CASE WHEN r.v = FLOOR(r.v) THEN CAST(CAST(r.v AS BIGINT) AS VARCHAR) ELSE CAST(r.v AS VARCHAR) END AS value
+  FROM driven r JOIN (VALUES {labels}) l(feature, label, act) ON l.feature = r.feature WHERE r.step <= 5) GROUP BY customer_id"""
+
+
+def _lines_sql():
+    from ...operators.scorecard import RATIO_WEIGHT, REFERENCE_MEMBER, SCORECARD_WEIGHTS
+    rows = SCORECARD_WEIGHTS + [("ratio_freq_atual_vs_lifetime", RATIO_WEIGHT, True)]
+    labels = ", ".join(f"('{f}', '{decide.FEATURE_LABELS[f]}', {str(bool(act)).upper()})" for f, _, act in rows)
+    value = lambda f: "ratio3" if f == "ratio_freq_atual_vs_lifetime" else fx(f"CAST({f} AS DOUBLE)", 2)
+    base = lambda f: 0.95 if f == "ratio_freq_atual_vs_lifetime" else float(REFERENCE_MEMBER[f])
+    raw = lambda f, w: f"{w!r} * (CAST({'ratio3' if f == 'ratio_freq_atual_vs_lifetime' else f} AS DOUBLE) - {base(f)!r})"
+    driven = "driven AS (" + " UNION ALL ".join(
+        f"SELECT r.customer_id, r.step, r.feature, r.shap, {value(f)} AS v, {raw(f, w)} AS raw FROM ranked r JOIN scored s ON s.customer_id = r.customer_id WHERE r.feature = '{f}'"
+        for f, w, _ in rows) + ")"
+    return with_members(f"SELECT * FROM (WITH {CONTRIB_SQL}, {RANKED_SQL}, {driven} {_LINES_SQL.replace('{labels}', labels)})", scored=True)
+
+
+@register("f18_driver_lines", _lines_sql())
+def q_driver_lines(spark, sf_dir):
+    """The five strongest drivers of every member as text lines."""
+    _, s = _scored_full(spark, sf_dir)
+    return s.select("customer_id", driver_lines("top_drivers", decide.FEATURE_LABELS).alias("lines"))
 
 
 @register("d7_intervention_status", with_members(

@@ -91,6 +91,20 @@ def q_score_history(spark, sf_dir):
     return _hist_out(store.read_all(spark, path))
 
 
+@register("s8_write_scores", with_members(
+    "SELECT customer_id, CAST(churn_probability AS DOUBLE) AS churn_probability, risk_tier, archetype, archetype <> 'sleeping_dog' AS proactive_allowed, "
+    "CAST(0.5 AS DOUBLE) AS threshold, 'scorecard-1' AS model_version, TIMESTAMP '2001-01-02 03:04:05' AS created_at FROM scored", scored=True))
+def q_write_scores(spark, sf_dir):
+    """One scoring of every member written as score rows of its model version and read back."""
+    _, s = _base(spark, sf_dir)
+    path = scratch_path(spark, f"store/{_tag(sf_dir)}/scored")
+    at = F.lit("2001-01-02 03:04:05").cast("timestamp_ntz")
+    store.write_table(store.score_rows(s, "scorecard-1", at, 0.5), path, mode="overwrite", partition_by=["model_version"])
+    d = store.read_all(spark, path)
+    return d.select("customer_id", F.col("churn_probability").cast("double"), "risk_tier", "archetype", "proactive_allowed",
+                    F.col("threshold").cast("double"), "model_version", "created_at")
+
+
 @register("w2_latest_score", _hist_sql(f"SELECT {_HIST_COLS} FROM latest"))
 def q_latest_score(spark, sf_dir):
     return _hist_out(store.latest_per_key(_history(spark, sf_dir)))
@@ -120,9 +134,11 @@ FROM members m LEFT JOIN latest l ON l.customer_id = m.customer_id LEFT JOIN sco
 
 
 def _listed(spark, sf_dir):
-    m, s = _base(spark, sf_dir)
+    m = member_snapshot(spark, sf_dir)
+    s = linear_scorecard(m, keep=m.columns, with_drivers=False)
     latest = store.latest_per_key(score_history(s))
-    return store.customers_with_latest_score(store.customer_rows(m), latest, s)
+    customers = store.customer_rows(s, keep=("churn_probability", "risk_tier", "archetype"))
+    return store.customers_with_latest_score(customers, latest)
 
 
 @register("j1_j2_u3_customers_with_latest_score", _hist_sql(_J2_SQL))

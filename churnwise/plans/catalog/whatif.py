@@ -30,13 +30,6 @@ def _scored(spark, sf_dir):
     return linear_scorecard(m, keep=m.columns, with_drivers=False).select(*m.columns, "churn_probability", "risk_tier", "archetype", "p5")
 
 
-def _written(df, name):
-    """``df`` as a table in the shared folder, for plans that read it several times."""
-    path = scratch_path(df.sparkSession, f"{name}/{uuid.uuid4().hex[:10]}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _grid_values(compat=False):
     return ", ".join(f"({li}, CAST({v!r} AS DOUBLE), {i})" for li, v, i in whatif.lever_grid(compat))
 
@@ -174,16 +167,19 @@ def q_contrasting_pair(spark, sf_dir):
 def representative_picks(s):
     """Two highest risks (ties by id), the first sleeping dog by id, the
     lowest-risk 'baixo' member (ties: the larger id); U1 keeps the first
-    occurrence of each member. Every pick is a bounded top-k / min_by."""
-    top2 = (s.orderBy(F.col("p5").desc(), "customer_id").limit(2)
-            .withColumn("prio", F.row_number().over(Window.orderBy(F.col("p5").desc(), "customer_id"))))
-    dog = (s.filter(F.col("archetype") == "sleeping_dog").agg(F.min("customer_id").alias("customer_id"))
-           .filter(F.col("customer_id").isNotNull()).withColumn("prio", F.lit(3)))
-    low = (s.filter(F.col("risk_tier") == "baixo")
-           .agg(F.min_by("customer_id", F.struct(F.col("p5"), -F.col("customer_id"))).alias("customer_id"))
-           .filter(F.col("customer_id").isNotNull()).withColumn("prio", F.lit(4)))
-    picks = top2.select("customer_id", F.col("prio").cast("int")).unionByName(dog).unionByName(low)
-    return picks.groupBy("customer_id").agg(F.min("prio").alias("prio"))
+    occurrence of each member. Whole rows with ``prio``: the highest two are a
+    bounded top-k, the other two one aggregation, so nothing is written or
+    joined back."""
+    row = F.struct(*s.columns)
+    top2 = s.orderBy(F.col("p5").desc(), "customer_id").limit(2).select(
+        F.row_number().over(Window.orderBy(F.col("p5").desc(), "customer_id")).alias("prio"), row.alias("row"))
+    dog, low = F.col("archetype") == "sleeping_dog", F.col("risk_tier") == "baixo"
+    others = s.agg(F.min_by(row, F.when(dog, F.col("customer_id"))).alias("dog"),
+                   F.min_by(row, F.when(low, F.struct(F.col("p5"), -F.col("customer_id")))).alias("low"))
+    others = others.select(F.explode(F.array(F.struct(F.lit(3).alias("prio"), F.col("dog").alias("row")),
+                                             F.struct(F.lit(4).alias("prio"), F.col("low").alias("row")))).alias("x")).select("x.*").where("row IS NOT NULL")
+    picks = top2.unionByName(others)
+    return picks.groupBy(F.col("row.customer_id").alias("_id")).agg(F.min("prio").alias("prio"), F.min_by("row", "prio").alias("row")).select("prio", "row.*")
 
 
 @register("q6_uplift_panel", with_members(f"""
@@ -206,10 +202,7 @@ FROM picks p JOIN scored s ON s.customer_id = p.customer_id JOIN lev l ON l.cust
 JOIN (VALUES {", ".join(f"('{k}', '{v}')" for k, v in decide.ARCHETYPE_LABELS.items())}) a(k, label) ON a.k = s.archetype)""",
                                      scored=True))
 def q_uplift_panel(spark, sf_dir):
-    s = _written(_scored(spark, sf_dir), "uplift")
-    picks = _written(representative_picks(s), "picks")  # four rows at most
-    u = whatif.uplift_proxy(whatif.cheapest_lever(s.join(F.broadcast(picks), "customer_id", "left_semi")))
-    j = u.join(F.broadcast(picks), "customer_id")
+    j = whatif.uplift_proxy(whatif.cheapest_lever(representative_picks(_scored(spark, sf_dir))))  # four rows at most
     return j.select("prio", F.format_string("VZ%04d", F.col("customer_id")).alias("ref"),
                     F.col("churn_probability").alias("real_prob"), F.col("risk_tier").alias("tier"),
                     decide.lookup(decide.ARCHETYPE_LABELS, F.col("archetype")).alias("archetype"),
@@ -229,7 +222,22 @@ def q_assign_experiment(spark, sf_dir):
     return a.groupBy("arm").agg(F.count(F.lit(1)).alias("members"), F.sum("Churn").cast("bigint").alias("churned"))
 
 
-@register("q14_uplift_eval", None)
+_Q14_SQL = with_members(f"""
+SELECT * FROM (WITH {_cand_sql()},
+ u AS (SELECT l.customer_id, m.Churn AS y, CAST(FLOOR((CASE WHEN lever_feature IS NOT NULL THEN GREATEST(0.0, real - projected) ELSE 0.0 END) * 100000.0 + 0.5) AS BIGINT) AS s,
+         CASE WHEN m.Lifetime > 6 AND m.Avg_class_frequency_current_month < 0.5 THEN NULL
+              WHEN CAST(('0x' || SUBSTRING(md5(CAST(l.customer_id AS VARCHAR) || 'uplift-ab'), 1, 8)) AS BIGINT) % 2 = 0 THEN 't' ELSE 'c' END AS arm
+       FROM lev l JOIN members m ON m.customer_id = l.customer_id),
+ h AS (SELECT s, COUNT(*) FILTER (WHERE arm = 't') AS nt, COUNT(*) FILTER (WHERE arm = 'c') AS nc, SUM(y) FILTER (WHERE arm = 't') AS yt,
+         SUM(y) FILTER (WHERE arm = 'c') AS yc FROM u WHERE arm IS NOT NULL GROUP BY s),
+ c AS (SELECT *, SUM(nt + nc) OVER (ORDER BY s DESC) AS cum_n, SUM(nt + nc) OVER () AS n FROM h),
+ g AS (SELECT CAST(LEAST(10, CEIL(CAST(cum_n AS DOUBLE) * 10.0 / n)) AS INTEGER) AS decile, SUM(nt) AS nt, SUM(nc) AS nc, SUM(yt) AS yt, SUM(yc) AS yc FROM c GROUP BY 1)
+SELECT decile, CAST(nt AS BIGINT) AS nt, CAST(nc AS BIGINT) AS nc, CASE WHEN nc > 0 THEN yc / nc END - CASE WHEN nt > 0 THEN yt / nt END AS uplift,
+  COALESCE(SUM(yc) OVER w / SUM(nc) OVER w, 0.0) * SUM(nt) OVER w - COALESCE(SUM(yt) OVER w, 0) AS qini
+FROM g WINDOW w AS (ORDER BY decile ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""", scored=True)
+
+
+@register("q14_uplift_eval", _Q14_SQL)
 def q_uplift_eval(spark, sf_dir):
     """Per uplift-proxy decile: observed churn difference between arms and
     cumulative Qini (needs a real experiment to mean anything; on the fixture
@@ -244,14 +252,12 @@ def q_narrate(spark, sf_dir):
     """The cheapest lever of every member applied as an
     override, re-scored, and narrated with the simulated top driver."""
     from ...operators.scorecard import linear_scorecard
-    s = _scored(spark, sf_dir)
-    lev = whatif.cheapest_lever(s)
+    lev = whatif.cheapest_lever(_scored(spark, sf_dir))
     feat = F.col("lever_feature")
     over = {f: F.when(feat == f, F.col("to_value")).otherwise(F.col(f).cast("double"))
             for f in ("Avg_class_frequency_current_month", "Group_visits", "Contract_period", "Month_to_end_contract")}
-    sim = linear_scorecard(lev.withColumns(over), keep=["customer_id"], top_k=1).select(
-        "customer_id", F.col("top_drivers")[0]["feature"].alias("_tf"),
-        (F.col("top_drivers")[0]["shap_value"] >= 0).alias("_up"))
-    j = lev.join(sim, "customer_id")
+    told = ["customer_id", "lever_feature", "lever_label", "to_value", "projected", "_real"]
+    j = linear_scorecard(lev.withColumns(over), keep=told, top_k=1).withColumns({
+        "_tf": F.col("top_drivers")[0]["feature"], "_up": F.col("top_drivers")[0]["shap_value"] >= 0})
     n = whatif.narrate_change(j, decide.lookup(decide.FEATURE_LABELS, F.col("_tf"), ""), F.col("_up"))
     return n.select("customer_id", "lever_feature", "to_value", "narration")

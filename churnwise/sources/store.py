@@ -24,21 +24,21 @@ def external_ref(key: Column | str = "customer_id") -> Column:
     return F.format_string("VZ%04d", F.col(key) if isinstance(key, str) else key)
 
 
-def customer_rows(members: DataFrame) -> DataFrame:
-    """Id, external_ref, features as JSON, label kept for audit."""
+def customer_rows(members: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Id, external_ref, features as JSON, label kept for audit, and ``keep``."""
     feats = F.to_json(F.struct(*[F.col(c) for c in S.RAW_FEATURES]))
     return members.select(F.col("customer_id").alias("id"), external_ref().alias("external_ref"),
                           feats.alias("features"), F.col("Churn").cast("tinyint").alias("true_churn"),
-                          F.lit(SNAPSHOT_TS).cast("timestamp_ntz").alias("created_at"))
+                          F.lit(SNAPSHOT_TS).cast("timestamp_ntz").alias("created_at"), *keep)
 
 
-def score_rows(scored: DataFrame, model_version: str, threshold: float = S.DEFAULT_THRESHOLD) -> DataFrame:
-    """Score rows; probability and threshold as DECIMAL(6,5)."""
+def score_rows(scored: DataFrame, model_version: str, at: Column, threshold: float = S.DEFAULT_THRESHOLD) -> DataFrame:
+    """Score rows of the scoring at the time ``at``; probability and threshold as DECIMAL(6,5)."""
     return scored.select(
         F.col("customer_id"), fixed("churn_probability", 5).cast("decimal(6,5)").alias("churn_probability"),
         "risk_tier", "archetype", (F.col("archetype") != "sleeping_dog").alias("proactive_allowed"),
         F.lit(threshold).cast("decimal(6,5)").alias("threshold"), F.lit(model_version).alias("model_version"),
-        F.current_timestamp().alias("created_at"))
+        at.alias("created_at"))
 
 
 def write_audit(audit: DataFrame, path: str) -> str | None:
@@ -79,23 +79,24 @@ def latest_per_key(df: DataFrame, key: str = "customer_id", order: list[str] = (
             .select(key, "_r.*"))
 
 
-def customers_with_latest_score(customers: DataFrame, latest: DataFrame, fallback: DataFrame) -> DataFrame:
+def customers_with_latest_score(customers: DataFrame, latest: DataFrame) -> DataFrame:
     """Every customer with its newest persisted score, else the
-    scorecard fallback; ``source`` says which. Listing drivers always come
-    from the scorecard (``driver_source``), as in the reference."""
-    j = customers.join(latest.withColumnRenamed("id", "score_id"), customers.id == latest.customer_id, "left") \
-        .drop(latest.customer_id)
-    f = fallback.select(F.col("customer_id").alias("_fid"), F.col("churn_probability").alias("_fp"),
-                        F.col("risk_tier").alias("_ft"), F.col("archetype").alias("_fa"))
-    j = j.join(f, j.id == f._fid, "left")
+    scorecard's; ``source`` says which. ``customers`` are the customer rows (S7)
+    with the scorecard's churn_probability, risk_tier and archetype beside
+    them, so the fallback needs no join. Listing drivers always come from the
+    scorecard (``driver_source``), as in the reference."""
+    l = latest.select(F.col("id").alias("score_id"), F.col("customer_id").alias("_lid"), dbl("churn_probability").alias("_lp"),
+                      F.col("risk_tier").alias("_lt"), F.col("archetype").alias("_la"), F.col("proactive_allowed").alias("_lo"),
+                      F.col("model_version").alias("_lv"))
+    j = customers.join(l, customers.id == l._lid, "left")
     has = F.col("score_id").isNotNull()
     return j.select(
         "id", "external_ref", "true_churn", "score_id",
-        F.when(has, dbl("churn_probability")).otherwise(F.col("_fp")).alias("churn_probability"),
-        F.when(has, F.col("risk_tier")).otherwise(F.col("_ft")).alias("risk_tier"),
-        F.when(has, F.col("archetype")).otherwise(F.col("_fa")).alias("archetype"),
-        F.when(has, F.col("proactive_allowed")).otherwise(F.col("_fa") != "sleeping_dog").alias("proactive_allowed"),
-        F.when(has, F.col("model_version")).otherwise(F.lit(S.HEURISTIC_VERSION)).alias("model_version"),
+        F.when(has, F.col("_lp")).otherwise(F.col("churn_probability")).alias("churn_probability"),
+        F.when(has, F.col("_lt")).otherwise(F.col("risk_tier")).alias("risk_tier"),
+        F.when(has, F.col("_la")).otherwise(F.col("archetype")).alias("archetype"),
+        F.when(has, F.col("_lo")).otherwise(F.col("archetype") != "sleeping_dog").alias("proactive_allowed"),
+        F.when(has, F.col("_lv")).otherwise(F.lit(S.HEURISTIC_VERSION)).alias("model_version"),
         F.when(has, "model").otherwise("heuristic").alias("source"),
         F.lit("heuristic").alias("driver_source"))
 
