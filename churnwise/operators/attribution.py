@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.core import direction
+from ..functions.core import direction, fixed
 from ..session import scratch_path
 
 
@@ -196,13 +196,13 @@ def driver_array(attr: DataFrame, raw: DataFrame, feature_order: list[str], key:
     """One struct per feature (value rounded to 5, raw value to 4,
     actionable flag, risk direction), sorted by |value| descending."""
     j = attr.join(raw, key, "inner")
-    structs = [F.struct(F.lit(f).alias("feature"), F.round(F.col(f"phi_{f}"), 5).alias("shap_value"),
-                        F.round(F.col(f).cast("double"), 4).alias("value"),
+    structs = [F.struct(F.lit(f).alias("feature"), fixed(F.col(f"phi_{f}"), 5).alias("shap_value"),
+                        fixed(F.col(f).cast("double"), 4).alias("value"),
                         F.lit(bool(S.ACTIONABLE.get(f, False))).alias("actionable"),
                         direction(F.col(f"phi_{f}"), "risk").alias("direction")) for f in feature_order]
     arr = F.array_sort(F.array(*structs), lambda a, b: F.when(F.abs(a.shap_value) > F.abs(b.shap_value), -1)
                        .when(F.abs(a.shap_value) < F.abs(b.shap_value), 1).otherwise(0))
-    return j.select(key, F.round("base_value", 5).alias("base_value"), arr.alias("contributions"),
+    return j.select(key, fixed("base_value", 5).alias("base_value"), arr.alias("contributions"),
                     F.transform(F.slice(arr, 1, 5), lambda d: d.feature).alias("top_drivers"))
 
 
@@ -210,5 +210,17 @@ def global_importance(drivers: DataFrame) -> DataFrame:
     """Mean |value| per feature over all members, descending."""
     e = drivers.select(F.explode("contributions").alias("d"))
     return (e.groupBy(F.col("d.feature").alias("feature"))
-            .agg(F.round(F.avg(F.abs("d.shap_value")), 5).alias("mean_abs_shap"))
+            .agg(fixed(F.avg(F.abs("d.shap_value")), 5).alias("mean_abs_shap"))
             .orderBy(F.col("mean_abs_shap").desc(), "feature"))
+
+
+def example_member(drivers: DataFrame, raw: DataFrame, sample: DataFrame, by: str = "Avg_class_frequency_current_month",
+                   key: str = "customer_id") -> DataFrame:
+    """E5: the waterfall of one member: of the ``sample`` (S15) the one with the lowest ``by`` (the smaller key in a
+    tie). Rows customer_id, base_value, step, feature, value, shap_value, running (the log-odds so far)."""
+    j = sample.select(key).join(raw.select(key, by), key).join(drivers.select(key, "base_value", "contributions"), key)
+    one = j.agg(F.min_by(F.struct(key, "base_value", "contributions"), F.struct(by, key)).alias("m")).where("m IS NOT NULL").select("m.*")
+    steps = one.select(key, "base_value", "contributions", F.posexplode("contributions").alias("i", "d"))
+    running = F.aggregate(F.slice("contributions", 1, F.col("i") + 1), F.col("base_value"), lambda acc, d: acc + d.shap_value)
+    return steps.select(key, "base_value", (F.col("i") + 1).alias("step"), F.col("d.feature").alias("feature"), F.col("d.value").alias("value"),
+                        F.col("d.shap_value").alias("shap_value"), fixed(running, 5).alias("running"))

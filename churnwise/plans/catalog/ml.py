@@ -15,7 +15,7 @@ from ...functions.core import fixed, with_derived_features
 from ...operators import attribution as at
 from ...operators import clusters, ml, treesql, tuning
 from ...session import stored
-from ...sources.members import member_snapshot
+from ...sources.members import member_snapshot, sample_rows
 from ..oracle_sql import fx, sdiv, with_members
 from ..registry import register
 
@@ -277,6 +277,17 @@ def q_global_importance(spark, sf_dir):
     return at.global_importance(drivers)
 
 
+@register("e5_example_member", with_members("""SELECT customer_id, 18 AS steps FROM (
+  SELECT customer_id, Avg_class_frequency_current_month AS f FROM members ORDER BY md5(CAST(customer_id AS VARCHAR) || '|42'), customer_id LIMIT 1000)
+ORDER BY f, customer_id LIMIT 1"""))
+def q_example_member(spark, sf_dir):
+    """The example member of the sample of 1000, and the number of steps of its waterfall."""
+    model, d, x, a = _attr_df(spark, sf_dir)
+    drivers = at.driver_array(a, d.select("customer_id", *model.prep.output_order), model.prep.output_order)
+    rows = at.example_member(drivers, d, sample_rows(d.select("customer_id"), 1000))
+    return rows.groupBy("customer_id").agg(F.count(F.lit(1)).cast("int").alias("steps"))
+
+
 @register("s5_m23_scoring_parity", """SELECT COUNT(*) AS n, CAST(0 AS BIGINT) AS missing, TRUE AS parity_ok FROM (
   SELECT o_custkey FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY o_custkey HAVING COUNT(*) FILTER (WHERE o_orderdate < TIMESTAMP '2001-01-01') > 0)""")
 def q_parity(spark, sf_dir):
