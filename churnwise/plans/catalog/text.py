@@ -16,6 +16,7 @@ from ...operators.scorecard import rule_scorecard
 from ...sources.members import member_snapshot, read_table, spread_scan
 from ..oracle_sql import fx, with_members
 from ..registry import register
+from .core import scored_members
 from .decisions import _H2_SQL
 
 # RE2 forms of the speech normalisation steps (same order as the Spark chain).
@@ -165,3 +166,33 @@ def q_personas(spark, sf_dir):
     from .decisions import q_rule_segments
     seg = q_rule_segments(spark, sf_dir)
     return personas(seg, "business_rules_baseline")
+
+
+#: tier -> segment label; one label that no template has
+_TIER_LABELS = {"kmeans": {"critico": "Alto Risco", "alto": "Risco Médio-Alto", "medio": "Risco Médio-Baixo", "baixo": "Baixo Risco"},
+                "supervised": {"critico": "Alto Risco", "alto": "Risco Médio", "medio": "Outro", "baixo": "Baixo Risco"}}
+
+
+def _tier_seg_sql(family: str) -> str:
+    labels = ", ".join(f"('{t}', '{x}')" for t, x in _TIER_LABELS[family].items())
+    return (f"SELECT l.label, COUNT(*) AS count, {fx('SUM(CAST(s.Churn AS DOUBLE)) / COUNT(*)', 4)} AS churn_rate "
+            f"FROM scored s JOIN (VALUES {labels}) l(tier, label) ON l.tier = s.risk_tier GROUP BY l.label")
+
+
+def _tier_personas(spark, sf_dir, family, algorithm):
+    _, s = scored_members(spark, sf_dir)
+    label = F.create_map(*[F.lit(x) for kv in _TIER_LABELS[family].items() for x in kv])[F.col("risk_tier")]
+    seg = s.groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("count"), fixed(F.avg(F.col("Churn").cast("double")), 4).alias("churn_rate"))
+    return personas(seg, algorithm)
+
+
+@register("d9_personas_kmeans", with_members(_persona_sql("kmeans", _tier_seg_sql("kmeans")), scored=True))
+def q_personas_kmeans(spark, sf_dir):
+    """Personas of the clusters' family, for segments by risk tier."""
+    return _tier_personas(spark, sf_dir, "kmeans", "kmeans")
+
+
+@register("d9_personas_supervised", with_members(_persona_sql("supervised", _tier_seg_sql("supervised")), scored=True))
+def q_personas_supervised(spark, sf_dir):
+    """Personas of the supervised models' family, for segments by risk tier; one falls back to another's template."""
+    return _tier_personas(spark, sf_dir, "supervised", "random_forest")
