@@ -57,9 +57,9 @@ def spread(data: bytes) -> np.ndarray:
 
 def pack_blocks(docs: DataFrame, text: str, held_out: str, fold: str) -> DataFrame:
     """block, doc_ids, lens, flags (1 held out, 2 deleted fold), words (hashes, most frequent first), seq (numbers of
-    words), n_keys (distinct words and pairs, about), n_train (training tokens)."""
-    names = ["block", "doc_ids", "lens", "flags", "words", "seq", "n_keys", "n_train"]
-    kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+    words), n_keys (distinct words and pairs, about), n_train and n_fold (tokens in training and in the deleted fold)."""
+    names = ["block", "doc_ids", "lens", "flags", "words", "seq", "n_keys", "n_train", "n_fold"]
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches):
         memo, part, number = word_memo(), TaskContext.get().partitionId(), 0
@@ -72,8 +72,9 @@ def pack_blocks(docs: DataFrame, text: str, held_out: str, fold: str) -> DataFra
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             lens = np.array([len(x) for x in parts])
-            train = int(lens[(np.frombuffer(bytes(flags), np.uint8) & 1) == 0].sum())
-            values = ((part << 32) + number, ids, lens.astype("<u4").tobytes(), bytes(flags), words[order].tobytes(), squeeze(rank[seq]), len(words) + len(h), train)
+            flag = np.frombuffer(bytes(flags), np.uint8)
+            train, gone = int(lens[(flag & 1) == 0].sum()), int(lens[flag == 2].sum())
+            values = ((part << 32) + number, ids, lens.astype("<u4").tobytes(), bytes(flags), words[order].tobytes(), squeeze(rank[seq]), len(words) + len(h), train, gone)
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
 
         for b in slices(batches, text):
@@ -88,7 +89,7 @@ def pack_blocks(docs: DataFrame, text: str, held_out: str, fold: str) -> DataFra
         if parts:
             yield flush()
 
-    return docs.mapInArrow(run, "block long, doc_ids array<long>, lens binary, flags binary, words binary, seq binary, n_keys long, n_train long")
+    return docs.mapInArrow(run, "block long, doc_ids array<long>, lens binary, flags binary, words binary, seq binary, n_keys long, n_train long, n_fold long")
 
 
 class Block:
@@ -128,7 +129,8 @@ class Block:
 
 
 def asked(blocks: DataFrame, bits: int) -> DataFrame:
-    """range, block, keys, train, fold: the keys of each block, cut into ranges of the key space, and its own counts."""
+    """range, block, keys, train, fold: the keys of each block, cut into ranges of the key space, and its own counts. A
+    range without keys of a block has no row, so there are no more rows than keys."""
     def run(batches):
         for batch in batches:
             for r in range(batch.num_rows):
@@ -136,7 +138,7 @@ def asked(blocks: DataFrame, bits: int) -> DataFrame:
                 b = Block(row)
                 keys, train, fold = b.keys[b.order], b.counts(None)[b.order], b.counts(2)[b.order]
                 cuts = [*np.searchsorted(keys >> np.uint64(64 - bits), np.arange(1 << bits, dtype=np.uint64)).tolist(), len(keys)] if bits else [0, len(keys)]
-                rows = [(k, row["block"], keys[a:z].tobytes(), squeeze(train[a:z]), squeeze(fold[a:z])) for k, (a, z) in enumerate(zip(cuts, cuts[1:]))]
+                rows = [(k, row["block"], keys[a:z].tobytes(), squeeze(train[a:z]), squeeze(fold[a:z])) for k, (a, z) in enumerate(zip(cuts, cuts[1:])) if a < z]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()])],
                                                  ["range", "block", "keys", "train", "fold"])
 
@@ -240,14 +242,14 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
     name, buckets = f"llm_lm_{uuid.uuid4().hex[:12]}", max(8, docs.rdd.getNumPartitions())
     pack_blocks(docs, text, "held_out", "fold").write.bucketBy(buckets, "block").option("compression", "none").saveAsTable(f"{name}_blocks")
     blocks = spark.table(f"{name}_blocks")
-    n_keys, n = (x or 0 for x in blocks.agg(F.sum("n_keys"), F.sum("n_train")).first())
+    n_keys, n, n_fold = (x or 0 for x in blocks.agg(F.sum("n_keys"), F.sum("n_train"), F.sum("n_fold")).first())
     bits = max(0, int(n_keys // RANGE_KEYS).bit_length())
     added(asked(blocks, bits)).repartition(buckets, "block").write.bucketBy(buckets, "block").option("compression", "none").saveAsTable(f"{name}_answers")
     answers = spark.table(f"{name}_answers")
     v = answers.where("block = -1").agg(F.sum("words")).first()[0] or 0
     answers = answers.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("range", "train", "fold")).alias("answers"))
     both = blocks.select("block", "doc_ids", "lens", "flags", "words", "seq").join(answers, "block")
-    cells = events(both, n).collect()  # the grid bounds their number
+    cells = events(both, n - n_fold).collect()  # the grid bounds their number
     mixture = weights([(r["cell"], r["n"]) for r in cells], v)
 
     def run(batches):

@@ -23,13 +23,13 @@ def brute(rows):
             c[0].update(w[1:])
             c[1].update(zip(w, w[1:]))
     n, v = sum(train[0].values()), len(train[0])
-    cells = Counter()
+    cells, n_rest = Counter(), n - sum(fold[0].values())
     for i, crc, w in docs:
         if crc == L.FOLD:
             for h, x in zip(w, w[1:]):
                 ch = train[0][h] - fold[0][h]
                 p2 = (train[1][h, x] - fold[1][h, x]) / max(ch, 1)
-                p1 = (train[0][x] - fold[0][x]) / max(n, 1)
+                p1 = (train[0][x] - fold[0][x]) / max(n_rest, 1)
                 cells[int((L.level(np.array([ch]))[0] << 16) + (L.cell(np.array([p2]))[0] << 8) + L.cell(np.array([p1]))[0])] += 1
     mix = L.weights(sorted(cells.items()), v)
     out = []
@@ -60,6 +60,28 @@ def test_equals_counters(spark, monkeypatch, tokens, keys):
     same(L.score(docs.withColumn("BLOCK", F.lit(1)).withColumn("fold", F.lit("f"))).collect(), brute([(r.doc_id, r.text) for r in docs.collect()]))
 
 
+def test_estimates_of_the_rest_add_up_to_one(spark):
+    """What is left of the counts without the deleted fold, over what is left of the tokens: a distribution."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10
+    blocks = L.pack_blocks(docs.withColumn("out", crc == 0).withColumn("fold", crc == L.FOLD), "text", "out", "fold").collect()
+    total = Counter()
+    for r in blocks:
+        b = L.Block(r.asDict())
+        rest = b.counts(None) - b.counts(2)
+        total.update(dict(zip(b.words.tolist(), rest[:len(b.words)].tolist())))
+    n_rest = sum(r.n_train - r.n_fold for r in blocks)
+    assert n_rest > 0 and sum(total.values()) == n_rest and sum(r.n_fold for r in blocks) > 0
+
+
+def test_no_row_without_keys(spark, monkeypatch):
+    monkeypatch.setattr(L, "BLOCK_TOKENS", 50)
+    docs = spark.createDataFrame([(i, f"w{i} x y{i % 3}") for i in range(400)], "doc_id long, text string").repartition(4)
+    blocks = L.pack_blocks(docs.withColumn("out", F.lit(False)).withColumn("fold", F.lit(False)), "text", "out", "fold")
+    keys = [len(r["keys"]) // 8 for r in L.asked(blocks, 10).select("keys").collect()]
+    assert keys and min(keys) > 0
+
+
 def test_no_training_documents(spark):
     held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0][:4]
     rows = [(i, "a b") for i in held]
