@@ -15,7 +15,8 @@ less likely, so all of 64 parts are touched with odds below 0.64 ** 64 = 4e-13,
 less than what 64-bit hashes of shingles cost anyway. An empty part says nothing
 and gives no key; with fewer than ``PARTS`` parts a document that has an empty
 one is cut again with further seeds until ``PARTS`` parts were looked at, so
-that two sets that agree in empty parts only meet there.
+that two sets that agree in empty parts only meet there. With ``parts=None``
+all d + 1 parts have keys, the empty ones too: then linked sets always meet.
 
 Documents that meet form coarse clusters; equal sets are collapsed to one
 member before. Within a cluster (in blocks, pair by pair, where it is large)
@@ -39,7 +40,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import Recent, components, hashes, mix, rows_per_batch, runs, shingles, slices, space_words, stored, table, texts, word_memo
+from .common import Recent, components, hashes, mix, rows_per_batch, runs, shingles, slices, space_words, stored, table, texts, tidy, word_memo
+from .skew import left_join
 
 WORDS, PERCENT, PARTS = 3, 90, 64
 #: A block of a cluster holds about so many members and bytes of sets at most.
@@ -65,17 +67,17 @@ class Bands:
 
 
 @functools.lru_cache(500)
-def edges(parts: int) -> np.ndarray:
+def edges(parts: int, most: int) -> np.ndarray:
     """Where each part of the hash space begins, as far as parts are used."""
-    return np.array([(i << 64) // parts for i in range(min(parts, PARTS + 1))], np.uint64)
+    return np.array([(i << 64) // parts for i in range(min(parts, most + 1))], np.uint64)
 
 
-def part_keys(h: np.ndarray, scheme: int, parts: int, seed: int) -> tuple[np.ndarray, bool]:
+def part_keys(h: np.ndarray, scheme: int, parts: int, seed: int, most: int = PARTS) -> tuple[np.ndarray, bool]:
     """Keys of the non-empty parts of a set, and whether there is an empty one."""
     if seed:
         h = np.sort(mix(h + np.uint64(seed)))
-    at = np.searchsorted(h, edges(parts))
-    at = np.append(at, len(h))[:PARTS + 1]
+    at = np.searchsorted(h, edges(parts, most))
+    at = np.append(at, len(h))[:most + 1]
     full = np.diff(at) > 0
     if not full.any():
         return np.empty(0, np.uint64), True
@@ -84,21 +86,34 @@ def part_keys(h: np.ndarray, scheme: int, parts: int, seed: int) -> tuple[np.nda
     return mix(value + mix(place)), not full.all()
 
 
-def keys(h: np.ndarray, bands: Bands) -> np.ndarray:
-    """All keys under which a set meets others."""
+def all_part_keys(h: np.ndarray, scheme: int, parts: int) -> np.ndarray:
+    """Keys of all parts of a set; an empty part has the XOR 0."""
+    value = np.zeros(parts, np.uint64)
+    own = (h.astype(object) * parts >> 64).astype(np.int64) if parts < 1 << 32 else None
+    np.bitwise_xor.at(value, own, mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+    place = np.arange(parts, dtype=np.uint64) + np.uint64((scheme << 40) + (0xFF << 32))
+    return mix(value + mix(place))
+
+
+def keys(h: np.ndarray, bands: Bands, most: int | None = PARTS) -> np.ndarray:
+    """All keys under which a set meets others. ``most`` parts serve for each pair of bands; None: all of them."""
+    if most is None:
+        own = bands.band(len(h))
+        schemes = [(s, bands.parts(s)) for s in (own - 1, own) if s >= 0]
+        return np.concatenate([all_part_keys(h, s, p) for s, p in schemes if p > 1] or [np.empty(0, np.uint64)])
     own, out = bands.band(len(h)), []
     for scheme in (own - 1, own):
         parts = bands.parts(scheme) if scheme >= 0 else 1
         if parts > 1:  # otherwise linked sets are equal
-            for seed in range(-(-PARTS // parts)):
-                k, empty = part_keys(h, scheme, parts, seed)
+            for seed in range(-(-most // parts)):
+                k, empty = part_keys(h, scheme, parts, seed, most)
                 out.append(k)
                 if not empty:
                     break
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def sketched(docs: DataFrame, text: str, words: int, percent: int) -> DataFrame:
+def sketched(docs: DataFrame, text: str, words: int, percent: int, parts: int | None = PARTS) -> DataFrame:
     """doc_id, n (set size), fp1 and fp2 (fingerprint of the set), keys. Of equal sets with a doc_id seen by a task, one
     has keys; rows without a doc_id have none."""
     def run(batches):
@@ -114,12 +129,12 @@ def sketched(docs: DataFrame, text: str, words: int, percent: int) -> DataFrame:
                 first = known and k not in seen.now and k not in seen.old
                 if known:
                     seen.of({k})
-                out.append(keys(h, bands).view(np.int64) if first and len(h) else [])
+                out.append(keys(h, bands, parts).view(np.int64) if first and len(h) else [])
             signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), signed(fp1), signed(fp2), pa.array(out, pa.list_(pa.int64()))],
                                              ["doc_id", "n", "fp1", "fp2", "keys"])
 
-    return docs.select("doc_id", text).mapInArrow(run, "doc_id long, n long, fp1 long, fp2 long, keys array<long>")
+    return docs.select("doc_id", text).mapInArrow(tidy(run), "doc_id long, n long, fp1 long, fp2 long, keys array<long>")
 
 
 class Sets:
@@ -194,18 +209,19 @@ def links_within(members: DataFrame, docs: DataFrame, text: str, words: int, per
             if found:
                 yield pa.RecordBatch.from_pydict({"a": pa.array([ids[i] for i, _ in found], pa.int64()), "b": pa.array([ids[j] for _, j in found], pa.int64())})
 
-    sets = docs.select("doc_id", text).join(members, "doc_id").mapInArrow(spread, "cluster long, lo int, hi int, side int, id long, items binary")
+    sets = docs.select("doc_id", text).join(members, "doc_id").mapInArrow(tidy(spread), "cluster long, lo int, hi int, side int, id long, items binary")
     return (sets.repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi")
-            .mapInArrow(verify, "a long, b long"))
+            .mapInArrow(tidy(verify), "a long, b long"))
 
 
-def similar(docs: DataFrame, text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs``."""
+def similar(docs: DataFrame, text: str = "text", words: int = WORDS, percent: int = PERCENT, parts: int | None = PARTS) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs``. ``parts``: how many parts of a set have keys (see
+    above); None: all, so that linked sets meet for certain, at a key for every d shingles of a set."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
-    seen = stored(sketched(docs, text, words, percent), "jaccard-sketches")
+    seen = stored(sketched(docs, text, words, percent, parts), "jaccard-sketches")
     known = seen.where("doc_id is not null and n > 0")
-    group = known.groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep"))
-    exact = known.select("doc_id", "n", "fp1", "fp2").join(group, ["n", "fp1", "fp2"])
+    same = known.select("doc_id", "n", F.concat_ws(":", "n", "fp1", "fp2").alias("set"))
+    exact = left_join(same, same.groupBy("set").agg(F.min("doc_id").alias("rep")), "set")
     exact = stored(exact.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"), "n"), "jaccard-equal")
     met = known.select("doc_id", F.explode("keys").alias("key"))
     met = met.select(F.col("doc_id").alias("a"), F.min("doc_id").over(Window.partitionBy("key")).alias("b")).where("a <> b").distinct()
@@ -226,12 +242,12 @@ def similar(docs: DataFrame, text: str = "text", words: int = WORDS, percent: in
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
 
 
-def drop_similar(docs: DataFrame, text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+def drop_similar(docs: DataFrame, text: str = "text", words: int = 5, percent: int = 80, parts: int | None = PARTS) -> DataFrame:
     """One document of each group of similar ones, that with the smallest doc_id; all columns. Rows that share a doc_id
     but not the text are documents of their own; of rows that repeat both one stays; rows without a doc_id all stay."""
     number = F.col("doc_id").cast("long")
     own = F.when(number.isNotNull(), F.xxhash64(number, text))
-    found = similar(docs.select(own.alias("doc_id"), text), text, words, percent)
+    found = similar(docs.select(own.alias("doc_id"), text), text, words, percent, parts)
     names = docs.where("doc_id is not null").select(own.alias("node__"), number.alias("id__")).distinct()
     group = (found.where("doc_id is not null").groupBy(F.col("doc_id").alias("node__"), "component_id").agg(F.count("*").alias("rows__"))
              .join(names, "node__"))
