@@ -9,6 +9,9 @@ Arrow batch and one memo only.
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import functools
+import gc
 import math
 import uuid
 from collections.abc import Iterable, Iterator
@@ -43,6 +46,33 @@ def alnum_words(text: bytes) -> list[bytes]:
     return text.translate(_ALNUM).split()
 
 
+@functools.lru_cache(1)
+def _libc():
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:  # another C library keeps its own counsel
+        return None
+
+
+def give_back() -> None:
+    """Return freed memory to the machine: a Python worker lives on for other tasks and stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _libc() is not None:
+        _libc().malloc_trim(0)
+
+
+def tidy(run):
+    """``run``, a function of Arrow batches, and at the end of each task what it has freed goes back to the machine."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def texts(column: pa.Array) -> list[bytes]:
     """The texts of a string column as UTF-8; null counts as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
@@ -76,10 +106,10 @@ class Memo(dict):
 
 class Recent:
     """A memo filled many keys at a time: ``fn`` takes a list of keys and returns (key, value) pairs. It keeps the last
-    two generations of about ``most`` keys, so frequent keys stay."""
+    two generations of about ``most`` keys, so frequent keys stay. ``step`` keys are computed at a time."""
 
-    def __init__(self, fn, most: int = 300_000):
-        self.fn, self.most = fn, most
+    def __init__(self, fn, most: int = 300_000, step: int = 50_000):
+        self.fn, self.most, self.step = fn, most, step
         self.now, self.old = {}, {}
 
     def of(self, keys: set):
@@ -91,8 +121,8 @@ class Recent:
         known = todo & self.old.keys()
         self.now.update(zip(known, map(self.old.__getitem__, known)))
         todo = list(todo - known)
-        for i in range(0, len(todo), 50_000):
-            self.now.update(self.fn(todo[i:i + 50_000]))
+        for i in range(0, len(todo), self.step):
+            self.now.update(self.fn(todo[i:i + self.step]))
         return self.now.__getitem__
 
 

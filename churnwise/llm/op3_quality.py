@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import partition_sum, slices, stored, table, texts, with_columns
+from .common import partition_sum, slices, stored, table, texts, tidy, with_columns
 
 #: Random features, kernel width, ridge, histogram bins and the range of raw scores that they cover.
 D, WIDTH, RIDGE, BINS, RANGE = 256, 3.0, 1e-3, 2000, (-0.5, 1.5)
@@ -64,7 +64,7 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
             stats = [statistics(t) for t in texts(b.column(text))]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(stats, pa.list_(pa.float64()))], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -166,7 +166,7 @@ def apply(stats: DataFrame, model: Model, score: str = "score") -> DataFrame:
                 out = np.concatenate([shared.value.score(matrix(b.column("stats").slice(i, 2000))) for i in range(0, b.num_rows, 2000)])
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(out)], [*kept, score])
 
-    return stats.mapInArrow(run, schema)
+    return stats.mapInArrow(tidy(run), schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -180,7 +180,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", threshold:
             score = shared.value.score(np.array([statistics(t) for t in texts(b.column(text))]).reshape(b.num_rows, N_STATS))
             yield b.filter(pa.array(score >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import alnum_words, slices, table, texts, with_columns
+from .common import alnum_words, slices, table, texts, tidy, with_columns
 
 DEPTH = 10
 BLOCK_BYTES = 2 << 20
@@ -147,7 +147,7 @@ def match(docs: DataFrame, benchmark: DataFrame, text: str = "text", depth: int
                 [*(b.column(c) for c in kept), pa.array(n_words), pa.array(total[ends[1:]] - total[ends[:-1]]),
                  pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(matches, MATCH_ARROW)], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", depth: int = DEPTH) -> DataFrame:

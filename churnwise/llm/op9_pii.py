@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import Recent, alnum_words, slices, stored, table, texts, with_columns
+from .common import Recent, alnum_words, slices, stored, table, texts, tidy, with_columns
 
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -145,7 +145,7 @@ def mentions(docs: DataFrame, text: str, window: int) -> DataFrame:
                 rows += [(h, e, w, near, first.get((e, w)), n) for (e, w, near), n in found.items()]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows) if rows else [[]] * 6, kinds)], names)
 
-    return hashed(docs, text).mapInArrow(run, "h long, entity string, term string, near long, around long, n long")
+    return hashed(docs, text).mapInArrow(tidy(run), "h long, entity string, term string, near long, around long, n long")
 
 
 def blocks(terms: DataFrame) -> list[dict[str, str]]:
@@ -193,7 +193,7 @@ def counted(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame | None:
                 yield rows(own)
             yield rows({(None, k): n for k, n in total.items()})
 
-        n = hashed(docs, text).mapInArrow(run, "h long, term string, n long").groupBy("h", "term").agg(F.sum("n").alias("all"), F.max("n").alias("one"))
+        n = hashed(docs, text).mapInArrow(tidy(run), "h long, term string, n long").groupBy("h", "term").agg(F.sum("n").alias("all"), F.max("n").alias("one"))
         n = n.groupBy("term").agg(F.sum(F.when(F.col("h").isNull(), F.col("all")).otherwise(F.col("one"))).alias("n"))
         out = n if out is None else out.union(n)
     return out
@@ -246,7 +246,7 @@ def find(docs: DataFrame, terms: DataFrame | None = None, text: str = "text") ->
                     rows.append([{"kind": k, "start": s, "end": e} for s, k, e in sorted(found, key=lambda x: (x[0], order.index(x[1]), x[2]))])
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(rows, SPAN_ARROW)], [*kept, "spans"])
 
-        out = out.mapInArrow(run, schema)
+        out = out.mapInArrow(tidy(run), schema)
     return out
 
 
@@ -280,7 +280,7 @@ def redact(found: DataFrame, text: str = "text") -> DataFrame:
                 out.append(raw)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == text else b.column(c) for c in kept], kept)
 
-    return found.mapInArrow(run, found.schema)
+    return found.mapInArrow(tidy(run), found.schema)
 
 
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
