@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import Recent, lists, slices, table, texts, with_columns
+from .common import Recent, give_back, lists, slices, table, texts, tidy, with_columns
 
 DEFAULT = "word_bpe_49k.json"
 
@@ -71,7 +71,9 @@ class Encoder:
         model = spec["model"]
         if model["type"] != "BPE" or spec["decoder"] is not None or not model["end_of_word_suffix"]:
             raise ValueError(f"{path}: not a BPE vocabulary with word ends and without a decoder")
-        self.library = Tokenizer.from_file(path)
+        self.path = path
+        # what normalises and cuts, without the vocabulary; ``library`` is read only where special tokens occur
+        self.cutter = Tokenizer.from_str(json.dumps(spec | {"model": model | {"vocab": {}, "merges": [], "unk_token": None}, "added_tokens": [], "post_processor": None}))
         vocab, suffix = model["vocab"], model["end_of_word_suffix"]
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = [s.encode() for s in special]
@@ -93,15 +95,21 @@ class Encoder:
         self.ascii_pieces, self.text_pieces = re.compile(b"\n|" + ASCII_PIECES), regex.compile("\n|" + TEXT_PIECES)
         self.stops_apart = not self.inside[np.flatnonzero(ALNUM)][:, list(b".,")].any()
         self.high = re.compile(b"[\xc6-\xff]")
-        self.chunks, self.words = Recent(self._chunks, most), Recent(self._words, most // 2)
+        step = max(1, min(50_000, most // 8))
+        self.chunks, self.words = Recent(self._chunks, most, step), Recent(self._words, most // 2, step)
+
+    @functools.cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.path)
 
     def _pieces(self, plain: list[bytes], wide: list[bytes], odd: list[bytes]) -> list[bytes]:
         """Normalise chunks and cut them into words as the file says, with a line feed after each chunk."""
         out = self.ascii_pieces.findall(b"".join(c + b"\n" for c in plain).lower())
         out += [p.encode() for p in self.text_pieces.findall(b"".join(c + b"\n" for c in wide).decode().lower())]
         for c in odd:
-            text = self.library.normalizer.normalize_str(c.decode("utf-8", "replace"))
-            out += [bytes(self.number[x] for x in w) for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
+            text = self.cutter.normalizer.normalize_str(c.decode("utf-8", "replace"))
+            out += [bytes(self.number[x] for x in w) for w, _ in self.cutter.pre_tokenizer.pre_tokenize_str(text)]
             out.append(b"\n")
         return out
 
@@ -168,9 +176,15 @@ class Encoder:
             m.now, m.old = {}, {}
 
 
+#: Entries of the memo and bytes of a slice where a worker must stay small.
+SMALL_MEMO, SMALL_SLICE = 40_000, 1 << 19
+
+
 @functools.lru_cache(2)
 def encoder(name: str, most: int = 600_000) -> Encoder:
-    return Encoder(vocabulary(name), most)
+    out = Encoder(vocabulary(name), most)
+    give_back()  # the file's lists
+    return out
 
 
 @functools.lru_cache(2)
@@ -199,8 +213,8 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", vocab: str = D
     kept = names[:-len(added)]
 
     def run(batches):
-        enc = encoder(vocab) if keep else encoder(vocab, 100_000)
-        for b in slices(batches, text):
+        enc = encoder(vocab) if keep else encoder(vocab, SMALL_MEMO)
+        for b in slices(batches, text) if keep else slices(batches, text, SMALL_SLICE):
             coded = enc.encode(texts(b.column(text)))
             columns = [*(b.column(c) for c in kept), lists(coded, pa.int32(), 4)]
             if decoded:
@@ -209,7 +223,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", vocab: str = D
         if not keep:
             enc.forget()
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run if keep else tidy(run), schema)
 
 
 def decode(encoded: DataFrame, ids: str = "ids", text: str = "decoded", vocab: str = DEFAULT) -> DataFrame:
