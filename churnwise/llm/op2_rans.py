@@ -15,6 +15,8 @@ null ids, token counts, checkpoints, lanes' states at the start, stream.
 Documents are dealt by ranges of doc_id, nulls first; equal ids are ordered by
 length and beginning of their texts, so an id with very many rows is dealt to several ranges.
 Null and empty texts have the end id only. Repeated rows each are a document.
+A long text is one document of one block, whatever its length. Ids of 65,536 or
+more raise ``ValueError``. Other columns are not read, whatever their names.
 Files are written by tasks under names of their own; the manifest, a stored
 table, names those that counted, so repeated tasks do no harm.
 """

@@ -17,7 +17,9 @@ A null html is an empty payload; a null url gives no target URI. Rows without
 a page_id are records too, a revisit if an equal payload has an id; a repeated
 page_id gives a record each, all responses if it is the smallest of its
 payload. The dictionary is trained on at most ``SAMPLE_PAGES`` payloads (the
-first 64 KiB of each); where that fails, as in small tables, there is none.
+first 64 KiB of each); where that fails, as in small tables, there is none. A
+long payload is one record of one frame, held whole by the task that writes or
+reads it. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

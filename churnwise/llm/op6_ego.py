@@ -17,9 +17,9 @@ list of pairs is ever made.
 
 A vector that is null, empty, all zero, or holds null or non-finite components
 links with nothing, as does one without an id (its component is null and it is
-kept). Vectors of different lengths never link. Repeated ids give a row each
-and are one node of the links; other rows with an equal vector count as links.
-No label is read.
+kept). Vectors of different lengths never link. Rows that repeat an id have the
+links and the component of their own vector; other rows with an equal vector
+count as links. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -23,7 +23,9 @@ Counts take this way, so that nothing grows with the corpus in one place:
 
 The start of a text counts as its end's successor. Null and empty texts have
 the end only. A null doc_id is held out. Repeated rows are documents each.
-Without training documents all counts are 0 and the model is uniform.
+Without training documents all counts are 0 and the model is uniform. A long
+text is part of one block, which ends with it. Other columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations

@@ -222,20 +222,20 @@ def disclosing(docs: DataFrame, text: str = "text", window: int = 6, support: in
     return stored(terms, "pii-terms")
 
 
-def find(docs: DataFrame, terms: DataFrame | None = None, text: str = "text") -> DataFrame:
-    """Add ``spans``: base spans and occurrences of ``terms``, by start and then kind, in code points."""
+def find(docs: DataFrame, terms: DataFrame | None = None, text: str = "text", spans: str = "spans") -> DataFrame:
+    """Add ``spans`` (or as named): base spans and occurrences of ``terms``, by start and then kind, in code points."""
     out, spark = docs, docs.sparkSession
     for i, block in enumerate(list_or_empty(terms)):
         shared = spark.sparkContext.broadcast(block) if block else None
-        schema = with_columns(out.schema, [T.StructField("spans", SPAN, False)])
-        kept = [f.name for f in schema if f.name != "spans"]
+        schema = with_columns(out.schema, [T.StructField(spans, SPAN, False)])
+        kept = [f.name for f in schema if f.name != spans]
 
         def run(batches, shared=shared, first=i == 0, kept=kept):
             wanted = shared.value if shared else {}
             quick = {t.encode() for t in wanted}
             for b in slices(batches, text):
                 rows = []
-                old = [[]] * b.num_rows if first else b.column("spans").to_pylist()
+                old = [[]] * b.num_rows if first else b.column(spans).to_pylist()
                 for raw, had in zip(texts(b.column(text)), old):
                     t = raw.decode("utf-8", "replace")
                     base = base_spans(t)
@@ -244,7 +244,7 @@ def find(docs: DataFrame, terms: DataFrame | None = None, text: str = "text") ->
                         found += term_spans(t, wanted, base)
                     order = (*KINDS, "term", "removed")
                     rows.append([{"kind": k, "start": s, "end": e} for s, k, e in sorted(found, key=lambda x: (x[0], order.index(x[1]), x[2]))])
-                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(rows, SPAN_ARROW)], [*kept, "spans"])
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(rows, SPAN_ARROW)], [*kept, spans])
 
         out = out.mapInArrow(tidy(run), schema)
     return out
@@ -260,17 +260,17 @@ def list_or_empty(terms: DataFrame | None):
         yield {}
 
 
-def redact(found: DataFrame, text: str = "text") -> DataFrame:
+def redact(found: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
     """Replace each span by its kind's placeholder (terms to remove by nothing). Overlapping spans: the earliest wins."""
     kept = found.columns
 
     def run(batches):
         for b in slices(batches, text):
             out = []
-            for raw, spans in zip(b.column(text).to_pylist(), b.column("spans").to_pylist()):
-                if spans and raw:
+            for raw, here in zip(b.column(text).to_pylist(), b.column(spans).to_pylist()):
+                if here and raw:
                     parts, at = [], 0
-                    for s in spans:
+                    for s in here:
                         if s["start"] >= at:
                             parts += raw[at:s["start"]], PLACEHOLDER[s["kind"]]
                             at = s["end"]
@@ -285,7 +285,10 @@ def redact(found: DataFrame, text: str = "text") -> DataFrame:
 
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with personal data and disclosing terms replaced in ``text``; all rows and columns stay."""
-    return redact(find(docs, disclosing(docs, text), text), text).drop("spans").select(docs.columns)
+    own = "spans__"
+    while own in docs.columns:
+        own += "_"
+    return redact(find(docs, disclosing(docs, text), text, own), text, own).select(docs.columns)
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

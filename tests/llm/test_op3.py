@@ -62,3 +62,31 @@ def test_statistics_of_odd_texts():
     for t in (b"", b" ", b"\n\n", b"x" * 1_000_000, bytes(range(256))):
         s = Q.statistics(t)
         assert len(s) == Q.N_STATS and np.isfinite(s).all()
+
+
+def test_scores_equal_a_direct_computation(spark):
+    """Standardising, random features, ridge and isotonic calibration in one process, on all labelled rows at once."""
+    import zlib
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    y = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    x = np.array([Q.statistics((r.text or "").encode()) for r in docs])
+    fold = np.array([zlib.crc32(str(r.doc_id).encode()) % 5 for r in docs])
+    label = np.array([y.get(r.doc_id, np.nan) for r in docs], float)
+    learn, hold = (~np.isnan(label) & np.isin(fold, [1, 2, 3])), (~np.isnan(label) & (fold == 4))
+    mean, scale = x[learn].mean(0), np.sqrt(np.maximum(x[learn].var(0), 1e-8)) + 1e-3
+    rnd = np.random.default_rng(7)
+    w, b = rnd.normal(0, 1 / Q.WIDTH, (Q.N_STATS, Q.D)), rnd.uniform(0, 2 * np.pi, Q.D)
+    z = np.hstack([np.sqrt(2 / Q.D) * np.cos(np.clip((x - mean) / scale, -6, 6) @ w + b), np.ones((len(x), 1))])
+    a = z[learn]
+    beta = np.linalg.solve(a.T @ a + Q.RIDGE * learn.sum() / Q.D * np.eye(Q.D + 1), a.T @ label[learn])
+    raw = z @ beta
+    low, high = Q.RANGE
+    bins = np.clip((raw[hold] - low) * Q.BINS / (high - low), 0, Q.BINS - 1).astype(int)
+    used = np.unique(bins)
+    n, good = np.array([(bins == k).sum() for k in used]), np.array([label[hold][bins == k].sum() for k in used])
+    fit = np.array([max(min(good[i:j].sum() / n[i:j].sum() for j in range(k + 1, len(used) + 1)) for i in range(k + 1)) for k in range(len(used))])
+    centre = low + (used + 0.5) * (high - low) / Q.BINS
+    knots = np.array([[np.average(centre[fit == v], weights=n[fit == v]), v] for v in np.unique(fit)])
+    want = np.clip(np.interp(raw, knots[:, 0], knots[:, 1]), 0, 1)
+    got = {r.doc_id: r.score for r in Q.op3_quality(spark, SF).collect()}
+    assert np.abs(np.array([got[r.doc_id] for r in docs]) - want).max() < 1e-6
