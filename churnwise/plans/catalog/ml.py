@@ -277,7 +277,7 @@ def q_global_importance(spark, sf_dir):
     return at.global_importance(drivers)
 
 
-@register("e5_example_member", with_members("""SELECT customer_id, 18 AS steps FROM (
+@register("e5_example_member", with_members("""SELECT customer_id, 17 AS steps FROM (
   SELECT customer_id, Avg_class_frequency_current_month AS f FROM members ORDER BY md5(CAST(customer_id AS VARCHAR) || '|42'), customer_id LIMIT 1000)
 ORDER BY f, customer_id LIMIT 1"""))
 def q_example_member(spark, sf_dir):

@@ -7,9 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ... import schema as S
 from ...functions.core import fixed
-from ...sources import store
 from ...sources.members import member_snapshot
 from ...streaming import decline, jobs, upsert
 from ..oracle_sql import fx, with_members

@@ -12,8 +12,7 @@ from pyspark.sql.window import Window
 from ...functions.core import fixed
 from ...functions.text import chunk_normalized, normalize_text
 from ...operators.personas import TEMPLATES, personas
-from ...operators.scorecard import rule_scorecard
-from ...sources.members import member_snapshot, read_table, spread_scan
+from ...sources.members import read_table, spread_scan
 from ..oracle_sql import fx, with_members
 from ..registry import register
 from .core import scored_members

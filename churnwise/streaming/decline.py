@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
-from .jobs import WEEK, _append, _run, run_conf
+from .jobs import _append, _run, run_conf
 
 WEEKLY = "user_id bigint, week_start timestamp_ntz, week_end timestamp_ntz, n_events bigint, value_sum double"
 OUT = "user_id bigint, week_ms bigint, n_events bigint, delta bigint, streak int, alert boolean, late boolean"

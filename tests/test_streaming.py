@@ -3,9 +3,6 @@
 import datetime as dt
 import os
 
-import pytest
-from pyspark.sql import functions as F
-
 from churnwise.session import scratch_path
 from churnwise.streaming import decline, jobs, upsert
 
