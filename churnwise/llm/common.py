@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import scratch_path
 
@@ -266,6 +266,28 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         e.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
 
 
+#: Bits of ``id_filter``.
+FILTER_BITS = 1 << 27
+
+
+def filter_bit(column) -> Column:
+    """The place of a value in ``id_filter``."""
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+
+def id_filter(ids: DataFrame, column: str) -> np.ndarray:
+    """A filter of fixed size: the bit ``filter_bit`` is set for every value of ``column``, and maybe for others."""
+    at = ids.select((filter_bit(column) + 1).alias("x"))
+    out = np.zeros((FILTER_BITS >> 15, 4096), np.uint8)
+    for r in at.groupBy(F.bitmap_bucket_number("x").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("x")).alias("bits")).toLocalIterator():
+        out[r["k"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
+def in_filter(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def file_system(uri: str):
     """The file system of a URI and the path in it, for files that are not tables (archives, token files)."""
     from pyarrow import fs

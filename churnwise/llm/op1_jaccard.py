@@ -8,15 +8,17 @@ fixed. The space of shingle hashes is cut into d + 1 parts: by the pigeonhole
 principle, two linked sets agree entirely in one part. The key of a part is
 the XOR of its shingles' hashes; documents meet on equal keys.
 
-Where there are more than ``PARTS`` parts, the first ``PARTS`` serve: whatever
-the sets, d differences spread over d + 1 parts by a hash leave each part
-untouched with odds above 0.36, and touching one part makes touching another
-less likely, so all of 64 parts are touched with odds below 0.64 ** 64 = 4e-13,
-less than what 64-bit hashes of shingles cost anyway. An empty part says nothing
-and gives no key; with fewer than ``PARTS`` parts a document that has an empty
-one is cut again with further seeds until ``PARTS`` parts were looked at, so
-that two sets that agree in empty parts only meet there. With ``parts=None``
-all d + 1 parts have keys, the empty ones too: then linked sets always meet.
+Where there are many parts, only so many are looked at (``looks``) that two
+linked sets are missed with odds below ``ODDS``: whatever the sets, d
+differences spread over d + 1 parts by a hash leave each part untouched with
+odds above 0.36, and touching one part makes touching another less likely. A
+part with fewer than ``LEAST`` shingles says little (documents that share a
+passage agree in many such parts) and gives no key; what is untouched has as
+many shingles in both sets, so the looks are counted with that. A document with
+fewer parts than looks is cut again with further seeds, until all parts of a
+cut have keys or the looks are done. Sets with fewer than ``FEW`` parts use
+parts of any size but empty ones. With ``odds=None`` all d + 1 parts have keys,
+the empty ones too: then linked sets always meet.
 
 Documents that meet form coarse clusters; equal sets are collapsed to one
 member before. Within a cluster (in blocks, pair by pair, where it is large)
@@ -35,15 +37,19 @@ row each. Texts are read whole; other columns are not read.
 from __future__ import annotations
 
 import functools
+import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import Recent, components, hashes, mix, rows_per_batch, runs, shingles, slices, space_words, stored, table, texts, tidy, word_memo
+from .common import Recent, components, filter_bit, hashes, id_filter, in_filter, mix, rows_per_batch, runs, shingles, slices, space_words, stored, table, texts, tidy, word_memo
 from .skew import left_join
 
-WORDS, PERCENT, PARTS = 3, 90, 64
+WORDS, PERCENT = 3, 90
+#: Odds of missing a linked pair (less than what 64-bit hashes of shingles cost), shingles that a part needs for a key,
+#: and the number of parts below which any will do.
+ODDS, LEAST, FEW = 4e-13, 3, 8
 #: A block of a cluster holds about so many members and bytes of sets at most.
 BLOCK_ROWS, BLOCK_BYTES = 4096, 8 << 20
 
@@ -72,16 +78,29 @@ def edges(parts: int, most: int) -> np.ndarray:
     return np.array([(i << 64) // parts for i in range(min(parts, most + 1))], np.uint64)
 
 
-def part_keys(h: np.ndarray, scheme: int, parts: int, seed: int, most: int = PARTS) -> tuple[np.ndarray, bool]:
-    """Keys of the non-empty parts of a set, and whether there is an empty one."""
+@functools.lru_cache(20)
+def looks(percent: int, odds: float, least: int) -> int:
+    """Parts to look at, so that two linked sets agree in none that has ``least`` shingles with at most ``odds``. Sets of
+    the share s of a scheme's largest size have s differences a part, and s t / (1 - t) common shingles."""
+    t = percent / 100
+
+    def agree(s: float) -> float:
+        common = s * t / (1 - t)
+        return math.exp(-s) * (1 - sum(math.exp(-common) * common ** i / math.factorial(i) for i in range(least)))
+
+    worst = min(agree(t * t + (1 - t * t) * i / 10) for i in range(11)) if percent < 100 else 1 - 1e-9
+    return max(64, math.ceil(math.log(odds) / math.log(1 - worst)))
+
+
+def part_keys(h: np.ndarray, scheme: int, parts: int, seed: int, most: int, least: int) -> tuple[np.ndarray, bool]:
+    """Keys of the parts of a set that have ``least`` shingles, and whether there is one that has not."""
     if seed:
         h = np.sort(mix(h + np.uint64(seed)))
     at = np.searchsorted(h, edges(parts, most))
     at = np.append(at, len(h))[:most + 1]
-    full = np.diff(at) > 0
-    if not full.any():
-        return np.empty(0, np.uint64), True
-    value = np.bitwise_xor.reduceat(mix(h[:at[-1]] ^ np.uint64(0xA5A5A5A5A5A5A5A5)), at[:-1][full])
+    full = np.diff(at) >= least
+    total = np.append(np.uint64(0), np.bitwise_xor.accumulate(mix(h[:at[-1]] ^ np.uint64(0xA5A5A5A5A5A5A5A5)))) if at[-1] else np.zeros(1, np.uint64)
+    value = (total[at[1:]] ^ total[at[:-1]])[full]
     place = np.flatnonzero(full).astype(np.uint64) + np.uint64((scheme << 40) + (seed << 32))
     return mix(value + mix(place)), not full.all()
 
@@ -95,25 +114,27 @@ def all_part_keys(h: np.ndarray, scheme: int, parts: int) -> np.ndarray:
     return mix(value + mix(place))
 
 
-def keys(h: np.ndarray, bands: Bands, most: int | None = PARTS) -> np.ndarray:
-    """All keys under which a set meets others. ``most`` parts serve for each pair of bands; None: all of them."""
-    if most is None:
-        own = bands.band(len(h))
-        schemes = [(s, bands.parts(s)) for s in (own - 1, own) if s >= 0]
-        return np.concatenate([all_part_keys(h, s, p) for s, p in schemes if p > 1] or [np.empty(0, np.uint64)])
+def keys(h: np.ndarray, bands: Bands, odds: float | None = ODDS) -> np.ndarray:
+    """All keys under which a set meets others."""
     own, out = bands.band(len(h)), []
     for scheme in (own - 1, own):
         parts = bands.parts(scheme) if scheme >= 0 else 1
-        if parts > 1:  # otherwise linked sets are equal
-            for seed in range(-(-most // parts)):
-                k, empty = part_keys(h, scheme, parts, seed, most)
-                out.append(k)
-                if not empty:
-                    break
+        if parts == 1:  # linked sets are equal
+            continue
+        if odds is None:
+            out.append(all_part_keys(h, scheme, parts))
+            continue
+        least = 1 if parts < FEW else LEAST
+        most = looks(bands.percent, odds, least)
+        for seed in range(-(-most // parts)):
+            k, weak = part_keys(h, scheme, parts, seed, most, least)
+            out.append(k)
+            if not weak:
+                break
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def sketched(docs: DataFrame, text: str, words: int, percent: int, parts: int | None = PARTS) -> DataFrame:
+def sketched(docs: DataFrame, text: str, words: int, percent: int, odds: float | None = ODDS) -> DataFrame:
     """doc_id, n (set size), fp1 and fp2 (fingerprint of the set), keys. Of equal sets with a doc_id seen by a task, one
     has keys; rows without a doc_id have none."""
     def run(batches):
@@ -129,7 +150,7 @@ def sketched(docs: DataFrame, text: str, words: int, percent: int, parts: int |
                 first = known and k not in seen.now and k not in seen.old
                 if known:
                     seen.of({k})
-                out.append(keys(h, bands, parts).view(np.int64) if first and len(h) else [])
+                out.append(keys(h, bands, odds).view(np.int64) if first and len(h) else [])
             signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), signed(fp1), signed(fp2), pa.array(out, pa.list_(pa.int64()))],
                                              ["doc_id", "n", "fp1", "fp2", "keys"])
@@ -185,20 +206,17 @@ def linked(sets: list[np.ndarray], block: np.ndarray, percent: int) -> list[tupl
 
 
 def links_within(members: DataFrame, docs: DataFrame, text: str, words: int, percent: int) -> DataFrame:
-    """Links (a, b) within coarse clusters. ``members``: doc_id, cluster, blocks, block."""
-    def spread(batches):
-        """Each member's set, for every pair of blocks that its block is in."""
-        memo = word_memo()
-        for b in slices(batches, text, 1 << 20):
-            rows = []
-            for t, i, c, nb, k in zip(texts(b.column(text)), *(b.column(x).to_pylist() for x in ("doc_id", "cluster", "blocks", "block"))):
-                s = shingles(hashes(space_words(t), memo), words).tobytes()
-                rows += [(c, min(k, o), max(k, o), int(k > o), i, s) for o in range(nb)]
-            for a in range(0, len(rows), 500):
-                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows[a:a + 500]), KINDS)], NAMES)
-
-    NAMES = ["cluster", "lo", "hi", "side", "id", "items"]
-    KINDS = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+    """Links (a, b) within coarse clusters. ``members``: doc_id, cluster, blocks, block. Only members' sets are moved: a
+    filter of fixed size tells most of the other documents before the join."""
+    shared = docs.sparkSession.sparkContext.broadcast(id_filter(members, "doc_id"))
+
+    def sets_of(batches):
+        memo, bits = word_memo(), shared.value
+        for batch in batches:
+            near = batch.filter(pa.array(in_filter(bits, batch.column("bit").to_numpy())))
+            for b in slices([near], "text", 1 << 20):
+                items = [shingles(hashes(space_words(t), memo), words).tobytes() for t in texts(b.column("text"))]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(items, pa.binary())], ["doc_id", "items"])
 
     def verify(batches):
         for (_, lo, hi), t in runs(batches, ["cluster", "lo", "hi"]):
@@ -209,16 +227,22 @@ def links_within(members: DataFrame, docs: DataFrame, text: str, words: int, per
             if found:
                 yield pa.RecordBatch.from_pydict({"a": pa.array([ids[i] for i, _ in found], pa.int64()), "b": pa.array([ids[j] for _, j in found], pa.int64())})
 
-    sets = docs.select("doc_id", text).join(members, "doc_id").mapInArrow(tidy(spread), "cluster long, lo int, hi int, side int, id long, items binary")
-    return (sets.repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi")
+    sets = docs.where("doc_id is not null").select("doc_id", F.col(text).alias("text"), filter_bit("doc_id").alias("bit")).mapInArrow(
+        tidy(sets_of), "doc_id long, items binary")
+    # the plan is the same at every size: a merge join, no broadcast of members while they are few
+    each = sets.join(members.hint("merge"), "doc_id").select(
+        "cluster", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), F.col("doc_id").alias("id"), "items")
+    pairs = each.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+                        (F.col("block") > F.col("other")).cast("int").alias("side"), "id", "items")
+    return (pairs.repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi")
             .mapInArrow(tidy(verify), "a long, b long"))
 
 
-def similar(docs: DataFrame, text: str = "text", words: int = WORDS, percent: int = PERCENT, parts: int | None = PARTS) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs``. ``parts``: how many parts of a set have keys (see
-    above); None: all, so that linked sets meet for certain, at a key for every d shingles of a set."""
+def similar(docs: DataFrame, text: str = "text", words: int = WORDS, percent: int = PERCENT, odds: float | None = ODDS) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs``. ``odds``: of missing a linked pair (see above);
+    None: linked sets meet for certain, with a key for every part of a set."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
-    seen = stored(sketched(docs, text, words, percent, parts), "jaccard-sketches")
+    seen = stored(sketched(docs, text, words, percent, odds), "jaccard-sketches")
     known = seen.where("doc_id is not null and n > 0")
     same = known.select("doc_id", "n", F.concat_ws(":", "n", "fp1", "fp2").alias("set"))
     exact = left_join(same, same.groupBy("set").agg(F.min("doc_id").alias("rep")), "set")
@@ -242,18 +266,18 @@ def similar(docs: DataFrame, text: str = "text", words: int = WORDS, percent: in
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
 
 
-def drop_similar(docs: DataFrame, text: str = "text", words: int = 5, percent: int = 80, parts: int | None = PARTS) -> DataFrame:
+def drop_similar(docs: DataFrame, text: str = "text", words: int = 5, percent: int = 80, odds: float | None = ODDS) -> DataFrame:
     """One document of each group of similar ones, that with the smallest doc_id; all columns. Rows that share a doc_id
     but not the text are documents of their own; of rows that repeat both one stays; rows without a doc_id all stay."""
     number = F.col("doc_id").cast("long")
     own = F.when(number.isNotNull(), F.xxhash64(number, text))
-    found = similar(docs.select(own.alias("doc_id"), text), text, words, percent, parts)
+    found = similar(docs.select(own.alias("doc_id"), text), text, words, percent, odds)
     names = docs.where("doc_id is not null").select(own.alias("node__"), number.alias("id__")).distinct()
     group = (found.where("doc_id is not null").groupBy(F.col("doc_id").alias("node__"), "component_id").agg(F.count("*").alias("rows__"))
              .join(names, "node__"))
     kept = stored(group.groupBy("component_id").agg(F.min(F.struct("id__", "node__", "rows__")).alias("first"))
                   .select("first.node__", "first.rows__"), "jaccard-kept")
-    with_id = docs.where("doc_id is not null").withColumn("node__", own).join(kept, "node__")
+    with_id = docs.where("doc_id is not null").withColumn("node__", own).join(kept.hint("merge"), "node__")
     return (with_id.where("rows__ = 1").select(docs.columns).union(with_id.where("rows__ > 1").dropDuplicates(["node__"]).select(docs.columns))
             .union(docs.where("doc_id is null")))
 

@@ -44,15 +44,15 @@ def table(seed):
     return rows + [(5000, None), (5001, ""), (5002, " \t\n"), (None, rows[0][1]), (5003, "One"), (5004, "one"), (rows[3][0], rows[3][1]), (5005, "a a a a a a"), (5006, "a a a")]
 
 
-@pytest.mark.parametrize("seed,words,percent,block,parts", [(1, 3, 90, 4096, J.PARTS), (2, 5, 80, 4096, J.PARTS), (3, 3, 90, 3, J.PARTS), (4, 2, 70, 2, J.PARTS),
+@pytest.mark.parametrize("seed,words,percent,block,odds", [(1, 3, 90, 4096, J.ODDS), (2, 5, 80, 4096, J.ODDS), (3, 3, 90, 3, J.ODDS), (4, 2, 70, 2, J.ODDS),
                                                             (1, 3, 90, 4096, None), (2, 5, 80, 4096, None)])
-def test_equals_all_pairs(spark, monkeypatch, seed, words, percent, block, parts):
+def test_equals_all_pairs(spark, monkeypatch, seed, words, percent, block, odds):
     monkeypatch.setattr(J, "BLOCK_ROWS", block)
     rows = table(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("keys", F.lit(1)).withColumn("n", F.lit(None).cast("int"))
-    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.similar(df, "text", words, percent, parts).collect()), key=str)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.similar(df, "text", words, percent, odds).collect()), key=str)
     assert got == brute(rows, words, percent)
-    kept = J.drop_similar(df, "text", words, percent, parts)
+    kept = J.drop_similar(df, "text", words, percent, odds)
     assert kept.columns == df.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted({i for i, _, c in got if i == c} | {None}, key=str)
 
@@ -93,7 +93,7 @@ def test_rows_that_share_an_id_are_decided_by_their_own_text(spark):
 
 
 def test_linked_long_sets_share_a_key():
-    """Sets just within the similarity, of up to 40,000 shingles: with all parts always, with ``PARTS`` of them in every
+    """Sets just within the similarity, of up to 40,000 shingles: with all parts always, with some of them in every
     case tried."""
     rnd = np.random.default_rng(7)
     for percent in (90, 80):
@@ -105,5 +105,5 @@ def test_linked_long_sets_share_a_key():
                 b = np.unique(np.append(a[rnd.permutation(len(a))[d:]], rnd.integers(0, 2**63, d).astype(np.uint64)))
                 if 100 * len(np.intersect1d(a, b)) < percent * len(np.union1d(a, b)):
                     continue
-                for most in (None, J.PARTS):
+                for most in (None, J.ODDS):
                     assert d == 0 or len(np.intersect1d(J.keys(a, bands, most), J.keys(b, bands, most))) > 0, (percent, n, most)
