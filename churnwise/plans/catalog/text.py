@@ -72,7 +72,7 @@ def normalize_sql(expr: str) -> str:
 @register("f19_normalize_conversations",
           f"SELECT conv_id, turn, {normalize_sql('text')} AS speech FROM conversations")
 def q_normalize_conversations(spark, sf_dir):
-    c = spread_scan(read_table(spark, sf_dir, "conversations"))
+    c = spread_scan(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
     return c.select("conv_id", "turn", normalize_text("text").alias("speech"))
 
 
@@ -81,7 +81,7 @@ def q_normalize_conversations(spark, sf_dir):
           f"md5({normalize_sql('text')}) AS speech_md5 FROM documents")
 def q_normalize_documents(spark, sf_dir):
     """Whole documents (up to tens of thousands of characters each)."""
-    d = spread_scan(read_table(spark, sf_dir, "documents")).select("doc_id", normalize_text("text").alias("s"))
+    d = spread_scan(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", normalize_text("text").alias("s"))
     return d.select("doc_id", F.length("s").alias("speech_chars"), F.md5("s").alias("speech_md5"))
 
 
@@ -109,8 +109,8 @@ SELECT * FROM (WITH RECURSIVE
 
 @register("f20_chunk_conversations", CHUNK_SQL)
 def q_chunk(spark, sf_dir):
-    c = spread_scan(read_table(spark, sf_dir, "conversations")).select("conv_id", "turn",
-                                                                        normalize_text("text").alias("clean"))
+    c = spread_scan(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+    c = c.select("conv_id", "turn", normalize_text("text").alias("clean"))
     ch = c.select("conv_id", "turn", F.posexplode(chunk_normalized("clean", 600)).alias("chunk_index", "chunk"))
     return ch
 

@@ -15,12 +15,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread_scan(df: DataFrame) -> DataFrame:
     """For CPU-heavy per-row work (regex chains, what-if search) straight off
-    a scan: if the files give fewer input splits than the cluster has cores
-    (one big row group, say), round-robin the rows over all cores. On a real
-    table the scan already has more splits than cores and nothing is added."""
-    sc = df.sparkSession.sparkContext
+    a scan: the rows are dealt over all cores by a hash of the row. The number
+    of input splits does not tell how many tasks get rows: a row group is read
+    whole by one task, so of many splits of a file with one row group all but
+    one are empty."""
     n = df.rdd.getNumPartitions()  # a scan: no job runs, only file listing
-    return df.repartition(sc.defaultParallelism) if n < sc.defaultParallelism else df
+    return df.repartition(max(n, 4 * df.sparkSession.sparkContext.defaultParallelism), F.xxhash64(*df.columns))
 
 
 def member_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
