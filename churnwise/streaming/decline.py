@@ -1,9 +1,10 @@
 """T4: decline alerts over a stream of weekly counts whose weeks may come out of order.
 
-Per user, weeks wait in keyed map state until the watermark (newest week seen minus ``delay``) passes them; an event-time
-timer per waiting week then emits all weeks that are due, in order, missing weeks as 0, with the difference to the week
-before and the length of the run of declines. What has been emitted last is a value state of three numbers, so the state
-of a user is bounded by the weeks of the delay, however long the user's history is.
+Per user, weeks wait in keyed state until the watermark (newest week seen minus ``delay``) passes them; an event-time
+timer at the first waiting week then emits all weeks that are due, in order, missing weeks as 0, with the difference to
+the week before and the length of the run of declines. One value per user holds what was emitted last (three numbers) and
+the waiting weeks, so a batch costs a user a read, a write and a timer, and the state of a user is bounded by the weeks of
+the delay, however long the user's history is.
 
 A week that comes after a later one of that user was emitted can no longer change what was said. It is not lost: it
 becomes a row of its own with ``late`` = true and neither delta nor streak. A week that comes twice before it is due
@@ -15,8 +16,7 @@ weeks, so what waits is emitted. Rows without a user or a week are left out.
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -24,7 +24,7 @@ from .jobs import _append, _run, run_conf
 
 WEEKLY = "user_id bigint, week_start timestamp_ntz, week_end timestamp_ntz, n_events bigint, value_sum double"
 OUT = "user_id bigint, week_ms bigint, n_events bigint, delta bigint, streak int, alert boolean, late boolean"
-COLUMNS = ["user_id", "week_ms", "n_events", "delta", "streak", "alert", "late"]
+OUT_ROW = Row("user_id", "week_ms", "n_events", "delta", "streak", "alert", "late")
 WEEK_MS = 7 * 24 * 3600 * 1000
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass":
            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
@@ -46,47 +46,53 @@ def dense_weeks(weeks: list[tuple[int, int]], last: tuple[int, int, int] | None)
     return rows, last
 
 
-def frame(user: int, rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame([(user, *r) for r in rows], columns=COLUMNS)
-    return out.astype({"user_id": "int64", "week_ms": "int64", "n_events": "int64", "delta": "Int64", "streak": "Int32",
-                       "alert": "bool", "late": "bool"})
-
-
 class Decline(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "week bigint, n bigint, streak int")
-        self.waiting = handle.getMapState("waiting", "week bigint", "n bigint")
+        self.user = handle.getValueState("user", "week bigint, n bigint, streak int, weeks array<bigint>, counts array<bigint>")
+
+    def read(self) -> tuple[tuple[int, int, int] | None, dict[int, int]]:
+        """What was emitted last, if anything, and the waiting weeks with their counts."""
+        state = self.user.get()
+        if state is None:
+            return None, {}
+        week, n, streak, weeks, counts = state
+        return None if week is None else (week, n, streak), dict(zip(weeks, counts))
+
+    def write(self, last: tuple[int, int, int] | None, waiting: dict[int, int]) -> None:
+        self.user.update((*(last or (None, None, None)), list(waiting), list(waiting.values())))
 
     def handleInputRows(self, key, rows, timerValues):
         (user,) = key
-        if user is None or pd.isna(user):
+        if user is None:
             return  # the control row
-        last = self.last.get() if self.last.exists() else None
-        late = []
-        for pdf in rows:
-            for week, n in zip(pdf["week_ms"], pdf["n_events"]):
-                week, n = int(week), int(n)
-                if last is not None and week <= last[0]:
-                    late.append((week, n, None, None, False, True))
-                else:
-                    self.waiting.updateValue((week,), (n,))
-                    self.handle.registerTimer(week)
-        if late:
-            yield frame(user, late)
+        last, waiting = self.read()
+        first = min(waiting, default=None)  # has a timer
+        changed = False
+        for r in rows:
+            if last is not None and r.week_ms <= last[0]:
+                yield OUT_ROW(user, r.week_ms, r.n_events, None, None, False, True)
+            else:
+                waiting[r.week_ms], changed = r.n_events, True
+        if changed:
+            self.write(last, waiting)
+            if first is None or min(waiting) < first:
+                self.handle.registerTimer(min(waiting))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         (user,) = key
         watermark = timerValues.getCurrentWatermarkInMs()
-        due = sorted((k[0], v[0]) for k, v in self.waiting.iterator() if k[0] <= watermark)
+        last, waiting = self.read()
+        due = sorted((w, n) for w, n in waiting.items() if w <= watermark)
         if not due:
-            return  # an earlier timer of this batch has emitted it
-        last = self.last.get() if self.last.exists() else None
-        rows, last = dense_weeks(due, last and tuple(last))
-        for week, _ in due:
-            self.waiting.removeKey((week,))
-        self.last.update(last)
-        yield frame(user, [(*r, r[3] >= 2, False) for r in rows])
+            return  # another timer of this batch has emitted it
+        rows, last = dense_weeks(due, last)
+        left = {w: n for w, n in waiting.items() if w > watermark}
+        self.write(last, left)
+        if left:
+            self.handle.registerTimer(min(left))
+        for r in rows:
+            yield OUT_ROW(user, *r, r[3] >= 2, False)
 
     def close(self) -> None:
         pass
@@ -113,7 +119,7 @@ def decline_alert(spark: SparkSession, weekly: str, out: str, delay: str = "14 d
     # The operator gets the week as a number: a row behind the watermark must reach it, to become a late row.
     rows = src.select("user_id", F.unix_millis("event_time").alias("week_ms"), F.coalesce("n_events", F.lit(0)).cast("long").alias("n_events"))
     with run_conf(spark, ROCKSDB):
-        res = rows.groupBy("user_id").transformWithStateInPandas(Decline(), outputStructType=OUT, outputMode="Append", timeMode="EventTime")
+        res = rows.groupBy("user_id").transformWithState(Decline(), outputStructType=OUT, outputMode="Append", timeMode="EventTime")
         return _run(spark, _append(res.withColumn("week_start", F.timestamp_millis("week_ms").cast("timestamp_ntz")).drop("week_ms"), out))
 
 
