@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ... import schema as S
 from ...functions.core import fixed, with_derived_features
 from ...operators import eda, ml, profile, quality
+from ...operators.scorecard import linear_scorecard
+from ...session import stored
 from ...sources import bundle
 from ...sources.members import (dataset_fingerprint, member_snapshot, read_members, read_table, read_untrusted_csv,
                                 table_fingerprint)
@@ -144,8 +146,7 @@ def q_csv(spark, sf_dir):
 def _upload(spark, sf_dir):
     """A folder ``clean`` of CSV files with a header each, and ``upload``, the same and files with corrupt rows."""
     out = run_dir(spark, "csv")
-    m = member_snapshot(spark, sf_dir)
-    fields = m.select("customer_id", *_UPLOAD)
+    fields = stored(member_snapshot(spark, sf_dir).select("customer_id", *_UPLOAD), "upload")
     fields.drop("customer_id").write.option("header", True).csv(f"{out}/clean")
     fields.drop("customer_id").write.option("header", True).csv(f"{out}/upload")
     bad = fields.where("customer_id % 100 = 0").withColumn("Age", F.lit("x"))

@@ -101,7 +101,8 @@ def read_untrusted_csv(spark: SparkSession, path: str, header: bool = True, sche
     if header:
         raw = raw.where(F.lower(F.regexp_replace("line", r"[\s\"]", "")) != ",".join(f.name.lower() for f in fields))
     parts = F.transform(F.split(F.regexp_replace("line", "\r$", ""), ",", -1), lambda c: F.regexp_replace(F.trim(c), r'^"(.*)"$', "$1"))
-    cut = raw.withColumn("_c", parts).withColumn("_n", F.size("_c"))
+    # Behind a generator, so that filters on the fields do not split the line anew for each of them.
+    cut = raw.select("line", "file", F.explode(F.array(parts)).alias("_c")).withColumn("_n", F.size("_c"))
     value = lambda i: F.when(F.get("_c", F.lit(i)) != "", F.get("_c", F.lit(i)))
     reasons = [F.when(F.col("_n") != len(fields), F.concat(F.lit(f"{len(fields)} fields expected, not "), F.col("_n").cast("string")))]
     reasons += [F.when((F.col("_n") == len(fields)) & value(i).isNotNull() & value(i).try_cast(f.dataType).isNull(),
