@@ -14,7 +14,6 @@ from ...sources import bundle
 from ...sources.members import (dataset_fingerprint, member_snapshot, read_members, read_table, read_untrusted_csv,
                                 table_fingerprint)
 from ...streaming.jobs import run_dir
-from .core import scored_members
 from .ml import DERIVED
 from ..analysis import REGISTRY, analysis_run, as_rows
 from ..oracle_sql import fx, with_members
@@ -231,10 +230,10 @@ def q_bundle(spark, sf_dir):
 
 
 def eda_models(spark, sf_dir):
-    """Every EDA read model by name."""
-    m = member_snapshot(spark, sf_dir)
+    """Every EDA read model by name. The members are derived once, into a stored table."""
+    m = stored(member_snapshot(spark, sf_dir), "eda-members")
     d = with_derived_features(m)
-    _, s = scored_members(spark, sf_dir)
+    s = linear_scorecard(m, keep=["customer_id", "Churn"], with_drivers=False)
     return {"validation": eda.validation_report(m), "column_profile": profile.column_profile(m), "describe": eda.describe(m, S.RAW_FEATURES + [S.TARGET]),
             "duplicates": profile.duplicate_count(m), "summary": eda.kpi_summary(m), "distributions": eda.value_distribution(m, ["Churn", "Contract_period", "Group_visits"]),
             "by_contract": eda.churn_by_contract(m), **{f"by_cohort_{k}": eda.churn_by_cohort(m, k) for k in eda.COHORT_SCHEMES},
