@@ -276,8 +276,9 @@ class ChurnModel:
 
 
 def prepare_members(members: DataFrame) -> DataFrame:
-    """Derived features (pipeline form, unrounded ratio) + split."""
-    return stratified_split(with_derived_features(members))
+    """Derived features (pipeline form, unrounded ratio) + split, each step a stored table: the passes that look for cuts
+    and parameters, and those of a fit, scan it."""
+    return stored(stratified_split(stored(with_derived_features(members), "derived")), "prepared")
 
 
 def fit_folds(train: DataFrame, params: dict | None = None, k: int = S.KFOLDS) -> tuple[object, list, DataFrame]:
@@ -345,8 +346,8 @@ def score_batch(model: ChurnModel, members: DataFrame, drivers: DataFrame | None
 def leakage_probe(members: DataFrame, suspect: str = "Month_to_end_contract", test_frac: float = 0.30) -> DataFrame:
     """The same balanced logistic with and without the suspect column on
     one hash split; test AUC of each and the delta."""
-    d = with_derived_features(members).withColumn("split", F.when(hash01("customer_id") < 1 - test_frac, "train")
-                                                  .otherwise("test"))
+    d = stored(with_derived_features(members).withColumn("split", F.when(hash01("customer_id") < 1 - test_frac, "train")
+                                                         .otherwise("test")), "leakage")
     rows = []
     for label, feats in (("without", S.model_feature_list()), ("with", S.model_feature_list() + [suspect])):
         binary = [f for f in feats if f in S.BINARY_FEATURES + S.DERIVED_BINARY]
