@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ def run_baseline(df: DataFrame, params: dict) -> dict[str, DataFrame]:
 def run_kmeans(df: DataFrame, params: dict) -> dict[str, DataFrame]:
     x = stored(ml.scaled_features(df.withColumnRenamed(ROW_KEY, "customer_id")), "analysis-kmeans")
     km = clusters.fit_kmeans(x, int(params.get("n_clusters", 4)), starts=int(params.get("n_init", 10)))
-    prof = ml.cluster_profile(km.assign(x))
+    prof = stored(ml.cluster_profile(km.assign(x)), "analysis-profile")
     return {"segments": prof.select(F.col("risk_label").alias("label"), "count", "churn_rate", "cluster"),
             "heatmap": ml.heatmap_normalized(prof), "profile": prof}
 
@@ -67,9 +68,9 @@ def _supervised(fit: Callable) -> Callable:
         feats = S.LEGACY_FEATURES
         prep = ml.fit_prep(d.filter(F.col("split") == "train"), numeric=[f for f in feats if f not in S.LEGACY_BINARY],
                            binary=S.LEGACY_BINARY, winsor=[])
-        x = prep.transform(d, ["customer_id", S.TARGET, "split"])
-        model = fit(ml.class_weights(x.filter(F.col("split") == "train")))
-        pred = ml.prob_col(model.transform(x))
+        x = stored(prep.transform(d, ["customer_id", S.TARGET, "split"]).select("customer_id", S.TARGET, "split", "features"), "analysis-features")
+        model = fit(stored(ml.class_weights(x.filter(F.col("split") == "train")), "analysis-train"))
+        pred = stored(ml.prob_col(model.transform(x)).select("customer_id", S.TARGET, "split", "p_model"), "analysis-scored")
         test = ev.labeled_points(pred.filter(F.col("split") == "test"), p="p_model")
         names = [f for f in feats if f not in S.LEGACY_BINARY] + list(S.LEGACY_BINARY)
         return {"metrics": ev.compute_metrics(ev.score_hist(test), 0.5),
@@ -119,15 +120,17 @@ def eda_sections(clean_df: DataFrame, report: DataFrame) -> dict[str, DataFrame]
 
 def analysis_run(df: DataFrame, algorithms: list[str], params: dict | None = None) -> dict[str, dict[str, DataFrame]]:
     """Clean, guard, EDA read models (under ``eda``), then each algorithm's
-    outputs and personas."""
+    outputs and personas. The algorithms are independent: their fits run as
+    parallel Spark jobs."""
     wrong = [a for a in algorithms if a not in REGISTRY]
     if wrong:
         raise ValueError(f"invalid algorithm; options: {', '.join(REGISTRY)}")
     clean_df, report = cleaned(df)
     out = {"eda": eda_sections(clean_df, report)}
-    for name in algorithms:
-        res = REGISTRY[name](clean_df, params or {})
-        out[name] = {**res, "personas": personas(res["segments"], name)}
+    with ThreadPoolExecutor(max_workers=max(1, len(algorithms))) as pool:
+        results = pool.map(lambda name: REGISTRY[name](clean_df, params or {}), algorithms)
+        for name, res in zip(algorithms, results):
+            out[name] = {**res, "personas": personas(res["segments"], name)}
     return out
 
 
