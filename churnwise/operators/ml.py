@@ -95,11 +95,12 @@ def assign_folds(df: DataFrame, k: int = S.KFOLDS, key: str = "customer_id", see
 
 def split_and_folds(df: DataFrame, k: int = S.KFOLDS, key: str = "customer_id", fractions=(0.70, 0.15, 0.15),
                     seed: int = S.SEED, label: str = S.TARGET) -> DataFrame:
-    """M6 and M7 together: ``df`` is derived once, into a stored table; both hashes share the passes over it."""
+    """M6 and M7 together: ``df`` is derived once, into a stored table; both hashes share the passes over it. What comes
+    out is stored too, so that those who read it often do not look for the cuts each time."""
     df = stored(df, "split")
     (split, ps), (fold, pf) = _split_of(fractions), _fold_of(k)
     out = _with_cuts(df, {"_s": (hash32(key, seed), ps), "_f": (hash32(key, seed, FOLD_SALT), pf)}, label)
-    return out.withColumn("split", split).withColumn("fold", fold).select(*df.columns, "split", "fold")
+    return stored(out.withColumn("split", split).withColumn("fold", fold).select(*df.columns, "split", "fold"), "split-folds")
 
 
 def class_weights(df: DataFrame, label: str = S.TARGET, fit_on: DataFrame | None = None) -> DataFrame:

@@ -33,11 +33,18 @@ def _key(spark, sf_dir, what):
     return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
 
 
+def members(spark, sf_dir):
+    """The members as a stored table: training, scoring and attribution read the same one."""
+    k = _key(spark, sf_dir, "members")
+    if k not in _CACHE:
+        _CACHE[k] = stored(member_snapshot(spark, sf_dir), "members")
+    return _CACHE[k]
+
+
 def trained(spark, sf_dir):
     k = _key(spark, sf_dir, "model")
     if k not in _CACHE:
-        m = member_snapshot(spark, sf_dir)
-        _CACHE[k] = ml.train_model(m)
+        _CACHE[k] = ml.train_model(members(spark, sf_dir))
     return _CACHE[k]
 
 
@@ -242,7 +249,7 @@ def q_top3_reference(spark, sf_dir):
 def _attr_df(spark, sf_dir):
     model, _ = trained(spark, sf_dir)
     trees, weights = attributions(spark, sf_dir)
-    d = with_derived_features(member_snapshot(spark, sf_dir))
+    d = with_derived_features(members(spark, sf_dir))
     x = model.prep.transform(d, ["customer_id"] + model.prep.output_order)
     a = at.tree_attribution(x, trees, weights, model.prep.output_order)
     return model, d, x, a
@@ -265,7 +272,7 @@ def q_score_batch(spark, sf_dir):
     sorted drivers and the model archetype, for every member."""
     model, d, x, a = _attr_df(spark, sf_dir)
     drivers = at.driver_array(a, d.select("customer_id", *model.prep.output_order), model.prep.output_order)
-    s = ml.score_batch(model, member_snapshot(spark, sf_dir), drivers)
+    s = ml.score_batch(model, members(spark, sf_dir), drivers)
     return s.select("customer_id", "churn_probability", "risk_tier", "predicted_churn", "threshold", "model_version",
                     "archetype_model", F.array_join("top_drivers", ",").alias("top_drivers"))
 
@@ -293,7 +300,7 @@ def q_example_member(spark, sf_dir):
 def q_parity(spark, sf_dir):
     """Spark ML's path against the compiled one (parameter table, trees and curves as SQL expressions) on every member."""
     model, _ = trained(spark, sf_dir)
-    d = stored(with_derived_features(member_snapshot(spark, sf_dir)), "parity")
+    d = with_derived_features(members(spark, sf_dir))
     a = model.scored(model.prep.transform(d, ["customer_id"]), "p_a").select("customer_id", "p_a")
     b = treesql.score_compiled(d, model.prep, [at.extract_trees(t, spark) for t in model.fold_trees], model.calibrator, ["customer_id"], "p_b")
     return ml.scoring_parity(a, b).select("n", "missing", "parity_ok")

@@ -215,12 +215,12 @@ def q_winsorizer(spark, sf_dir):
 def q_bundle(spark, sf_dir):
     """Save the trained bundle, load it, score every member both ways and
     compare (M23), and write the metrics and feature metadata (S6)."""
-    from .ml import trained
+    from .ml import members, trained
     model, scored = trained(spark, sf_dir)
     out = run_dir(spark, "bundle")
     bundle.save_bundle(model, f"{out}/model", spark)
     loaded = bundle.load_bundle(f"{out}/model", spark)
-    m = member_snapshot(spark, sf_dir)
+    m = members(spark, sf_dir)
     a = ml.score_batch(model, m).select("customer_id", F.col("p_cal").alias("p_a"))
     b = ml.score_batch(loaded, m).select("customer_id", F.col("p_cal").alias("p_b"))
     bundle.write_metrics(ml.split_metrics(scored, model.threshold), f"{out}/metrics")
