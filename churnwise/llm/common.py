@@ -114,7 +114,7 @@ class Recent:
 
     def of(self, keys: set):
         """Compute what is missing of ``keys``; returns the function that looks one up."""
-        todo = keys - self.now.keys()
+        todo = keys.difference(self.now)  # the dict itself: its view would be walked whole
         if self.now and len(self.now) + len(todo) > self.most:
             self.old, self.now = self.now, {}
             todo = keys

@@ -5,7 +5,8 @@ merge, so a cut there is certain. White space occurs inside no token: texts are
 cut there first, and each distinct chunk (after the tokenizer's own normalisation
 and pre-tokenisation) again at every other byte pair that no token contains. The
 fragments are encoded independently and their ids concatenated; a memo of bounded
-size keeps the ids of chunks that come again. Ids and decoded texts equal those of the tokenizers library.
+size keeps the ids of chunks that come again. The chunks of a slice of texts are
+counted off in Arrow: each distinct one is looked up once. Ids and decoded texts equal those of the tokenizers library.
 
 Rows: one out for each in, whatever repeats. A null or empty text has no ids
 and decodes to the empty text; null ids decode to the empty text. Texts of any
@@ -51,7 +52,9 @@ def byte_alphabet() -> list[str]:
 
 #: ASCII letters and digits; ASCII white space.
 ALNUM = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
-BLANK = np.array([b in b" \t\n\r\v\f" for b in range(256)])
+SPACES = b" \t\n\r\v\f"
+#: 0 for white space, 2 for letters and digits, 3 for full stops and commas, 1 for other bytes.
+KINDS = bytes(0 if b in SPACES else 2 if ALNUM[b] else 3 if b in b".," else 1 for b in range(256))
 #: Code points for fragments: a byte within a word, and a word's last byte.
 INNER, LAST = 0x400, 0x500
 
@@ -88,9 +91,14 @@ class Encoder:
         for token in vocab:
             raw = [self.number[c] for c in token.removesuffix(suffix)]
             self.inside[raw[:-1], raw[1:]] = True
+        #: Bytes of each token; every single byte is one, so the tokens of a fragment hold all its bytes.
+        pieces = {symbols(t): i for t, i in vocab.items()}
+        if not all(chr(kind + b) in pieces for kind in (INNER, LAST) for b in range(256)):
+            raise ValueError(f"{path}: a vocabulary without a token for each byte")
+        self.width = np.zeros(max(pieces.values()) + 1, np.int64)
+        self.width[list(pieces.values())] = list(map(len, pieces))
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.model = Tokenizer(models.BPE({symbols(t): i for t, i in vocab.items()},
-                                          [(symbols(x), symbols(y)) for x, y in merges], cache_capacity=0))
+        self.model = Tokenizer(models.BPE(pieces, [(symbols(x), symbols(y)) for x, y in merges], cache_capacity=0))
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.ascii_pieces, self.text_pieces = re.compile(b"\n|" + ASCII_PIECES), regex.compile("\n|" + TEXT_PIECES)
         self.stops_apart = not self.inside[np.flatnonzero(ALNUM)][:, list(b".,")].any()
@@ -139,36 +147,51 @@ class Encoder:
         code = raw.astype("<u2") + np.where(after, LAST, INNER).astype("<u2")
         code[gap] = 0x20
         cut = np.flatnonzero(~gap[:-1] & ~after[:-1] & ~self.inside[raw[:-1], raw[1:]])
-        starts = ~gap & np.append(True, gap[:-1])
-        starts[cut + 1] = True
-        owner = np.cumsum(raw == 0x20)[starts]
         text = np.insert(code, cut + 1, 0x20).astype("<u2").tobytes().decode("utf-16-le")
-        enc = self.model.encode(text, add_special_tokens=False)
-        data = np.array(enc.ids, "<i4").tobytes()
-        counts = np.bincount(owner[np.array(enc.word_ids, np.int64)], minlength=len(words)) if data else [0] * len(words)
-        ends = (np.cumsum(counts) * 4).tolist()
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<i4")
+        data = ids.tobytes()
+        # the tokens hold the words' bytes one after the other, so their widths tell where each word ends
+        upto = np.append(0, np.cumsum(~gap))[np.append(np.flatnonzero(raw == 0x20), len(raw))]
+        ends = (np.searchsorted(np.cumsum(self.width[ids]), upto, "right") * 4).tolist()
         line = np.array([-1], "<i4").tobytes()
         return [(w, line if w == b"\n" else data[a:b]) for w, a, b in zip(words, [0, *ends], ends)]
 
     def _plain(self, text: bytes) -> bytes:
-        """Make fewer chunks distinct where that can't change the result: set a single full stop or comma after a
-        letter or digit apart (no word holds both, so the cut is certain), and lower-case A-Z below U+0180, where
-        nothing composes, and without what may be a special token."""
-        if not (b"<|" in text or self.high.search(text)):
-            text = text.lower()
-        if not self.stops_apart or len(text) < 2:
+        """Make fewer chunks distinct where that can't change the result: lower-case A-Z below U+0180, where nothing
+        composes, and without what may be a special token."""
+        if b"<|" in text or not text.isascii() and self.high.search(text):
             return text
-        raw = np.frombuffer(text, np.uint8)
-        at = np.flatnonzero((raw == 0x2E) | (raw == 0x2C))
-        at = at[(at > 0) & (at < len(raw) - 1)]
-        at = at[ALNUM[raw[at - 1]] & BLANK[raw[at + 1]]]
-        return np.insert(raw, at, 0x20).tobytes() if len(at) else text
+        return text.lower()
+
+    def chunked(self, texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+        """The chunks between white space of all texts, and the number of chunks up to each text's end. A single full
+        stop or comma between a letter or digit and white space is a chunk too (no word holds both, so the cut is certain)."""
+        data = b"".join([x for t in texts for x in (self._plain(t), b"\n")])
+        kind = np.frombuffer(data.translate(KINDS), np.uint8)
+        inside = kind != 0
+        start = inside.copy()
+        start[1:] &= ~inside[:-1]
+        if self.stops_apart:
+            start[1:-1] |= (kind[1:-1] == 3) & (kind[:-2] == 2) & ~inside[2:]
+        offsets = np.append(np.flatnonzero(start[inside]), np.count_nonzero(inside))
+        ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+        upto = np.searchsorted(np.flatnonzero(start), ends)
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data.translate(None, SPACES))])
+        return chunks, upto
+
+    def flat(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's ids end."""
+        chunks, upto = self.chunked(texts)
+        once = chunks.dictionary_encode()
+        distinct = once.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array(list(map(self.chunks.of(set(distinct)), distinct)), pa.large_binary()).take(once.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1) // 4 if len(ids) else np.zeros(1, np.int64)
+        return np.frombuffer(ids.buffers()[2] or b"", "<i4", int(ends[-1])), ends[upto]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
-        words = [self._plain(t).split() for t in texts]
-        ids = self.chunks.of(set().union(*words))
-        return [b"".join(map(ids, w)) for w in words]
+        ids, ends = self.flat(texts)
+        return [ids[a:b].tobytes() for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
     def forget(self) -> None:
         """Give up the memos' memory."""

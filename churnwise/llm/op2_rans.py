@@ -198,15 +198,14 @@ def tokenised(docs: DataFrame, vocab: str = DEFAULT) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
 
         for b in slices(batches, "text"):
-            coded = enc.encode(texts(b.column("text")))
-            all_ids = np.frombuffer(b"".join(coded), "<i4")
+            all_ids, ends = enc.flat(texts(b.column("text")))
             if len(all_ids) and int(all_ids.max()) >= SYMBOLS:
                 raise ValueError("token ids beyond 16 bits")
             all_ids, at = all_ids.astype("<u2"), 0
-            for i, c in zip(b.column("doc_id").to_pylist(), coded):
-                n = len(c) // 4
-                doc_ids.append(i), counts.append(n + 1), ids.append(all_ids[at:at + n]), ids.append(end)
-                at += n
+            for i, to in zip(b.column("doc_id").to_pylist(), ends.tolist()):
+                n = to - at
+                doc_ids.append(i), counts.append(n + 1), ids.append(all_ids[at:to]), ids.append(end)
+                at = to
                 size += n + 1
                 if size >= FILE_TOKENS:
                     flat = np.concatenate(ids)

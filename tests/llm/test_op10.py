@@ -46,3 +46,29 @@ def test_null_and_unknown_ids(spark):
     rows = spark.createDataFrame([(1, None), (2, []), (3, [320, 10**8])], "k int, ids array<int>")
     got = {r.k: r.decoded for r in B.decode(rows).collect()}
     assert got[1] == got[2] == "" and " " not in got[3] and got[3]
+
+
+def test_a_chunk_is_looked_up_once_a_slice(library, monkeypatch):
+    enc, seen = B.Encoder(B.vocabulary()), []
+    of = enc.chunks.of
+
+    def counted(keys):
+        look = of(keys)
+        return lambda k: seen.append(k) or look(k)
+
+    monkeypatch.setattr(enc.chunks, "of", counted)
+    docs = ["one two, three. " * 1000, "", "Two  one\n" * 500, " ", "three"]
+    for t, ids in zip(docs, enc.encode([t.encode() for t in docs])):
+        assert np.frombuffer(ids, "<i4").tolist() == library.encode(t, add_special_tokens=False).ids
+    assert len(seen) == len(set(seen)) == 5
+
+
+def test_many_texts_at_once_equal_the_library(library):
+    enc = B.Encoder(B.vocabulary())
+    texts = [*ODD, "", *reversed(ODD), "end.", ". start", "\x0b\x0c", "x,"]
+    ids, ends = enc.flat([t.encode() for t in texts])
+    for t, a, b in zip(texts, [0, *ends.tolist()], ends.tolist()):
+        assert ids[a:b].tolist() == library.encode(t, add_special_tokens=False).ids
+    for none in ([], [b""]):
+        ids, ends = enc.flat(none)
+        assert len(ids) == 0 and ends.tolist() == [0] * len(none)
