@@ -1,10 +1,15 @@
 """Epsilon grid order join against all pairs."""
 
+import contextlib
+import os
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from churnwise.llm import op6_ego as E
+from churnwise.llm.common import new_path
 
 
 def brute(rows, cosine):
@@ -66,3 +71,47 @@ def test_distant_blocks_are_skipped(spark):
 
 def test_empty_table(spark):
     assert E.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_disk_grows_with_the_vectors_not_with_the_pairs_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(E, "BLOCK", 64)
+    rnd = np.random.default_rng(3)
+    rows = rnd.normal(size=(3000, 64)).astype(np.float32)  # far apart in all directions: no pair of blocks is skipped
+    rows[1500:1510] = rows[:10]
+    rows[1510:1520] = rows[:10] * 1.5 + 0.01
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<float>")
+    tops = [*spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString(), new_path(spark, "x").removeprefix("file:").rpartition("/")[0]]
+    seen, ended = {}, threading.Event()
+
+    def look():
+        for p in (os.path.join(d, f) for top in tops for d, _, names in os.walk(top) for f in names):
+            with contextlib.suppress(OSError):  # Spark removes some shuffles when a job is over
+                seen[p] = max(os.path.getsize(p), seen.get(p, 0))
+
+    def watch():
+        while not ended.wait(0.05):
+            look()
+
+    look()
+    before, watcher = set(seen), threading.Thread(target=watch)
+    watcher.start()
+    try:
+        got = {r.vec_id: (r.n_links, r.component_id) for r in E.near_duplicates(df).collect()}
+    finally:
+        ended.set()
+        watcher.join()
+    written = sum(n for p, n in seen.items() if p not in before)
+    assert got == {i: (2, i % 1500 % 10) if i < 10 or 1500 <= i < 1520 else (0, i) for i in range(3000)}
+    assert written < 8 * rows.nbytes, written
+
+
+def test_vectors_that_vary_along_few_axes(spark):
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(400, 64)) * np.array([1.0] * 28 + [0.02] * 36) + 0.3
+    x[200:] = x[:200] + rnd.normal(size=(200, 64)) * 0.25
+    spread = np.linalg.eigvalsh(np.cov((x / np.linalg.norm(x, axis=1, keepdims=True)).T))[::-1]
+    assert 8 <= E.width(spread, np.sqrt(0.2)) < 48  # candidates come from fewer axes
+    rows = [(i, v) for i, v in enumerate(x.astype(np.float32).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((tuple(r) for r in E.near_duplicates(df).select("vec_id", "n_links", "component_id", "kept").collect()), key=str)
+    assert got == brute(rows, 0.9) and any(r[1] for r in got)
